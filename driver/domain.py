@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from abono.functions import as_date, moment
 from abono.operators.history import new_versions, snapshot_merge
+from abono.operators.shared import materialize
 from abono.plans import dimensions, lifecycle, rfm, staging
 
 AS_OF = "2000-07-01"
@@ -29,9 +30,13 @@ PLAN_LIMITS = [5, 20, 50, 500, 999]
 class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._files: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A driver table; its schema is looked up once."""
+        if name not in self._files:
+            self._files[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._files[name]
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         """Domain as a source: raw tables by name."""
@@ -201,9 +206,26 @@ class Domain:
         return lifecycle.fact_suscripciones(
             self.stg_accounts_subscription, self.dim_cuentas_base, self.dim_suscripciones, AS_OF)
 
+    # Dimensions at rest for the scoring queries, which read them several times.
+
+    @cached_property
+    def dim_cuentas_base_stored(self) -> DataFrame:
+        return materialize(self.dim_cuentas_base, "dim_cuentas_base")
+
+    @cached_property
+    def dim_suscripciones_stored(self) -> DataFrame:
+        return materialize(self.dim_suscripciones, "dim_suscripciones")
+
+    @cached_property
+    def fact_suscripciones_scored(self) -> DataFrame:
+        return lifecycle.fact_suscripciones(
+            self.stg_accounts_subscription, self.dim_cuentas_base_stored,
+            self.dim_suscripciones_stored, AS_OF)
+
     def universe(self, as_of: str = AS_OF) -> DataFrame:
         return rfm.rfm_universe(
-            self.dim_cuentas_base, self.fact_suscripciones, self.dim_suscripciones, as_of)
+            self.dim_cuentas_base_stored, self.fact_suscripciones_scored,
+            self.dim_suscripciones_stored, as_of)
 
     def activity(self, as_of: str = AS_OF) -> DataFrame:
         return rfm.account_activity(
@@ -215,7 +237,8 @@ class Domain:
 
     def fact_rfm(self, as_of: str = AS_OF, **options) -> DataFrame:
         return rfm.fact_rfm(
-            self.dim_cuentas_base, self.fact_suscripciones, self.dim_suscripciones,
+            self.dim_cuentas_base_stored, self.fact_suscripciones_scored,
+            self.dim_suscripciones_stored,
             self.stg_contents, self.stg_subscription_payments, self.stg_accounts_subscription,
             self.stg_account_premium_features, as_of, **options)
 
@@ -226,7 +249,7 @@ class Domain:
 
     @cached_property
     def dim_cuentas(self) -> DataFrame:
-        return dimensions.dim_cuentas(self.dim_cuentas_base, self.fact_rfm_both)
+        return dimensions.dim_cuentas(self.dim_cuentas_base_stored, self.fact_rfm_both)
 
     @cached_property
     def companies(self) -> DataFrame:
