@@ -28,28 +28,30 @@ def new_versions(source: DataFrame, key: str, updated_at: str) -> DataFrame:
     )
 
 
-def snapshot_merge(
-    snapshot: DataFrame | None,
+def open_versions() -> Column:
+    return F.col("dbt_valid_to").isNull()
+
+
+def snapshot_changes(
+    opened: DataFrame | None,
     source: DataFrame,
     key: str,
     updated_at: str,
     run_ts,
     hard_deletes: bool = True,
 ) -> DataFrame:
-    """Snapshot after one run over `source` (one row per key).
+    """Open versions after one run over `source` (one row per key), and those it closed.
 
     A newer source row closes the open version and opens the next; an unknown key opens
     one; a key gone from the source closes at run_ts. A key that comes back after that
-    opens a version at its own updated_at. One full outer join of open versions and
-    source decides all cases; closed history passes through.
-    """
-    if snapshot is None:
-        return new_versions(source, key, updated_at)
-    columns = source.columns + VERSION_COLUMNS
-    opened = snapshot.filter(F.col("dbt_valid_to").isNull()).select(
-        F.struct(*columns).alias("old"))
-    fresh = new_versions(source, key, updated_at).select(F.struct(*columns).alias("new"))
-    both = opened.join(fresh, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
+    opens a version at its own updated_at. One full outer join decides all cases."""
+    fresh = new_versions(source, key, updated_at)
+    if opened is None:
+        return fresh
+    columns = fresh.columns
+    both = opened.select(F.struct(*columns).alias("old")).join(
+        fresh.select(F.struct(*columns).alias("new")),
+        F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
 
     newer = F.col(f"new.{updated_at}") > F.col("old.dbt_valid_from")
     gone = F.col("new").isNull()
@@ -58,9 +60,23 @@ def snapshot_merge(
         end = end.when(gone, moment(run_ts))
     kept = F.when(F.col("old").isNotNull(), F.col("old").withField("dbt_valid_to", end))
     added = F.when(~gone & (F.col("old").isNull() | newer), F.col("new"))
-    changed = both.select(F.inline(F.array_compact(F.array(kept, added))))
-    return changed.unionByName(
-        snapshot.filter(F.col("dbt_valid_to").isNotNull()).select(*columns))
+    return both.select(F.inline(F.array_compact(F.array(kept, added))))
+
+
+def snapshot_merge(
+    snapshot: DataFrame | None,
+    source: DataFrame,
+    key: str,
+    updated_at: str,
+    run_ts,
+    hard_deletes: bool = True,
+) -> DataFrame:
+    """Whole snapshot after one run: the changes, and closed history as it was."""
+    if snapshot is None:
+        return new_versions(source, key, updated_at)
+    changed = snapshot_changes(
+        snapshot.filter(open_versions()), source, key, updated_at, run_ts, hard_deletes)
+    return changed.unionByName(snapshot.filter(~open_versions()).select(*changed.columns))
 
 
 def versions_from_history(

@@ -28,6 +28,19 @@ def merge_into_table(updates: DataFrame, table: str, keys) -> None:
      .whenMatched().updateAll().whenNotMatched().insertAll().merge())
 
 
+def watermark(target: DataFrame | None, column: str) -> str | None:
+    """Highest value in the target as text; None when there is no target or it is empty."""
+    if target is None:
+        return None
+    return target.agg(F.max(column).cast("string").alias("top")).first()["top"]
+
+
+def above(df: DataFrame, column: str, mark: str, inclusive: bool = False) -> DataFrame:
+    """Rows past the mark, which is a literal, so the scan can skip row groups."""
+    limit = F.lit(mark).cast(df.schema[column].dataType)
+    return df.filter(F.col(column) >= limit if inclusive else F.col(column) > limit)
+
+
 def since_watermark(
     df: DataFrame,
     target: DataFrame | None,
@@ -35,15 +48,10 @@ def since_watermark(
     target_column: str | None = None,
     inclusive: bool = False,
 ) -> DataFrame:
-    """Rows whose cursor lies above the target's highest one. The maximum becomes a
-    literal, so the scan can skip row groups. A missing or empty target loads everything.
+    """Rows whose cursor lies above the target's highest one. A missing or empty target
+    loads everything.
 
     The strict default loses late rows that tie with the maximum and rows without a
     cursor; `inclusive` keeps the ties, which is safe before an upsert."""
-    if target is None:
-        return df
-    top = target.agg(F.max(target_column or column).cast("string").alias("top")).first()["top"]
-    if top is None:
-        return df
-    mark = F.lit(top).cast(df.schema[column].dataType)
-    return df.filter(F.col(column) >= mark if inclusive else F.col(column) > mark)
+    mark = watermark(target, target_column or column)
+    return df if mark is None else above(df, column, mark, inclusive)

@@ -19,11 +19,27 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def _session_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/abono-{spark.sparkContext.applicationId}"
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A folder name in the shared folder that nobody else uses."""
+    return f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete everything this session materialised. Call it when no DataFrame that rests
+    on such results is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_session_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write once, read back: later passes read columns from Parquet instead of
     recomputing, and the result no longer depends on lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/abono/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)

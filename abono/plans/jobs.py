@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from abono import fixed
 from abono.operators.checks import ERROR, WARNING
-from abono.operators.history import snapshot_merge
+from abono.operators.history import new_versions
 from abono.plans import dimensions, lifecycle, quality, rfm, staging
 from abono.schemas import MONEY, RAW_KEYS
 from abono.sinks import versions
@@ -53,13 +53,18 @@ class Lake:
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
         if name == "fact_rfm":
             return spark.read.schema(FACT_RFM_SCHEMA).parquet(self.path(layer, name))
-        found = versions.read_current(spark, self.path(layer, name))
+        found = self.maybe(spark, layer, name)
         if found is None:
             raise KeyError(f"{layer}.{name} was never loaded")
         return found
 
     def maybe(self, spark: SparkSession, layer: str, name: str) -> DataFrame | None:
-        return versions.read_current(spark, self.path(layer, name))
+        if layer != SNAPSHOTS:
+            return versions.read_current(spark, self.path(layer, name))
+        source, key = SNAPSHOT_SOURCES[name]
+        staged = self.read(spark, STAGING, source)
+        return versions.read_snapshot(
+            spark, self.path(layer, name), new_versions(staged, key, "fecha_actualizacion").schema)
 
 
 @dataclass(frozen=True)
@@ -127,7 +132,9 @@ def run_staging(spark: SparkSession, cfg: JobConfig) -> None:
     }
     for name, df in built.items():
         path = cfg.lake.path(STAGING, name)
-        if name in staging.INCREMENTAL_KEYS:
+        if name in staging.GROWING_KEYS:
+            versions.load_append(df, path)
+        elif name in staging.INCREMENTAL_KEYS:
             versions.load_upsert(df, path, staging.INCREMENTAL_KEYS[name])
         else:
             versions.load_replace(df, path)
@@ -135,10 +142,9 @@ def run_staging(spark: SparkSession, cfg: JobConfig) -> None:
 
 def run_snapshots(spark: SparkSession, cfg: JobConfig, run_ts) -> None:
     for name, (source, key) in SNAPSHOT_SOURCES.items():
-        merged = snapshot_merge(
-            cfg.lake.maybe(spark, SNAPSHOTS, name), cfg.lake.read(spark, STAGING, source),
+        versions.load_snapshot(
+            cfg.lake.read(spark, STAGING, source), cfg.lake.path(SNAPSHOTS, name),
             key, "fecha_actualizacion", run_ts)
-        versions.load_replace(merged, cfg.lake.path(SNAPSHOTS, name))
 
 
 def _accounts_base(spark: SparkSession, lake: Lake) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from abono import fixed
 from abono.functions import as_ts
-from abono.operators.merge import since_watermark
+from abono.operators.merge import above, since_watermark, watermark
 from abono.operators.project import pivot_eav, rename_project
 
 TS = "timestamp_ntz"
@@ -18,6 +18,9 @@ INCREMENTAL_KEYS = {
     "stg_contents": "id_contenido",
     "stg_subscription_payments": "id_pago",
 }
+# Here the key itself is the watermark: new rows cannot meet old ones, so appending them
+# is the upsert, and nothing is rewritten.
+GROWING_KEYS = {"stg_subscription_payments"}
 
 
 def stg_accounts(raw: DataFrame, target: DataFrame | None = None,
@@ -81,7 +84,17 @@ def stg_contents(contents: DataFrame, attrs: DataFrame, target: DataFrame | None
     """Contents with their pivoted attributes; either side may be missing.
 
     Dates are the later of both sides. By default a missing side is ignored; with
-    strict_nulls it makes the date null, and such rows never pass the watermark."""
+    strict_nulls it makes the date null, and such rows never pass the watermark.
+
+    With a target, contents changed on neither side are left out before the pivot and the
+    join; what remains is filtered by the joined date as well."""
+    mark = watermark(target, "fecha_actualizacion")
+    if mark is not None:
+        def changed(df):
+            return above(df, "updated_at", mark, inclusive).select("content_id")
+        ids = changed(contents).unionByName(changed(attrs)).distinct()
+        contents = contents.join(ids, "content_id", "left_semi")
+        attrs = attrs.join(ids, "content_id", "left_semi")
     c = contents.alias("c")
     a = content_attributes_wide(attrs).alias("a")
 
@@ -102,4 +115,4 @@ def stg_contents(contents: DataFrame, attrs: DataFrame, target: DataFrame | None
         later("created_at").alias("fecha_creacion"),
         later("updated_at").alias("fecha_actualizacion"),
     )
-    return since_watermark(joined, target, "fecha_actualizacion", inclusive=inclusive)
+    return joined if mark is None else above(joined, "fecha_actualizacion", mark, inclusive)

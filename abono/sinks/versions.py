@@ -1,59 +1,78 @@
 """Loads into plain Parquet folders that readers can use at any time.
 
-A table is a folder of numbered version folders. The current version is the highest one
-that holds Spark's _SUCCESS marker, which the job commit writes last: a load that fails or
-loses executors leaves the table as it was, and no path is overwritten while being read.
+A table is a folder of numbered subfolders: v00000007 holds a whole version, a00000008
+rows appended to it. A subfolder counts once it holds Spark's _SUCCESS marker, which the
+job commit writes last, so a load that fails or loses executors leaves the table as it
+was. The table reads as its highest version and what was appended after it; no path is
+overwritten while being read.
+
+Snapshots are stored so that closed versions are written only once: each run's folder,
+run=00000009, holds the open versions anew and, beside them, only the ones it closed.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from abono.operators.history import new_versions, open_versions, snapshot_changes
 from abono.operators.merge import merge_upsert, newest_per_key, since_watermark
 from abono.operators.shared import materialize
 
+RUN, OPEN = "run", "abierta"
+
 
-def _folders(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
-    """(number, complete) of each version folder."""
+def _folders(spark: SparkSession, path: str) -> list[tuple[int, str, bool]]:
+    """(number, folder, complete), by number."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     root = hadoop(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return []
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    return sorted((int(n[1:]), fs.exists(hadoop(f"{path}/{n}/_SUCCESS")))
-                  for n in names if n[0] == "v" and n[1:].isdigit())
+    names = [re.fullmatch(r"(?:v|a|run=)(\d{8})", s.getPath().getName())
+             for s in fs.listStatus(root)]
+    return sorted((int(n[1]), f"{path}/{n[0]}", fs.exists(hadoop(f"{path}/{n[0]}/_SUCCESS")))
+                  for n in names if n)
+
 
+def _is_version(folder: str) -> bool:
+    return folder.rsplit("/", 1)[1].startswith("v")
 
-def _version_path(path: str, number: int) -> str:
-    return f"{path}/v{number:08d}"
+
+def _next(spark: SparkSession, path: str, kind: str) -> str:
+    """A folder that never existed; numbers of failed loads are not used again."""
+    number = max([n for n, _, _ in _folders(spark, path)], default=0) + 1
+    return f"{path}/{kind}{number:08d}"
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
-    done = [n for n, complete in _folders(spark, path) if complete]
+    done = [n for n, folder, complete in _folders(spark, path) if complete and _is_version(folder)]
     return max(done) if done else None
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    """The current version, or None when the table was never loaded."""
+    """The table as it stands, or None when it was never loaded."""
     number = current_version(spark, path)
-    return None if number is None else spark.read.parquet(_version_path(path, number))
+    if number is None:
+        return None
+    return spark.read.parquet(*[
+        folder for n, folder, complete in _folders(spark, path) if complete and n >= number])
 
 
 def load_replace(df: DataFrame, path: str) -> DataFrame:
-    """Full replace; returns the new current version."""
+    """Full replace; returns the table."""
     spark = df.sparkSession
-    number = max([n for n, _ in _folders(spark, path)], default=0) + 1
-    df.write.mode("errorifexists").parquet(_version_path(path, number))
+    df.write.mode("errorifexists").parquet(_next(spark, path, "v"))
     return read_current(spark, path)
 
 
 def load_append(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
-    number = current_version(spark, path)
-    if number is None:
+    if current_version(spark, path) is None:
         return load_replace(df, path)
-    df.write.mode("append").parquet(_version_path(path, number))
+    df.write.mode("errorifexists").parquet(_next(spark, path, "a"))
     return read_current(spark, path)
 
 
@@ -81,6 +100,44 @@ def load_table(source: DataFrame, path: str, key: str, incremental: bool,
     return load_incremental(source, path, key, cursor)
 
 
+def _snapshot_folders(spark: SparkSession, path: str) -> list[str]:
+    return [folder for _, folder, complete in _folders(spark, path) if complete]
+
+
+def _stored(spark: SparkSession, path: str, folders: list[str], schema: StructType,
+            opened: bool) -> DataFrame:
+    """Open or closed versions of the given runs; only their partitions are listed."""
+    # An explicit schema, because a run without any row leaves no file to learn it from.
+    layout = [StructField(c, IntegerType()) for c in (RUN, OPEN)]
+    reader = spark.read.schema(StructType([*schema.fields, *layout])).option("basePath", path)
+    return reader.parquet(*folders).filter(F.col(OPEN) == int(opened)).drop(RUN, OPEN)
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """Open versions of the last run and the closed ones of every run."""
+    done = _snapshot_folders(spark, path)
+    if not done:
+        return None
+    return _stored(spark, path, done[-1:], schema, True).unionByName(
+        _stored(spark, path, done, schema, False))
+
+
+def load_snapshot(source: DataFrame, path: str, key: str, updated_at: str, run_ts,
+                  hard_deletes: bool = True) -> DataFrame:
+    """One snapshot run over `source`. It reads and writes open versions and what it
+    closes; closed history is neither read nor rewritten. Open and newly closed versions
+    land in one folder, so both count or neither does."""
+    spark = source.sparkSession
+    schema = new_versions(source, key, updated_at).schema
+    done = _snapshot_folders(spark, path)
+    opened = _stored(spark, path, done[-1:], schema, True) if done else None
+    changed = snapshot_changes(opened, source, key, updated_at, run_ts, hard_deletes)
+    (changed.withColumn(OPEN, open_versions().cast("int"))
+     .write.mode("errorifexists").partitionBy(OPEN)
+     .parquet(_next(spark, path, f"{RUN}=")))
+    return read_snapshot(spark, path, schema)
+
+
 def write_fact_rfm(df: DataFrame, path: str) -> DataFrame:
     """Upsert on (date, account) into a table partitioned by date. Only the partitions of
     the dates at hand are read and rewritten; accounts scored earlier for the same date

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,7 +10,7 @@ from abono import fixed
 from abono.functions import (
     current_only, has_tenure, in_window, last_day_before, paid_plan, valid_at, yyyymmdd)
 from abono.operators import activity, checks, history, merge, rank
-from abono.operators.shared import shared_dir
+from abono.operators.shared import new_path
 from abono.plans import (
     activation, dimensions, jobs, lifecycle, quality, report, rfm, serving, staging)
 from abono.sinks import reports, versions
@@ -35,8 +34,7 @@ def query(name: str, oracle: str | None = None):
 
 
 def scratch(d: Domain, name: str) -> str:
-    """A new folder in the shared directory."""
-    return f"{shared_dir(d.spark)}/abono/{name}-{uuid.uuid4().hex}"
+    return new_path(d.spark, name)
 
 
 def simple(name: str, build: Callable[[Domain], DataFrame], oracle: str) -> None:
@@ -159,6 +157,13 @@ simple("st7_contents_strict_nulls",
                       THEN fecha_actualizacion END AS fecha_actualizacion
           FROM stg_contents s LEFT JOIN contents c ON s.id_contenido = c.content_id
           LEFT JOIN attributes_wide a ON s.id_contenido = a.content_id""")
+simple("st7_contents_incremental",
+       lambda d: staging.stg_contents(
+           d.contents, d.content_attributes,
+           target=d.stg_contents.filter(F.col("fecha_actualizacion") <= dm.moment(AS_OF))),
+       f"""SELECT * FROM stg_contents WHERE fecha_actualizacion > (
+           SELECT max(fecha_actualizacion) FROM stg_contents
+           WHERE fecha_actualizacion <= TIMESTAMP '{AS_OF}')""")
 simple("ag1_pivot_eav", lambda d: staging.content_attributes_wide(d.content_attributes),
        "SELECT * FROM attributes_wide")
 
@@ -468,6 +473,17 @@ def _(d):
         history.new_versions(first, "user_id", "ts"), second, "user_id", "ts", dm.EVENTS_SECOND)
 
 
+@query("scd1_snapshot_store", "SELECT * FROM events_merged")
+def _(d):
+    path = scratch(d, "scd1")
+    before = d.events_log.filter(F.col("ts") < dm.moment(dm.EVENTS_FIRST))
+    for log, keep, run_ts in ((before, F.lit(True), dm.EVENTS_FIRST),
+                              (d.events_log, F.col("event_type") != "error", dm.EVENTS_SECOND)):
+        source = rank.newest_per_key(log, "user_id", "ts", ["event_id"]).filter(keep)
+        stored = versions.load_snapshot(source, path, "user_id", "ts", run_ts)
+    return stored
+
+
 simple("scd1_accounts_snapshot", lambda d: d.accounts_snapshot, "SELECT * FROM accounts_snapshot")
 simple("scd2_versions",
        lambda d: history.versions_from_history(d.events_log, "user_id", "ts", "event_id"),

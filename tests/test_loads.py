@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from abono.operators.history import snapshot_merge
 from abono.operators.merge import merge_into_table, merge_upsert, since_watermark
 from abono.sinks import versions
 from abono.sinks.reports import write_crm_outbox, write_report
@@ -60,11 +61,28 @@ def test_versions(spark, frame, tmp_path):
     assert rows(out, "id", "v") == [(2, "b"), (3, "c2"), (4, "d")]
     # A version without its success marker does not count, and its number is not reused.
     os.makedirs(f"{path}/v00000009")
-    assert versions.current_version(spark, path) == 3
+    os.makedirs(f"{path}/a00000008")
+    assert versions.current_version(spark, path) == 4
+    assert rows(versions.read_current(spark, path)) == rows(out)
     versions.load_replace(first, path)
     assert versions.current_version(spark, path) == 10
 
 
+def test_snapshot_runs_keep_closed_history_in_place(spark, frame, tmp_path):
+    path, ddl = str(tmp_path / "s"), "k int, name string, at timestamp_ntz"
+    days = [[], [(1, "a", "2024-01-01"), (2, "b", "2024-01-01")], [(1, "a2", "2024-01-02")],
+            [(1, "a2", "2024-01-02"), (2, "b2", "2024-01-03")], []]
+    whole = None
+    for n, day_rows in enumerate(days):
+        source, run_ts = frame(day_rows, ddl), f"2024-01-0{n + 1} 12:00:00"
+        whole = snapshot_merge(whole, source, "k", "at", run_ts)
+        stored = versions.load_snapshot(source, path, "k", "at", run_ts)
+        assert rows(stored.select(*whole.columns)) == rows(whole)
+    assert stored.count() == 4
+    closed = sorted(p.parent.parent.name for p in tmp_path.glob("s/run=*/abierta=0/*.parquet"))
+    assert sorted(set(closed)) == ["run=00000003", "run=00000005"]
+
+
 def test_failed_load_leaves_the_table(spark, frame, tmp_path):
     path = str(tmp_path / "t")
     versions.load_replace(frame([(1, "a", "2024-01-01")], ROW), path)

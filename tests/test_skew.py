@@ -1,6 +1,6 @@
 import random
 
-from abono.operators.history import versions_from_history
+from abono.operators.history import asof_dim, versions_from_history
 from abono.operators.skew import HotLimits, hot_keys, with_neighbours
 from abono.plans.lifecycle import lifecycle_periods
 from tests.conftest import rows
@@ -63,3 +63,33 @@ def test_hot_account_lifecycle_and_hot_change_log(spark):
         "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(cast(id % 97 as int)) as at")
     assert rows(versions_from_history(log, "k", "at", "t", small)) == rows(
         versions_from_history(log, "k", "at", "t", PLAIN))
+
+
+def test_asof_join_splits_a_hot_key(spark, tmp_path):
+    """Adaptive execution cuts the hot key's partition up on the fact side."""
+    tight = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in tight}
+    try:
+        for k, v in tight.items():
+            spark.conf.set(k, v)
+        fact = spark.range(0, 30000, 1, 8).selectExpr(
+            "if(id % 3 = 0, 1, id) as k", "date'2024-01-05' as d", "uuid() as filler")
+        dim = spark.range(0, 30000, 1, 8).selectExpr(
+            "id as k", "cast(id as string) as sk", "date'2024-01-01' as valido_desde",
+            "date'9999-12-31' as valido_hasta")
+        out = asof_dim(fact, dim, "k", "d", "sk")
+        out.write.parquet(str(tmp_path / "out"))
+        assert spark.read.parquet(str(tmp_path / "out")).filter("sk is null").isEmpty()
+        assert out.count() == 30000
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
