@@ -49,9 +49,10 @@ def snapshot_changes(
     if opened is None:
         return fresh
     columns = fresh.columns
-    both = opened.select(F.struct(*columns).alias("old")).join(
-        fresh.select(F.struct(*columns).alias("new")),
-        F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
+    # The keys stay beside the rows, so that inputs hashed on them are not shuffled again.
+    both = opened.select(F.col(key).alias("_old_key"), F.struct(*columns).alias("old")).join(
+        fresh.select(F.col(key).alias("_new_key"), F.struct(*columns).alias("new")),
+        F.col("_old_key") == F.col("_new_key"), "full_outer")
 
     newer = F.col(f"new.{updated_at}") > F.col("old.dbt_valid_from")
     gone = F.col("new").isNull()

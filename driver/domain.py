@@ -242,10 +242,14 @@ class Domain:
             self.stg_contents, self.stg_subscription_payments, self.stg_accounts_subscription,
             self.stg_account_premium_features, as_of, **options)
 
+    @cached_property
+    def fact_rfm_latest(self) -> DataFrame:
+        return self.fact_rfm()
+
     @cached_property
     def fact_rfm_both(self) -> DataFrame:
         """Scores at two dates."""
-        return self.fact_rfm(EARLIER).unionByName(self.fact_rfm(AS_OF))
+        return self.fact_rfm(EARLIER).unionByName(self.fact_rfm_latest)
 
     @cached_property
     def dim_cuentas(self) -> DataFrame:

@@ -10,7 +10,7 @@ from abono import fixed
 from abono.functions import (
     current_only, has_tenure, in_window, last_day_before, paid_plan, valid_at, yyyymmdd)
 from abono.operators import activity, checks, history, merge, rank
-from abono.operators.shared import new_path
+from abono.operators.shared import materialize, new_path
 from abono.plans import (
     activation, dimensions, jobs, lifecycle, quality, report, rfm, serving, staging)
 from abono.sinks import reports, versions
@@ -215,8 +215,9 @@ simple("j2_payments_by_account",
            FROM stg_subscription_payments JOIN stg_accounts_subscription USING (id_suscripcion_cuenta)
            GROUP BY id_suscripcion_cuenta, id_cuenta""")
 simple("j6_asof_dim",
-       lambda d: history.asof_dim(d.stg_accounts_subscription, d.dim_cuentas_base, "id_cuenta",
-                                  "fecha_inicio", "id_dim_cuenta", on_overlap="error"),
+       lambda d: history.asof_dim(d.stg_accounts_subscription, d.dim_cuentas_base_stored,
+                                  "id_cuenta", "fecha_inicio", "id_dim_cuenta",
+                                  on_overlap="error"),
        """SELECT s.*, c.id_dim_cuenta FROM stg_accounts_subscription s
           LEFT JOIN dim_cuentas_base c ON s.id_cuenta = c.id_cuenta
            AND s.fecha_inicio BETWEEN c.valido_desde AND c.valido_hasta""")
@@ -438,9 +439,15 @@ simple("dq_declared_staging",
 
 @query("dq_declared_marts", _declared_sql(quality.MART_CHECKS))
 def _(d):
-    marts = {t: getattr(d, t) for t in ("dim_cuentas_base", "dim_cuentas", "dim_suscripciones",
-                                        "dim_contenidos", "stg_accounts")}
-    marts |= {"fact_suscripciones_cuentas": d.fact_suscripciones, "fact_rfm": d.fact_rfm()}
+    marts = {
+        "stg_accounts": d.stg_accounts,
+        "dim_cuentas_base": d.dim_cuentas_base_stored,
+        "dim_suscripciones": d.dim_suscripciones_stored,
+        "dim_contenidos": materialize(d.dim_contenidos, "dim_contenidos"),
+        "dim_cuentas": materialize(d.dim_cuentas, "dim_cuentas"),
+        "fact_suscripciones_cuentas": materialize(d.fact_suscripciones_scored, "fact_subs"),
+        "fact_rfm": materialize(d.fact_rfm_latest, "fact_rfm"),
+    }
     return quality.declared_checks(marts, quality.MART_CHECKS)
 
 
