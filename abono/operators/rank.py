@@ -62,7 +62,7 @@ def exact_ntile(
     materialized: bool = False,
 ) -> DataFrame:
     """Add {score: (metric, 'asc' | 'desc')} columns with ntile(k) over the whole table,
-    ties broken by `key` (unique, not null), null metrics last.
+    ties broken by `key` (unique, not null), null metrics last; metrics hold no NaN.
 
     The built-in ntile moves every row to one task. Above small_bytes all metrics are
     instead range-sorted together as narrow (score, metric, key) rows; partition counts

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 
 from abono import fixed
-from abono.functions import as_date, yyyymmdd
 from abono.operators.shared import materialize, plan_bytes
 
 ONE_FILE_BYTES = 64 << 20
 
 
-def report_name(spark, run_date) -> str:
-    stamp = spark.range(1).select(yyyymmdd(as_date(run_date))).first()[0]
-    return f"{fixed.REPORT_STEM}_{stamp}.csv"
+def report_name(run_date) -> str:
+    """run_date is a date, a datetime or ISO text."""
+    day = dt.date.fromisoformat(str(run_date)[:10])
+    return f"{fixed.REPORT_STEM}_{day:%Y%m%d}.csv"
 
 
 def write_report(df: DataFrame, out_dir: str, run_date) -> bool:
@@ -25,7 +27,7 @@ def write_report(df: DataFrame, out_dir: str, run_date) -> bool:
     if plan_bytes(rows) <= ONE_FILE_BYTES:
         rows = rows.coalesce(1)
     rows.write.mode("overwrite").csv(
-        f"{out_dir}/{report_name(df.sparkSession, run_date)}", header=True)
+        f"{out_dir}/{report_name(run_date)}", header=True)
     return True
 
 

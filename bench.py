@@ -18,7 +18,8 @@ from driver.queries import QUERIES  # noqa: E402
 
 HEADLINE = [
     "st7_contents", "j6_asof_dim", "w1_w3_neighbours", "w9_quintiles",
-    "w9_quintiles_distributed", "scd1_snapshot_merge", "scd2_versions", "scd3_dimension",
+    "w9_quintiles_distributed", "w9_order_quintiles", "w9_order_quintiles_distributed",
+    "scd1_snapshot_merge", "scd2_versions", "scd3_dimension",
     "scd4_dim_cuentas", "sub1_lifecycle", "rfm7_fact", "rpt1_enterprise", "ld4_upsert",
     "dq12_full_run", "crm2_match",
 ]

@@ -125,7 +125,7 @@ def _(d):
     out = scratch(d, "ld8")
     found = report.enterprise_report(d.accounts, d.subscriptions, d.accounts_subscription)
     reports.write_report(found, out, AS_OF)
-    name = reports.report_name(d.spark, AS_OF)
+    name = reports.report_name(AS_OF)
     return sources.read_csv(d.spark, f"{out}/{name}", found.schema)
 
 
@@ -281,6 +281,21 @@ simple("w9_quintiles", _quintiles, W9_SQL)
 simple("w9_quintiles_distributed", lambda d: _quintiles(d, small_bytes=-1), W9_SQL)
 
 
+_ORDER_SQL = """SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(12,2)) AS importe,
+    ntile(5) OVER (ORDER BY CAST(o_totalprice AS DECIMAL(12,2)) NULLS LAST, o_orderkey) AS quintil
+    FROM orders"""
+
+
+def _order_quintiles(d: Domain, **options) -> DataFrame:
+    prices = d.read("orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("decimal(12,2)").alias("importe"))
+    return rank.exact_ntile(prices, "o_orderkey", {"quintil": ("importe", "asc")}, **options)
+
+
+simple("w9_order_quintiles", _order_quintiles, _ORDER_SQL)
+simple("w9_order_quintiles_distributed", lambda d: _order_quintiles(d, small_bytes=-1), _ORDER_SQL)
+
+
 # Sort and limit.
 
 simple("so1_topk", lambda d: activation.crm_candidates(d.dim_cuentas),
@@ -560,7 +575,7 @@ def _(d):
     out = scratch(d, "rpt2")
     report.run_report(d.spark, d, out, AS_OF)
     schema = report.enterprise_report(*sources.extract_report_inputs(d.spark, d)).schema
-    return sources.read_csv(d.spark, f"{out}/{reports.report_name(d.spark, AS_OF)}", schema)
+    return sources.read_csv(d.spark, f"{out}/{reports.report_name(AS_OF)}", schema)
 
 
 simple("crm1_candidates", lambda d: activation.all_candidates(d.dim_cuentas), "SELECT * FROM crm_all")

@@ -1,6 +1,6 @@
 import pytest
 
-from abono import fixed
+from abono import cli, fixed
 from abono.plans import jobs
 from abono.schemas import RAW_SCHEMAS
 from abono.sources.tables import FrameSource
@@ -78,3 +78,17 @@ def test_stops_at_failing_checks(spark, frame, tmp_path):
         ("unique", "account_subscription_id"), ("relationships", "account_id"),
         ("relationships", "account_subscription_id")}
     assert cfg.lake.maybe(spark, "staging", "stg_accounts") is None
+
+
+def test_command_line(spark, frame, tmp_path, capsys):
+    raw, lake = tmp_path / "raw", tmp_path / "lake"
+    for name, df in source(frame).frames.items():
+        df.write.parquet(str(raw / name))
+    base = ["--source", str(raw), "--lake", str(lake), "--env", "dev"]
+    cli.main(["load", *base, "--tables", "accounts", "contents", "--full-refresh", "--validate"])
+    assert "row_count" in capsys.readouterr().out
+    assert jobs.Lake(str(lake), "dev").maybe(spark, "raw", "subscriptions") is None
+    everything = cli.config(cli.parser().parse_args(["load", *base, "--full-refresh"]))
+    assert set(everything.full_refresh) == set(fixed.RAW_TABLES)
+    cli.main(["report", *base, "--as-of", "2024-01-01"])
+    assert "nothing to report" in capsys.readouterr().out
