@@ -27,7 +27,7 @@ class HotLimits:
     """
 
     small_bytes: int = 64 << 20
-    group_rows: int = 2_000_000
+    group_rows: int = 5_000_000
     max_keys: int = 10_000
 
 

@@ -260,7 +260,7 @@ class Domain:
         """CRM extract: customers with a positive balance are known there."""
         return self.read("customer").filter(F.col("c_acctbal") > 0).select(
             F.col("c_custkey").alias("id_cuenta"),
-            F.concat(F.lit("hs-"), F.col("c_custkey").cast("string")).alias("company_id"))
+            F.concat(F.lit("crm-"), F.col("c_custkey").cast("string")).alias("company_id"))
 
     # The event log as a change log of users.
 

@@ -155,12 +155,12 @@ def test_crm(frame):
     assert rows(activation.crm_candidates(dim), "id_cuenta") == [(0,), (1,), (3,), (5,), (6,)]
     assert activation.crm_candidates(dim, 0).isEmpty()
     assert activation.crm_candidates(dim, 2).count() == 2
-    companies = frame([(1, "hs1"), (5, "hs5"), (4, "hs4")], "id_cuenta int, company_id string")
+    companies = frame([(1, "c1"), (5, "c5"), (4, "c4")], "id_cuenta int, company_id string")
     matched = activation.crm_match(activation.all_candidates(dim), companies)
     assert matched.count() == 6
     payloads = {r["company_id"]: json.loads(r["payload"])
                 for r in activation.crm_payload(matched).collect()}
-    assert payloads == {c: {"properties": {"segmento_rfm": "Campeones"}} for c in ("hs1", "hs5")}
+    assert payloads == {c: {"properties": {"segmento_rfm": "Campeones"}} for c in ("c1", "c5")}
     assert tuple(activation.crm_summary(matched).first()) == (2, 4, 6, 33.3)
     assert tuple(activation.crm_summary(matched.limit(0)).first()) == (0, 0, 0, None)
     assert tuple(activation.mapping_test(dim, companies, 5).first()) == (1, 0, 1, 100.0)
