@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from driver.queries import QUERIES  # noqa: E402
+from given_tables.queries import QUERIES  # noqa: E402
 
 HEADLINE = [
     "st7_contents", "j6_asof_dim", "w1_w3_neighbours", "w9_quintiles",

@@ -1,4 +1,4 @@
-"""Run registered queries and their SQL side by side: python -m driver.compare [sf_dir] [name ...]"""
+"""Run registered queries and their SQL side by side: python -m given_tables.compare [sf_dir] [name ...]"""
 
 from __future__ import annotations
 
@@ -76,7 +76,7 @@ def compare(spark, con, name, build, sql, sf_dir) -> str | None:
 
 
 def main() -> int:
-    from driver.queries import ORACLES, QUERIES
+    from given_tables.queries import ORACLES, QUERIES
     args = sys.argv[1:]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     names = args[1:] or list(QUERIES)

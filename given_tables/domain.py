@@ -1,6 +1,6 @@
-"""Driver tables as the domain's raw tables, and everything derived from them.
+"""Given tables as the domain's raw tables, and everything derived from them.
 
-The oracle repeats this mapping in SQL (driver/oracle.py)."""
+The oracle repeats this mapping in SQL (given_tables/oracle.py)."""
 
 from __future__ import annotations
 
@@ -33,7 +33,7 @@ class Domain:
         self._files: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        """A driver table; its schema is looked up once."""
+        """A given table; its schema is looked up once."""
         if name not in self._files:
             self._files[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._files[name]

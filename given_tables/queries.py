@@ -1,4 +1,4 @@
-"""One registered query per operator, with its SQL, over the whole driver tables."""
+"""One registered query per operator, with its SQL, over the whole given tables."""
 
 from __future__ import annotations
 
@@ -15,9 +15,9 @@ from abono.plans import (
     activation, dimensions, jobs, lifecycle, quality, report, rfm, serving, staging)
 from abono.sinks import reports, versions
 from abono.sources import tables as sources
-from driver import domain as dm
-from driver.domain import AS_OF, EARLIER, NOW, Domain
-from driver.oracle import MONEY, sql
+from given_tables import domain as dm
+from given_tables.domain import AS_OF, EARLIER, NOW, Domain
+from given_tables.oracle import MONEY, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

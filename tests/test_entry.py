@@ -1,7 +1,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from driver.compare import compare, duck
+from given_tables.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
 SLOW = ("job", "crm", "sv", "ld7", "ld9", "scd4", "so1", "dq_declared", "dq12", "rfm2", "rfm3",
