@@ -5,25 +5,45 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from abono.llm import decontaminate, licenses
+from abono.llm import decontaminate, licenses, quality, toxicity
+from abono.llm.labelled import remainder
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    scored = toxicity.toxicity(docs, labels, allowed=remainder("doc_id", 5) != 0)
+    return scored.select(
+        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_segments", "best_start", "best_end", "log_p")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")
     return decontaminate.leaks_digest(decontaminate.find_leaks(docs, items))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    scored = quality.quality(docs, labels, allowed=remainder("doc_id", 3) != 1)
+    return scored.select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses_digest(licenses.scan_licenses(_read(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_decontaminate": op2_decontaminate,
+    "op6_quality": op6_quality,
     "op10_licenses": op10_licenses,
 }
 
