@@ -1,12 +1,13 @@
 """Toxicity by maximum-scoring segments.
 
-Each word has a score: its log-odds between toxic and other labelled documents, under a
-Dirichlet prior with the word shares of all documents, as far as they are significant, less a
-small drift. A linear scan finds every maximal segment of a text's word scores. How high
-segments rise by chance follows an extreme-value law, whose scale comes from the score
-distribution and whose size from the best segments of documents that are not toxic; a segment
-counts if its expected number in such a text is small. A document's score is a logistic
-function of its best segment's significance and of that of all its segments."""
+Words and their beginnings have log-odds between toxic and other labelled documents, under a
+Dirichlet prior with the shares in all documents, shrunk by some standard errors towards 0. A
+word's score is that of itself or of one of its beginnings, whichever is the farthest from 0,
+less a drift. A linear scan finds every maximal segment of a text's word scores. How high
+segments rise by chance follows an extreme-value law, fitted to the best segments of labelled
+documents that are not toxic; a segment counts if its expected number in such a text is
+small. A document's score is a logistic function of its best segment's significance and of
+that of all its segments."""
 
 from __future__ import annotations
 
@@ -19,18 +20,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abono.llm.labelled import labelled
-from abono.llm.text import Piece, per_document, sliced, word_hashes, words_of
+from abono.llm.text import (
+    LOWER, Piece, joined_hash, mixed, per_document, running_hash, sliced, span_hash, word_hashes, words_of,
+)
 
 
 @dataclass(frozen=True)
 class Params:
     #: Words share this many counters; the tables sent to executors are of this size.
-    slots_log2: int = 18
+    slots_log2: int = 21
+    #: Sketches by which near copies are told in the sample.
+    sketches: int = 4
     #: Weight of the prior, in words.
-    prior: float = 500.0
-    #: Standard errors from which on a word's log-odds count.
+    prior: float = 300_000.0
+    #: Standard errors by which log-odds shrink.
     significant: float = 4.0
-    drift: float = 0.2
+    #: Bytes of the beginnings that count beside the whole word.
+    stems: tuple[int, ...] = (4, 5)
+    drift: float = 0.5
     #: Expected number of chance segments below which a segment counts.
     expect: float = 0.05
     #: Bound of the labelled documents that are learned from (twice that at most).
@@ -38,18 +45,28 @@ class Params:
 
 
 def _slots(piece: Piece, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """A row of slots per word, of the word and its beginnings, and the cuts between texts."""
     words = words_of(piece)
-    return (word_hashes(piece, words) >> np.uint64(64 - p.slots_log2)).astype(np.int64), words.cuts
+    running = running_hash(LOWER[piece.data])
+    forms = [span_hash(running, words.start, words.end)]
+    for k, size in enumerate(p.stems, start=1):
+        end = np.minimum(words.start + size, words.end)
+        forms.append(mixed(span_hash(running, words.start, end) + np.uint64(k)))
+    return (np.stack(forms, axis=1) >> np.uint64(64 - p.slots_log2)).astype(np.int64), words.cuts
 
 
 def word_counts(docs: DataFrame, text_col: str, group: Column, p: Params) -> DataFrame:
-    """(group, slot, n): occurrences of words by slot and group, an int; summed in each task."""
+    """(group, slot, n): texts with a word, by slot and group, an int; summed in each task.
+    A word counts once per text, so that a text that repeats it is no more than one witness."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for rows, piece in sliced(batch, 1):
                 slots, cuts = _slots(piece, p)
-                groups = np.repeat(rows.column(0).to_numpy(zero_copy_only=False), np.diff(cuts))
+                text = np.repeat(np.arange(len(piece)), np.diff(cuts))
+                once = np.unique((text[:, None] << p.slots_log2) | slots)
+                slots = once & ((1 << p.slots_log2) - 1)
+                groups = rows.column(0).to_numpy(zero_copy_only=False)[once >> p.slots_log2]
                 for g in np.unique(groups).tolist():
                     n = np.bincount(slots[groups == g], minlength=1 << p.slots_log2)
                     totals[g] = totals[g] + n if g in totals else n
@@ -102,14 +119,44 @@ def _maximal(starts: np.ndarray, ends: np.ndarray, left: np.ndarray, right: np.n
     return [(s, e, hi - lo) for s, e, lo, hi in kept]
 
 
+def one_of_copies(docs: DataFrame, text_col: str, p: Params) -> DataFrame:
+    """Labelled texts without most near copies: of those with one of several least hashes of
+    three neighbouring words the same, one stays, so that copies are one witness, not many.
+    Short texts compare by all words."""
+    names = [f"__least{k}" for k in range(p.sketches)]
+
+    def make():
+        def run(piece: Piece) -> dict[str, object]:
+            words = words_of(piece)
+            h = word_hashes(piece, words)
+            least = np.zeros((p.sketches, len(piece)), dtype=np.uint64)
+            for i in range(len(piece)):
+                own = h[words.cuts[i]:words.cuts[i + 1]]
+                if len(own):
+                    runs = joined_hash(own, min(3, len(own)))
+                    least[:, i] = [mixed(runs + np.uint64(k)).min() for k in range(p.sketches)]
+            return dict(zip(names, least.view(np.int64)))
+        return run
+
+    rows = per_document(docs, text_col, make, ", ".join(f"{x} long" for x in names), docs.columns)
+    for name in names:
+        rows = rows.dropDuplicates([name, "__label"])
+    return rows.drop(*names)
+
+
 @dataclass
 class Model:
-    scores: np.ndarray
+    odds: np.ndarray
     rate: float
     size: float
     weights: np.ndarray
     p: Params
 
+    def scores(self, slots: np.ndarray) -> np.ndarray:
+        odds = self.odds[slots]
+        form = np.abs(odds).argmax(axis=1)
+        return odds[np.arange(len(odds)), form] - self.p.drift
+
     def evidence(self, n_words: int, found: list[tuple[int, int, float]]) -> tuple[float, float, int, int, int]:
         """Of the best segment -log of the chance of one as high; of the segments that count
         the sum of -log of their expected numbers; their number; place of the best."""
@@ -132,27 +179,23 @@ class Model:
 
 
 def log_odds(every: np.ndarray, toxic: np.ndarray, other: np.ndarray, p: Params) -> np.ndarray:
-    """Word scores by slot; what was never seen is as likely in either."""
+    """Log-odds by slot, shrunk towards 0."""
     prior = p.prior * (every + 1e-3) / (every.sum() + 1e-3 * len(every))
     def odds(n: np.ndarray) -> np.ndarray:
         return np.log((n + prior) / (n.sum() + p.prior - n - prior))
     delta = odds(toxic) - odds(other)
     error = np.sqrt(1 / (toxic + prior) + 1 / (other + prior))
-    return np.where(np.abs(delta) > p.significant * error, delta, 0.0) - p.drift
+    return (np.sign(delta) * np.maximum(np.abs(delta) - p.significant * error, 0)).astype(np.float32)
 
 
-def scale(scores: np.ndarray, weights: np.ndarray) -> float:
-    """The positive rate at which the mean of exp(rate * score) is 1, found by halving."""
-    share = weights / max(weights.sum(), 1)
-    if not ((scores > 0) & (share > 0)).any() or (share * scores).sum() >= 0:
-        return 1.0
-    low, high = 0.0, 1.0
-    while (share * np.exp(np.minimum(high * scores, 500))).sum() < 1 and high < 100:
-        high *= 2
-    for _ in range(60):
-        mid = (low + high) / 2
-        low, high = (mid, high) if (share * np.exp(np.minimum(mid * scores, 500))).sum() < 1 else (low, mid)
-    return high
+def extreme_value(best: np.ndarray, n_words: np.ndarray) -> tuple[float, float]:
+    """(rate, size) of the law of the best chance score of n words, a Gumbel law around
+    log(size * n) / rate, from its mean and variance over texts without toxic words."""
+    if len(best) < 2 or best.var() == 0:
+        return 1.0, 1.0
+    log_n = np.log(n_words)
+    rate = float(np.sqrt((np.pi**2 / 6 + log_n.var()) / best.var()))
+    return rate, float(np.exp(np.clip(np.mean(rate * best - log_n) - np.euler_gamma, -30, 10)))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -173,7 +216,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 def _counts(table: pa.Table, p: Params) -> dict[int, np.ndarray]:
     group, slot, n = (table[c].to_numpy() for c in ("g", "slot", "n"))
-    return {g: np.bincount(slot[group == g], weights=n[group == g], minlength=1 << p.slots_log2) for g in (-1, 0, 1)}
+    return {g: np.bincount(slot[group == g], weights=n[group == g], minlength=1 << p.slots_log2) for g in (0, 1)}
 
 
 def _measured(docs: DataFrame, model: Model, text_col: str, keep: list[str]) -> DataFrame:
@@ -183,7 +226,7 @@ def _measured(docs: DataFrame, model: Model, text_col: str, keep: list[str]) ->
         def run(piece: Piece) -> dict[str, object]:
             slots, cuts = _slots(piece, p)
             n_words = np.diff(cuts)
-            rows = [model.evidence(int(n), found) for n, found in zip(n_words, segments(model.scores[slots], cuts))]
+            rows = [model.evidence(int(n), found) for n, found in zip(n_words, segments(model.scores(slots), cuts))]
             best, total, count, start, end = (np.array(x) for x in zip(*rows))
             return {"score": model.probability(best, total), "n_words": n_words, "log_p": best, "log_e": total,
                     "n_segments": count, "best_start": start, "best_end": end}
@@ -195,19 +238,14 @@ def _measured(docs: DataFrame, model: Model, text_col: str, keep: list[str]) ->
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, allowed: Column, p: Params) -> Model:
     sample = labelled(labels, id_col, label_col, allowed, p.sample)
-    every = docs.select(id_col, text_col).join(F.broadcast(sample), id_col, "left")
-    counts = _counts(word_counts(every, text_col, F.coalesce("__label", F.lit(-1)), p).toArrow(), p)
-    scores = log_odds(sum(counts.values()), counts[1], counts[0], p)
-    usual = counts[-1] + counts[0]
-    model = Model(scores, scale(scores, usual), 1.0, np.zeros(3), p)
-    marked = docs.select(id_col, text_col).join(F.broadcast(sample), id_col)
+    marked = one_of_copies(docs.select(id_col, text_col).join(F.broadcast(sample), id_col), text_col, p).checkpoint()
+    every = _counts(word_counts(docs, text_col, F.lit(0), p).toArrow(), p)[0]
+    counts = _counts(word_counts(marked, text_col, F.col("__label"), p).toArrow(), p)
+    model = Model(log_odds(every, counts[1], counts[0], p), 1.0, 1.0, np.zeros(3), p)
     best = _best_scores(marked, model, text_col)
     label, n_words, top = (best[c].to_numpy() for c in ("__label", "n_words", "top"))
     calm = (label == 0) & (n_words > 0)
-    if calm.any():
-        # the mean of the best score is (log(size * words) + Euler's constant) / rate
-        fitted = model.rate * top[calm] - np.log(n_words[calm])
-        model.size = float(np.exp(np.clip(np.mean(fitted) - 0.5772156649, -30, 10)))
+    model.rate, model.size = extreme_value(top[calm], n_words[calm])
     measured = _measured(marked, model, text_col, ["__label"]).select("__label", "log_p", "log_e").toArrow()
     y, log_p, log_e = (measured[c].to_numpy() for c in ("__label", "log_p", "log_e"))
     if 0 < y.sum() < len(y):
@@ -224,7 +262,7 @@ def _best_scores(docs: DataFrame, model: Model, text_col: str) -> pa.Table:
     def make():
         def run(piece: Piece) -> dict[str, object]:
             slots, cuts = _slots(piece, p)
-            found = segments(model.scores[slots], cuts)
+            found = segments(model.scores(slots), cuts)
             return {"n_words": np.diff(cuts), "top": [max((x[2] for x in f), default=0.0) for f in found]}
         return run
 
