@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abono.llm import decontaminate, licenses, quality, toxicity
+from abono.llm import decontaminate, licenses, quality, toxicity, urls
 from abono.llm.labelled import remainder
 
 
@@ -28,6 +28,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks_digest(decontaminate.find_leaks(docs, items))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(_read(spark, sf_dir, "pages"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     scored = quality.quality(docs, labels, allowed=remainder("doc_id", 3) != 1)
@@ -43,6 +47,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontaminate": op2_decontaminate,
+    "op3_url_filter": op3_url_filter,
     "op6_quality": op6_quality,
     "op10_licenses": op10_licenses,
 }
