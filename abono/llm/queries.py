@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abono.llm import decontaminate, licenses, quality, toxicity, urls
+from abono.llm import decontaminate, licenses, quality, secrets, toxicity, urls
 from abono.llm.labelled import remainder
 
 
@@ -40,6 +40,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets_digest(secrets.find_secrets(_read(spark, sf_dir, "documents")))
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses_digest(licenses.scan_licenses(_read(spark, sf_dir, "documents")))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_url_filter": op3_url_filter,
     "op6_quality": op6_quality,
+    "op8_secrets": op8_secrets,
     "op10_licenses": op10_licenses,
 }
 
