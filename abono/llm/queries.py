@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abono.llm import decontaminate, licenses, quality, secrets, toxicity, urls
+from abono.llm import decontaminate, licenses, quality, repeats, secrets, toxicity, urls
 from abono.llm.labelled import remainder
 
 
@@ -32,6 +32,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(_read(spark, sf_dir, "pages"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_digest(repeats.remove_repeats(_read(spark, sf_dir, "documents"), keep_first=False))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     scored = quality.quality(docs, labels, allowed=remainder("doc_id", 3) != 1)
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontaminate": op2_decontaminate,
     "op3_url_filter": op3_url_filter,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality": op6_quality,
     "op8_secrets": op8_secrets,
     "op10_licenses": op10_licenses,
@@ -73,4 +78,19 @@ ORACLES: dict[str, str] = {
                CAST(coalesce(named.n, 0) AS BIGINT) AS n_items, sha256(coalesce(named.s, '')) AS items_sha256,
                coalesce(marked.n, 0) > 0 AS contaminated
         FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op5_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        p AS (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 199)) AS i FROM d WHERE len(x) >= 400),
+        w AS (SELECT doc_id, i, hash(substr(x, 2 * i + 1, 400)) AS h FROM p),
+        r AS (SELECT doc_id, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+        l AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM r),
+        s AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM l),
+        m AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM s GROUP BY doc_id, g),
+        e AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS kept_from FROM m),
+        k AS (SELECT doc_id, count(*) AS n, sum(b - a) AS removed, max(b) AS last,
+              string_agg(substr(x, 2 * kept_from + 1, 2 * (a - kept_from)), '' ORDER BY a) AS kept FROM e JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+               CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+               sha256(unhex(CASE WHEN n IS NULL THEN x ELSE kept || substr(x, 2 * last + 1) END)) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)""",
 }
