@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abono.llm import decontaminate, licenses, quality, repeats, secrets, toxicity, urls
+from abono.llm import decontaminate, jaccard, licenses, quality, repeats, secrets, toxicity, urls
 from abono.llm.labelled import remainder
 
 
@@ -48,6 +48,10 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_digest(secrets.find_secrets(_read(spark, sf_dir, "documents")))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses_digest(licenses.scan_licenses(_read(spark, sf_dir, "documents")))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality": op6_quality,
     "op8_secrets": op8_secrets,
+    "op9_ngram_join": op9_ngram_join,
     "op10_licenses": op10_licenses,
 }
 
@@ -93,4 +98,15 @@ ORACLES: dict[str, str] = {
                CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
                sha256(unhex(CASE WHEN n IS NULL THEN x ELSE kept || substr(x, 2 * last + 1) END)) AS kept_sha256
         FROM d LEFT JOIN k USING (doc_id)""",
+    "op9_ngram_join": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE
+              list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS g FROM d WHERE len(w) > 0),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 90 * (x.n + y.n - common)),
+        l AS (SELECT a AS u, b AS v FROM e UNION SELECT b, a FROM e),
+        r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT l.v, r.c FROM r JOIN l ON l.u = r.doc_id)
+        SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, CAST(coalesce(c, d.doc_id) AS BIGINT) AS component_id
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) USING (doc_id)""",
 }
