@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abono.llm import decontaminate, jaccard, licenses, quality, repeats, secrets, toxicity, urls
+from abono.llm import decontaminate, jaccard, licenses, quality, repeats, secrets, spotsigs, toxicity, urls
 from abono.llm.labelled import remainder
 
 
@@ -32,6 +32,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(_read(spark, sf_dir, "pages"))
 
 
+def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.next_digest(spotsigs.compared_to_next(_read(spark, sf_dir, "documents")))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats_digest(repeats.remove_repeats(_read(spark, sf_dir, "documents"), keep_first=False))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontaminate": op2_decontaminate,
     "op3_url_filter": op3_url_filter,
+    "op4_spotsigs": op4_spotsigs,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality": op6_quality,
     "op8_secrets": op8_secrets,
