@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from abono.llm.store import stored
 from abono.llm.text import Piece, list_array, mixed, per_document, piece_of, ranges, sums_by, word_hashes, words_of
 
 LANE = 64
@@ -169,7 +170,7 @@ def find_leaks(
             out = out.withColumnsRenamed({"__hit": "hit_words", "__items": "item_ids"})
         else:
             columns = list(dict.fromkeys([*kept, text_col, "hit_words", "item_ids"]))
-            out = per_document(out.checkpoint(), text_col, _searcher(tables), fields, columns)
+            out = per_document(stored(out, "found"), text_col, _searcher(tables), fields, columns)
             out = out.withColumns({
                 "hit_words": F.array_sort(F.array_union("hit_words", "__hit")),
                 "item_ids": F.array_sort(F.array_union("item_ids", "__items")),

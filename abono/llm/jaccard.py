@@ -25,7 +25,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from abono.llm.graph import components
@@ -44,6 +44,8 @@ class Params:
     step: float = 1.5
     #: n-grams of a component that one task compares; larger ones are cut into blocks.
     block: int = 2_000_000
+    #: Fragments of a task's documents that are combined before the shuffle.
+    hold: int = 4_000_000
 
     def differ(self, total: int) -> int:
         """n-grams in which linked sets of `total` elements together differ at most."""
@@ -126,20 +128,49 @@ def fragment_keys(grams: np.ndarray, cuts: np.ndarray, p: Params) -> tuple[np.nd
 
 
 def _keyed(docs: DataFrame, text_col: str, p: Params) -> DataFrame:
-    """(key, node) of every document's fragments."""
+    """(key, node, other): of each key one node per task (and `hold` rows), other null; nodes
+    that share the key with that one are its edges, (any key, node, other). So what goes to a
+    key's partition does not grow with the documents that share it."""
+    def combined(keys: list[np.ndarray], nodes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        key, node = np.concatenate(keys), np.concatenate(nodes)
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = key[1:] != key[:-1]
+        least = node[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        keep = new | (node != least)
+        key, node, least, new = key[keep], node[keep], least[keep], new[keep]
+        key = np.where(new, key, mixed(node.view(np.uint64)).view(np.int64))
+        for at in range(0, len(key), 1 << 17):
+            part = slice(at, at + (1 << 17))
+            other = pa.array(least[part], mask=new[part])
+            yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(node[part]), other], names=["key", "node", "other"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys: list[np.ndarray] = []
+        nodes: list[np.ndarray] = []
         for batch in batches:
             for _, piece in sliced(batch, 0):
                 grams, cuts = sets_of(piece, p)
-                nodes = _nodes(grams, cuts)
-                _, one = np.unique(nodes, return_index=True)  # copies next to each other
+                own = _nodes(grams, cuts)
                 text, key = fragment_keys(grams, cuts, p)
-                first = np.zeros(len(nodes), dtype=bool)
-                first[one] = True
-                use = first[text]
-                yield pa.RecordBatch.from_pydict({"key": key[use].view(np.int64), "node": nodes[text[use]]})
+                keys.append(key.view(np.int64))
+                nodes.append(own[text])
+                if sum(map(len, keys)) > p.hold:
+                    yield from combined(keys, nodes)
+                    keys, nodes = [], []
+        if keys:
+            yield from combined(keys, nodes)
+
+    return docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(run, "key long, node long, other long")
+
 
-    return docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(run, "key long, node long")
+def sharing(docs: DataFrame, text_col: str, p: Params) -> DataFrame:
+    """(u, v): nodes that share a fragment are connected by these edges."""
+    rows = _keyed(docs, text_col, p).repartition("key")
+    least = F.min(F.when(F.col("other").isNull(), F.col("node"))).over(Window.partitionBy("key"))
+    edges = rows.select(F.col("node").alias("u"), F.coalesce("other", least).alias("v"))
+    return edges.where("u != v").distinct()
 
 
 def linked(a: np.ndarray, b: np.ndarray, p: Params) -> bool:
@@ -302,10 +333,7 @@ def jaccard_classes(
         return run
 
     sets = stored(per_document(docs, text_col, make, "n_shingles long, node long", [id_col]), "sets")
-    keyed = _keyed(docs, text_col, p)
-    shared = keyed.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v != w").select("key", "v")
-    edges = keyed.join(shared, "key").where("node != v").select(F.col("node").alias("u"), "v").distinct()
-    groups = stored(components(edges, "shared"), "groups")
+    groups = stored(components(sharing(docs, text_col, p), "shared"), "groups")
 
     nodes = sets.groupBy("node").agg(F.min(id_col).alias("id"), F.max("n_shingles").alias("n"))
     member = stored(groups.join(nodes, "node"), "members")
@@ -313,7 +341,8 @@ def jaccard_classes(
     blocks = F.ceil(F.col("total") / p.block)
     member = member.join(weight, "root").select("root", "node", "id", blocks.alias("blocks"))
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
-    texts = member.join(text, member["id"].eqNullSafe(text["id"])).select("root", "node", "t", "blocks")
+    # the same join at every size: members grow with the documents
+    texts = member.hint("merge").join(text, member["id"].eqNullSafe(text["id"])).select("root", "node", "t", "blocks")
     texts = stored(texts, "texts")
     links = _small(texts.where("blocks <= 1").select("root", "node", "t"), p)
     links = links.unionByName(_large(texts.where("blocks > 1"), p))

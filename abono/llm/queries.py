@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abono.llm import decontaminate, jaccard, licenses, quality, repeats, secrets, spotsigs, toxicity, urls
+from abono.llm import decontaminate, jaccard, licenses, pieces, quality, repeats, secrets, spotsigs, toxicity, urls
 from abono.llm.labelled import remainder
 
 
@@ -48,6 +48,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+#: Model of the registered queries; it must be on the driver.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(_read(spark, sf_dir, "documents"), model=MODEL)
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_digest(secrets.find_secrets(_read(spark, sf_dir, "documents")))
 
@@ -67,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_spotsigs": op4_spotsigs,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality": op6_quality,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_secrets": op8_secrets,
     "op9_ngram_join": op9_ngram_join,
     "op10_licenses": op10_licenses,

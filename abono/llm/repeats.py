@@ -282,7 +282,7 @@ def bodies(docs: DataFrame, wanted: DataFrame, p: Params) -> DataFrame:
     asked = wanted.groupBy("id", "th").agg(F.collect_list(F.struct("key", "whole", "a", "z")).alias("asked"))
     texts = docs.select(F.col("__id").alias("id"), F.col("__th").alias("th"), "__text")
     same = texts["id"].eqNullSafe(asked["id"]) & (texts["th"] == asked["th"])
-    rows = asked.join(texts, same).select(asked["id"], asked["th"], F.inline("asked"), F.col("__text").cast("binary").alias("t"))
+    rows = asked.hint("merge").join(texts, same).select(asked["id"], asked["th"], F.inline("asked"), F.col("__text").cast("binary").alias("t"))
     body = F.substring("t", F.col("a") + 1, F.col("z") - F.col("a") + p.length)
     return rows.select("key", "whole", "id", "th", "a", body.alias("body"))
 
@@ -292,7 +292,8 @@ def removed_spans(docs: DataFrame, p: Params, keep_first: bool) -> DataFrame:
     spans are start, end, start, end ..., unordered and overlapping."""
     strings = anchored_strings(docs, p)
     seen = strings.groupBy("key").agg(F.count(F.lit(1)).alias("n"), (F.min("whole") != F.max("whole")).alias("mixed"))
-    again = stored(strings.join(seen.where("n > 1").select("key", "mixed"), "key"), "again")
+    # the same joins at every size: what is joined grows with the documents
+    again = stored(strings.join(seen.where("n > 1").select("key", "mixed").hint("merge"), "key"), "again")
 
     occurrence = F.struct(F.col("__id").alias("id"), F.col("__th").alias("th"), "a", "z")
     kinds = again.where("mixed") if not keep_first else again
@@ -351,7 +352,7 @@ def remove_repeats(
     rows = docs.select(F.col(id_col).alias("__id"), F.hash(text).alias("__th"), text.alias("__text"))
     spans = removed_spans(rows, params, keep_first)
     same = rows["__id"].eqNullSafe(spans["__id"]) & (rows["__th"] == spans["__th"])
-    joined = rows.join(spans, same, "left").select(rows["__id"], F.col("__text").cast("binary").alias("t"), "spans")
+    joined = rows.join(spans.hint("merge"), same, "left").select(rows["__id"], F.col("__text").cast("binary").alias("t"), "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

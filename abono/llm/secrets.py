@@ -319,6 +319,42 @@ def find_secrets(
     return per_document(docs, text_col, make, fields, keep or [id_col])
 
 
+def redact(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    mark: str = "[secret]",
+    params: Params = Params(),
+) -> DataFrame:
+    """docs with each secret in text_col replaced by `mark`: of an assignment its value, of
+    other spans the whole. Other columns, and texts without secrets, stay as they are."""
+    model = train(docs, id_col, text_col, params)
+
+    def make():
+        def run(piece: Piece) -> dict[str, object]:
+            base, every = base_spans(piece), _spans(piece, model)
+            texts = []
+            for i in range(len(piece)):
+                text = piece.text(i).decode()
+                raw = piece.data[piece.offsets[i]:piece.offsets[i + 1]]
+                point = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)]) if base[i] else np.zeros(1, int)
+                spans = [(int(point[secret]), int(point[end])) for _, _, end, secret in base[i]]
+                spans += [(a, b) for a, k, b in every[i] if KINDS[k] == "crf"]
+                out, at = [], 0
+                for a, b in sorted(spans):
+                    if a >= at:
+                        out += [text[at:a], mark]
+                    at = max(at, b)
+                texts.append("".join(out) + text[at:])
+            return {"__redacted": texts}
+        return run
+
+    rows = per_document(docs, text_col, make, "__redacted string", docs.columns)
+    clean = F.when(F.col(text_col).isNotNull(), F.col("__redacted"))
+    return rows.withColumn(text_col, clean).select(*docs.columns)
+
+
 def secrets_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     def many(kind: str):
         return F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("long")

@@ -4,13 +4,20 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where it is unset, a folder in the warehouse, which all executors
+    share as well."""
+    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
+    return (spark.conf.get("spark.checkpoint.dir", None) or own).rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """df, written below spark.checkpoint.dir and read back: computed once, its lineage cut.
-    The folder must be set; a table of another run is never read."""
+    """df, written below the shared folder and read back: computed once, its lineage cut. A
+    table of another run is never read."""
     spark = df.sparkSession
-    path = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

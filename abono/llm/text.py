@@ -108,17 +108,19 @@ def per_document(
     new = T.StructType.fromDDL(fields)
     kinds = [to_arrow_type(f.dataType) for f in new]
     n = len(keep)
+    shared = text_col in keep and docs.schema[text_col].dataType == T.StringType()
+    at = list(keep).index(text_col) if shared else n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
         for batch in batches:
-            for rows, piece in sliced(batch, n, size):
+            for rows, piece in sliced(batch, at, size):
                 made = f(piece)
                 columns = [as_arrow(made[x.name], kind) for x, kind in zip(new, kinds)]
                 yield pa.RecordBatch.from_arrays([*rows.columns[:n], *columns], names=[*keep, *new.names])
 
     text = F.col(_quoted(text_col)).cast("string").alias("__text")
-    picked = docs.select(*[F.col(_quoted(c)) for c in keep], text)
+    picked = docs.select(*[F.col(_quoted(c)) for c in keep], *([] if shared else [text]))
     schema = T.StructType([*[docs.schema[c] for c in keep], *new.fields])
     return picked.mapInArrow(run, schema)
 

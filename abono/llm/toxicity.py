@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abono.llm.labelled import labelled
+from abono.llm.store import stored
 from abono.llm.text import (
     LOWER, Piece, joined_hash, mixed, per_document, running_hash, sliced, span_hash, word_hashes, words_of,
 )
@@ -238,7 +239,7 @@ def _measured(docs: DataFrame, model: Model, text_col: str, keep: list[str]) ->
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, allowed: Column, p: Params) -> Model:
     sample = labelled(labels, id_col, label_col, allowed, p.sample)
-    marked = one_of_copies(docs.select(id_col, text_col).join(F.broadcast(sample), id_col), text_col, p).checkpoint()
+    marked = stored(one_of_copies(docs.select(id_col, text_col).join(F.broadcast(sample), id_col), text_col, p), "labelled")
     every = _counts(word_counts(docs, text_col, F.lit(0), p).toArrow(), p)[0]
     counts = _counts(word_counts(marked, text_col, F.col("__label"), p).toArrow(), p)
     model = Model(log_odds(every, counts[1], counts[0], p), 1.0, 1.0, np.zeros(3), p)

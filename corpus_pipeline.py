@@ -1,14 +1,31 @@
-"""A corpus pipeline: each stage is a filter or a transformation by one text operator.
-
-Each stage reads the rows that the one before it wrote as Parquet."""
+"""A corpus pipeline: each stage filters or changes the documents by one text operator, and
+reads the rows that the one before it wrote as Parquet."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from abono.llm import decontaminate, jaccard, pieces, quality, secrets
+from abono.llm.queries import MODEL
+from abono.llm.store import stored
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score is a half or more, by a classifier of all labels."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = quality.quality(docs, labels, allowed=F.lit(True), keep=docs.columns, name="__score")
+    return scored.where("__score >= 0.5").select(*docs.columns)
 
-from abono.llm import decontaminate
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies (five words, similarity 0.8) the document of the least id;
+    of rows alike in id and text one. Documents without words are no copies of each other."""
+    params = jaccard.Params(words=5, least=jaccard.Fraction(8, 10))
+    classes = jaccard.jaccard_classes(docs, params=params)
+    later = classes.where("component_id != doc_id or (component_id is not null and doc_id is null)").select("doc_id").distinct()
+    kept = docs.join(later, docs["doc_id"].eqNullSafe(later["doc_id"]), "left_anti")
+    return kept.withColumn("__same", F.xxhash64("text")).dropDuplicates(["doc_id", "__same"]).select(*docs.columns)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,19 +35,32 @@ def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return found.where("size(hit_words) = 0").select(*docs.columns)
 
 
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced by a mark; n_chars follows the text."""
+    clean = secrets.redact(docs)
+    return clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of the pieces of every text, beside the documents' other columns."""
+    return pieces.encode(docs, model=MODEL, keep=[c for c in docs.columns if c != "text"])
+
+
 STAGES = [
-    ("decontaminate", without_leaks),
+    ("quality", good_documents),
+    ("near copies", one_of_near_copies),
+    ("benchmark leaks", without_leaks),
+    ("secrets", without_secrets),
+    ("pieces", encoded),
 ]
 
+#: SQL can't train the classifier and the random field; tests compare the other stages to brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, over the table of documents. Stages write below spark.checkpoint.dir."""
+    """All stages, over the table of documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    shared = spark.conf.get("spark.checkpoint.dir")
-    folder = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
