@@ -58,14 +58,14 @@ class Params:
     windows: int = 4
     rounds: int = 50
     rate: float = 0.1
-    ridge: float = 1e-4
+    ridge: float = 1e-3
     #: Bound of the documents that are learned from (twice that at most).
     sample: int = 8_000
 
     @property
     def sizes(self) -> tuple[int, ...]:
         words = 1 << self.words_log2
-        return (32, 6, 6, 8, 8, 5, 5, 8, words, words, words, words)
+        return (32, 6, 6, 8, 8, 5, 5, 8, words, words, words)
 
 
 def base_spans(piece: Piece) -> list[list[tuple[int, int, int, int]]]:
@@ -124,7 +124,7 @@ def token_features(piece: Piece, p: Params) -> tuple[Words, np.ndarray]:
     log_size = np.minimum(np.where(size < 20, size, 16 + np.log2(size).astype(np.int64)), 31)
     return tokens, np.stack([
         log_size, digits * 5 // size, uppers * 5 // size, np.minimum(changes, 7), shape, before, after,
-        np.minimum(dense, 7)[text], word, near(-1), near(1), near(-2)], axis=1)
+        np.minimum(dense, 7)[text], near(-1), near(1), near(-2)], axis=1)
 
 
 def true_tags(piece: Piece, tokens: Words) -> np.ndarray:
