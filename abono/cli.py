@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from abono import fixed
 from abono.operators.checks import quality_report
 from abono.plans import jobs, report
+from abono.sinks import versions
 from abono.sources.tables import FileSource, JdbcSource
 
 
@@ -47,8 +48,9 @@ def main(argv: list[str] | None = None) -> None:
             jobs.run_load(spark, cfg)
         if args.validate or args.only_validate:
             results = jobs.run_validation(spark, cfg, now)
-            results.show(1000, truncate=False)
-            quality_report(results).show(truncate=False)
+            stored = versions.load_replace(results, cfg.lake.path(jobs.ANALYTICS, "validation"))
+            for row in quality_report(stored).orderBy("check_name", "status").collect():
+                print(*row)
     elif args.job == "daily":
         jobs.run_daily(spark, cfg, as_of, now)
     elif args.job == "rfm":

@@ -63,6 +63,22 @@ SEGMENTS = [
      "Cualquier otra combinación - Clientes con comportamiento estándar"),
 ]
 
+# Segment rules, first match wins: name, then lowest and highest recency, frequency and
+# monetary score.
+SEGMENT_RULES = [
+    ("Campeones", (4, 5), (4, 5), (4, 5)),
+    ("Clientes Leales", (4, 5), (3, 5), (3, 5)),
+    ("Clientes de Alto Valor", (4, 5), (1, 2), (4, 5)),
+    ("Clientes Potenciales", (4, 5), (2, 5), (2, 5)),
+    ("Nuevos Clientes", (5, 5), (1, 2), (1, 2)),
+    ("Necesitan Atención", (1, 3), (4, 5), (4, 5)),
+    ("En Riesgo", (1, 3), (2, 5), (2, 5)),
+    ("No se pueden perder", (1, 2), (4, 5), (4, 5)),
+    ("Clientes Dormidos", (1, 2), (1, 2), (1, 2)),
+    ("Perdidos", (1, 1), (1, 1), (1, 1)),
+]
+OTHER_SEGMENT = "Clientes Regulares"
+
 # Content types accepted by the content check.
 CONTENT_TYPES = ["articulo", "proyecto", "linea_de_tiempo", "quiz"]
 

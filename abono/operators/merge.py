@@ -7,13 +7,20 @@ from pyspark.sql import DataFrame, functions as F
 from abono.operators.rank import newest_per_key
 
 
+def one_per_key(updates: DataFrame, keys, cursor: str | None = None) -> DataFrame:
+    """The newest row of each key by the cursor; ties, and all rows without a cursor, go by
+    the greatest values of the other columns, in order."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    others = [c for c in updates.columns if c not in keys and c != cursor]
+    first, *rest = [cursor, *others] if cursor else others or keys
+    return newest_per_key(updates, keys, first, rest)
+
+
 def merge_upsert(target: DataFrame, updates: DataFrame, keys, cursor: str | None = None) -> DataFrame:
     """Rows of `updates` replace those of `target` with the same key; new keys are added,
-    nothing is deleted. With a cursor, several updates of a key count as the newest one."""
+    nothing is deleted. Several updates of a key count as one, see one_per_key."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if cursor:
-        updates = newest_per_key(updates, keys, cursor)
-    updates = updates.select(*target.columns)
+    updates = one_per_key(updates, keys, cursor).select(*target.columns)
     return target.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
 
 
@@ -21,10 +28,11 @@ def merge_into_table(updates: DataFrame, table: str, keys) -> None:
     """The same upsert as MERGE INTO, for catalogs with row-level writes: only files
     holding touched keys are rewritten."""
     keys = [keys] if isinstance(keys, str) else list(keys)
+    target = table.rsplit(".", 1)[-1]
     on = F.lit(True)
     for k in keys:
-        on = on & (F.col(f"{table}.{k}") == F.col(f"updates.{k}"))
-    (updates.alias("updates").mergeInto(table, on)
+        on = on & (F.col(f"{target}.{k}") == F.col(f"updates.{k}"))
+    (one_per_key(updates, keys).alias("updates").mergeInto(table, on)
      .whenMatched().updateAll().whenNotMatched().insertAll().merge())
 
 

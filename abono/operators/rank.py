@@ -6,9 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import (
     ByteType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType)
 
-from abono.operators.shared import materialize, plan_bytes
-
-SMALL_BYTES = 32 << 20
+from abono.operators.shared import materialize
 
 
 def top_n_per_key(df: DataFrame, key, order: list[Column], n: int = 1,
@@ -58,27 +56,18 @@ def exact_ntile(
     key: str,
     scores: dict[str, tuple[str, str]],
     k: int = 5,
-    small_bytes: int = SMALL_BYTES,
     materialized: bool = False,
 ) -> DataFrame:
     """Add {score: (metric, 'asc' | 'desc')} columns with ntile(k) over the whole table,
     ties broken by `key` (unique, not null), null metrics last; metrics hold no NaN.
 
-    The built-in ntile moves every row to one task. Above small_bytes all metrics are
-    instead range-sorted together as narrow (score, metric, key) rows; partition counts
+    The built-in ntile moves every row to one task. Here all metrics are instead
+    range-sorted together as narrow (score, metric, key) rows; partition counts
     give each partition's first rank, the k - 1 rows where a tile starts are fetched, and
     a row's tile follows from comparing it with those few positions: no join back.
     """
-    base = df if materialized else materialize(df, "metrics")
-    if plan_bytes(base) <= small_bytes:
-        def order(metric, way):
-            c = F.col(metric)
-            return c.desc_nulls_last() if way == "desc" else c.asc_nulls_last()
-        return base.select("*", *[
-            F.ntile(k).over(Window.orderBy(order(m, way), F.col(key).asc()))
-            .cast("bigint").alias(out) for out, (m, way) in scores.items()])
-
     common = _common_type(df, [m for m, _ in scores.values()])
+    base = df if materialized else materialize(df, "metrics")
 
     def place(metric: str, way: str) -> Column:
         value = F.col(metric).cast(common)

@@ -1,22 +1,17 @@
-"""Materialising intermediate results in the shared folder, and size checks."""
+"""Materialising intermediate results in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder. Only a local session without one gets its own."""
+    """The cluster's checkpoint folder; where none is set, one in the warehouse, which all
+    executors share as well."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="abono-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return (found or f"{spark.conf.get('spark.sql.warehouse.dir')}/intermediate").rstrip("/")
 
 
 def _session_dir(spark: SparkSession) -> str:
@@ -43,9 +38,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, an upper figure for joins; used to skip work that only
-    pays off on large inputs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

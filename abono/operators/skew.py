@@ -13,22 +13,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from abono.operators.shared import materialize, plan_bytes
+from abono.operators.shared import materialize
 
 
 @dataclass(frozen=True)
 class HotLimits:
-    """When a key counts as hot.
+    """A key is hot with more rows than group_rows, which a task sorts comfortably."""
 
-    small_bytes: inputs below this size cannot hold a group too large for a task.
-    group_rows: rows of one key a task sorts comfortably.
-    max_keys: bound on the number of hot keys; the row limit rises with the input so
-        that no more keys than this can pass it.
-    """
-
-    small_bytes: int = 64 << 20
     group_rows: int = 5_000_000
-    max_keys: int = 10_000
 
 
 DEFAULT_LIMITS = HotLimits()
@@ -36,14 +28,13 @@ SAMPLES_PER_SLICE = 200
 CHUNK = 64
 
 
-def hot_keys(df: DataFrame, key: str, limits: HotLimits = DEFAULT_LIMITS):
-    """(rows of hot keys, row limit). At most limits.max_keys rows reach the driver."""
-    if plan_bytes(df) <= limits.small_bytes:
-        return [], limits.group_rows
-    keys = df.select(F.col(key).alias("_key"))
-    limit = max(limits.group_rows, keys.count() // limits.max_keys)
-    hot = keys.groupBy("_key").agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit)
-    return hot.collect(), limit
+def hot_keys(df: DataFrame, key: str, limits: HotLimits = DEFAULT_LIMITS) -> DataFrame:
+    """(_key, _rows, _slices) of the hot keys, as a table: there may be many. One count per
+    key, combined in the map tasks."""
+    counted = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_rows"))
+    slices = F.floor(F.col("_rows") / limits.group_rows) + 1
+    return materialize(
+        counted.filter(F.col("_rows") > limits.group_rows).withColumn("_slices", slices), "hot")
 
 
 def _position(order: list[str]) -> Column:
@@ -54,20 +45,16 @@ def _position(order: list[str]) -> Column:
     return F.struct(*parts)
 
 
-def _slice_cuts(df: DataFrame, key: str, order: list[str], hot, limit: int) -> DataFrame:
-    """(_key, _heads, _chunks): cut positions of each hot key, about `limit` rows apart,
+def _slice_cuts(df: DataFrame, key: str, order: list[str], hot: DataFrame) -> DataFrame:
+    """(_key, _heads, _chunks): cut positions of each hot key, about a task's rows apart,
     sorted and grouped in chunks so that a row looks at few of them."""
-    spark = df.sparkSession
-    key_type = df.schema[key].dataType.simpleString()
-    sizes = spark.createDataFrame(
-        [(r["_key"], r["_rows"] // limit + 1) for r in hot], f"_key {key_type}, _slices bigint")
-    hot_rows, slices = sum(r["_rows"] for r in hot), sum(r["_rows"] // limit + 1 for r in hot)
-    share = min(1.0, SAMPLES_PER_SLICE * slices / hot_rows)
+    total = hot.agg(F.sum("_rows").alias("rows"), F.sum("_slices").alias("slices")).first()
+    share = min(1.0, SAMPLES_PER_SLICE * total["slices"] / total["rows"])
     whole = Window.partitionBy("_key")
     sampled = (
         df.select(F.col(key).alias("_k"), _position(order).alias("_pos"))
         .sample(share, seed=11)
-        .join(F.broadcast(sizes), F.col("_k").eqNullSafe(F.col("_key")))
+        .join(hot, F.col("_k").eqNullSafe(F.col("_key")))
         .withColumn("_rn", F.row_number().over(whole.orderBy("_pos")))
         .withColumn("_n", F.count("*").over(whole))
         .withColumn("_tile", F.floor((F.col("_rn") - 1) * F.col("_slices") / F.col("_n")))
@@ -97,9 +84,9 @@ def with_neighbours(
     """Add columns {out: source} holding the value of the previous, next or first row of
     the same key in ascending `order` (nulls last). `order` should end in a unique column."""
     lag, lead, first = lag or {}, lead or {}, first or {}
-    hot, limit = hot_keys(df, key, limits)
+    hot = hot_keys(df, key, limits)
     sort = [F.col(c).asc_nulls_last() for c in order]
-    if not hot:
+    if hot.isEmpty():
         w = Window.partitionBy(key).orderBy(*sort)
         return df.select(
             "*",
@@ -108,13 +95,14 @@ def with_neighbours(
             *[F.first(c).over(w).alias(out) for out, c in first.items()],
         )
 
-    cuts = _slice_cuts(df, key, order, hot, limit)
+    cuts = _slice_cuts(df, key, order, hot)
     position = _position(order)
     chunk = F.size(F.filter("_heads", lambda c: c <= position))
     within = F.size(F.filter(F.get("_chunks", F.col("_chunk") - 1), lambda c: c <= position))
-    # Bounded by construction: one row per hot key, rows/limit cuts in all.
+    # Spark broadcasts cuts and edges while they are small, and splits a hot key's rows
+    # among tasks where they are not.
     sliced = (
-        df.join(F.broadcast(cuts), F.col(key).eqNullSafe(F.col("_key")), "left")
+        df.join(cuts, F.col(key).eqNullSafe(F.col("_key")), "left")
         .withColumn("_hot", F.col("_heads").isNotNull())
         .withColumn("_chunk", F.when(F.col("_hot"), chunk).otherwise(F.lit(0)))
         .withColumn("_slice", F.when(
@@ -147,7 +135,7 @@ def with_neighbours(
         *[F.first(c).over(w).alias(f"_first_{out}") for out, c in first.items()],
     )
     joined = local.join(
-        F.broadcast(edges),
+        edges,
         F.col("_hot") & F.col(key).eqNullSafe(F.col("_ek")) & (F.col("_slice") == F.col("_es")),
         "left")
 

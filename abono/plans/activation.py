@@ -9,26 +9,18 @@ from abono.functions import current_only
 
 
 def crm_candidates(dim: DataFrame, limit: int | None = None) -> DataFrame:
-    """Current accounts with a segment, lowest ids first. None means the default batch
-    size; 0 means no rows."""
-    n = fixed.CRM_DEFAULT_LIMIT if limit is None else limit
-    return (
-        current_only(dim).filter(F.col("segmento_rfm_ultimo").isNotNull())
-        .select("id_cuenta", "segmento_rfm_ultimo")
-        .orderBy("id_cuenta").limit(n)
-    )
-
-
-def all_candidates(dim: DataFrame) -> DataFrame:
-    """Every current account with a segment: the batch without a limit."""
-    return current_only(dim).filter(F.col("segmento_rfm_ultimo").isNotNull()).select(
+    """Current accounts with a segment: all of them, or with a limit the ones of the lowest
+    ids (0 means no rows)."""
+    found = current_only(dim).filter(F.col("segmento_rfm_ultimo").isNotNull()).select(
         "id_cuenta", "segmento_rfm_ultimo")
+    return found if limit is None else found.orderBy("id_cuenta").limit(limit)
 
 
 def crm_match(candidates: DataFrame, companies: DataFrame,
               company_key: str = "id_cuenta", company_id: str = "company_id") -> DataFrame:
-    """Candidates with the CRM's company id, null where the CRM has none."""
-    crm = companies.select(F.col(company_key).alias("_k"), F.col(company_id).alias("company_id"))
+    """Candidates with the CRM's company id, null where the CRM has none. An extract that
+    repeats a key counts with its lowest company id."""
+    crm = companies.groupBy(F.col(company_key).alias("_k")).agg(F.min(company_id).alias("company_id"))
     return candidates.join(crm, F.col("id_cuenta") == F.col("_k"), "left").drop("_k").withColumn(
         "encontrada", F.col("company_id").isNotNull())
 

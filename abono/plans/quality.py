@@ -17,16 +17,17 @@ def run_checks(spark: SparkSession, source, target, now, tables: list[str] | Non
                relations: dict[str, dict[str, str]] | None = None,
                hours: int = fixed.FRESHNESS_HOURS) -> DataFrame:
     """Counts, duplicates, foreign keys and freshness of loaded tables, as one result
-    table. `source` and `target` hand out tables by name; one that cannot be read is
-    reported as ERROR and the others go on."""
+    table. `source` and `target` hand out tables by name. Every check is evaluated here, for
+    itself: one whose tables cannot be read, or fail while being read, is reported as ERROR
+    with the whole message, and the others go on. A check is a handful of rows."""
     keys = RAW_KEYS if keys is None else keys
     relations = LOAD_RELATIONS if relations is None else relations
 
     def guarded(check, table, column, build):
         try:
-            return build()
+            return spark.createDataFrame(build().collect(), c.RESULT)
         except (PySparkException, KeyError) as e:
-            return c.stated(spark, check, table, column, c.ERROR, str(e).splitlines()[0], 0)
+            return c.stated(spark, check, table, column, c.ERROR, str(e), 0)
 
     results = []
     for name in tables or list(fixed.RAW_TABLES):

@@ -9,7 +9,7 @@ from abono.functions import (
     as_date, as_ts, days_between, has_tenure, in_window, paid_plan, valid_at)
 from abono.operators.activity import payments_by_account
 from abono.operators.history import dim_at
-from abono.operators.rank import SMALL_BYTES, exact_ntile
+from abono.operators.rank import exact_ntile
 from abono.schemas import MONEY
 
 MEASURES = [
@@ -118,9 +118,9 @@ def rfm_metrics(universe: DataFrame, activity: DataFrame, as_of,
         "id_cuenta", *MEASURES)
 
 
-def rfm_scores(metrics: DataFrame, small_bytes: int = SMALL_BYTES) -> DataFrame:
+def rfm_scores(metrics: DataFrame) -> DataFrame:
     """Quintiles over the whole universe; ties go by account id."""
-    return exact_ntile(metrics, "id_cuenta", SCORES, k=5, small_bytes=small_bytes)
+    return exact_ntile(metrics, "id_cuenta", SCORES, k=5)
 
 
 def rfm_score_text(r="recency_score", f="frequency_score", m="monetary_score") -> Column:
@@ -129,27 +129,17 @@ def rfm_score_text(r="recency_score", f="frequency_score", m="monetary_score") -
 
 
 def rfm_segment(r="recency_score", f="frequency_score", m="monetary_score") -> Column:
-    """Segment of a score triple.
+    """Segment of a score triple: the first rule of fixed.SEGMENT_RULES that holds.
 
     Two catalogue entries, 'No se pueden perder' and 'Perdidos', cannot occur: every
     triple they describe is already 'Necesitan Atención' or 'Clientes Dormidos'."""
-    r, f, m = F.col(r), F.col(f), F.col(m)
-    low, high = F.least(f, m), F.greatest(f, m)
-    recent = (
-        F.when(low >= 4, "Campeones")
-        .when(low >= 3, "Clientes Leales")
-        .when((m >= 4) & (f < 3), "Clientes de Alto Valor")
-        .when(low >= 2, "Clientes Potenciales")
-        .when((r == 5) & (high <= 2), "Nuevos Clientes")
-    )
-    lapsed = (
-        F.when(low >= 4, "Necesitan Atención")
-        .when(low >= 2, "En Riesgo")
-        .when((r <= 2) & (high <= 2), "Clientes Dormidos")
-    )
-    known = r.isNotNull() & f.isNotNull() & m.isNotNull()
-    return F.coalesce(F.when(known & (r >= 4), recent).when(known, lapsed),
-                      F.lit("Clientes Regulares"))
+    result = F.lit(fixed.OTHER_SEGMENT)
+    for name, *bounds in reversed(fixed.SEGMENT_RULES):
+        holds = F.lit(True)
+        for column, (low, high) in zip((r, f, m), bounds):
+            holds = holds & F.col(column).between(low, high)
+        result = F.when(holds, name).otherwise(result)
+    return result
 
 
 def fact_rfm(
@@ -164,13 +154,12 @@ def fact_rfm(
     window_months: int | None = 6,
     min_tenure_months: int | None = 6,
     day_mode: str = "calendar",
-    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """One row per scored account at as_of. Scores are taken over the whole universe;
     accounts without a version valid at as_of leave only afterwards."""
     universe = rfm_universe(dim_accounts, fact_subs, dim_plans, as_of, min_tenure_months)
     activity = account_activity(contents, payments, periods, features, as_of, window_months)
-    scored = rfm_scores(rfm_metrics(universe, activity, as_of, day_mode), small_bytes)
+    scored = rfm_scores(rfm_metrics(universe, activity, as_of, day_mode))
     return scored.join(
         dim_at(dim_accounts, as_of).select("id_cuenta", "id_dim_cuenta"), "id_cuenta"
     ).select(

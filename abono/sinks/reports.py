@@ -7,24 +7,25 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from abono import fixed
-from abono.operators.shared import materialize, plan_bytes
-
-ONE_FILE_BYTES = 64 << 20
+from abono.operators.shared import materialize
 
 
 def report_name(run_date) -> str:
     """run_date is a date, a datetime or ISO text."""
-    day = dt.date.fromisoformat(str(run_date)[:10])
+    if isinstance(run_date, str):
+        run_date = dt.datetime.fromisoformat(run_date)
+    day = run_date.date() if isinstance(run_date, dt.datetime) else run_date
     return f"{fixed.REPORT_STEM}_{day:%Y%m%d}.csv"
 
 
-def write_report(df: DataFrame, out_dir: str, run_date) -> bool:
-    """Dated CSV folder with a header; one file while the result is small. An empty result
-    writes nothing and returns False."""
+def write_report(df: DataFrame, out_dir: str, run_date, one_file: bool = False) -> bool:
+    """Dated CSV folder, a header in each part. An empty result writes nothing and returns
+    False. With one_file a single task writes all rows, so the caller must know that the
+    report is small."""
     rows = materialize(df, "report")
     if rows.isEmpty():
         return False
-    if plan_bytes(rows) <= ONE_FILE_BYTES:
+    if one_file:
         rows = rows.coalesce(1)
     rows.write.mode("overwrite").csv(
         f"{out_dir}/{report_name(run_date)}", header=True)

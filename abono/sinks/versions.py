@@ -4,7 +4,8 @@ A table is a folder of numbered subfolders: v00000007 holds a whole version, a00
 rows appended to it. A subfolder counts once it holds Spark's _SUCCESS marker, which the
 job commit writes last, so a load that fails or loses executors leaves the table as it
 was. The table reads as its highest version and what was appended after it; no path is
-overwritten while being read.
+overwritten while being read. A table has one writer at a time: two loads at once may pick
+the same number, and the later one fails.
 
 Snapshots are stored so that closed versions are written only once: each run's folder,
 run=00000009, holds the open versions anew and, beside them, only the ones it closed.
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from abono.operators.history import new_versions, open_versions, snapshot_changes
-from abono.operators.merge import merge_upsert, newest_per_key, since_watermark
+from abono.operators.merge import merge_upsert, one_per_key, since_watermark
 from abono.operators.shared import materialize
 
 RUN, OPEN = "run", "abierta"
@@ -31,7 +32,7 @@ def _folders(spark: SparkSession, path: str) -> list[tuple[int, str, bool]]:
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return []
-    names = [re.fullmatch(r"(?:v|a|run=)(\d{8})", s.getPath().getName())
+    names = [re.fullmatch(r"(?:v|a|run=)(\d{8,})", s.getPath().getName())
              for s in fs.listStatus(root)]
     return sorted((int(n[1]), f"{path}/{n[0]}", fs.exists(hadoop(f"{path}/{n[0]}/_SUCCESS")))
                   for n in names if n)
@@ -77,10 +78,11 @@ def load_append(df: DataFrame, path: str) -> DataFrame:
 
 
 def load_upsert(updates: DataFrame, path: str, keys, cursor: str | None = None) -> DataFrame:
+    """One row per key, whatever the batch repeats: the newest by the cursor, and of equally
+    new ones the greatest by its other columns."""
     target = read_current(updates.sparkSession, path)
     if target is None:
-        first = newest_per_key(updates, keys, cursor) if cursor else updates
-        return load_replace(first, path)
+        return load_replace(one_per_key(updates, keys, cursor), path)
     return load_replace(merge_upsert(target, updates, keys, cursor), path)
 
 

@@ -53,8 +53,27 @@ def _(d):
         for t, df in found.items()])
 
 
-simple("src2_report_inputs", lambda d: sources.extract_report_inputs(d.spark, d)[0],
-       "SELECT account_id, account_name, email, created_at, updated_at FROM accounts")
+_SRC2 = {"accounts": ("account_id", "account_name"), "subscriptions": ("subscription_id", "subscription_name"),
+         "accounts_subscription": ("account_subscription_id", "account_id")}
+
+
+@query("src2_report_inputs", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST({a} AS VARCHAR) AS first, CAST({b} AS VARCHAR) AS second FROM {t}"
+    for t, (a, b) in _SRC2.items()))
+def _(d):
+    found = zip(_SRC2.items(), sources.extract_report_inputs(d.spark, d))
+    return checks.union_results([
+        df.select(F.lit(t).alias("table_name"), F.col(a).cast("string").alias("first"), F.col(b).cast("string").alias("second"))
+        for (t, (a, b)), df in found])
+
+
+@query("ld4_upsert_repeated_keys", "SELECT user_id, event_id FROM events_all")
+def _(d):
+    """A batch with many rows per key, without and then with a cursor: one row per key."""
+    path = scratch(d, "ld4r")
+    log = d.events_log.select("user_id", "ts", "event_id")
+    versions.load_upsert(log, path, "user_id")
+    return versions.load_upsert(log, path, "user_id", "ts").select("user_id", "event_id")
 
 
 @query("ld1_replace", "SELECT * FROM accounts")
@@ -135,7 +154,7 @@ def _(d):
 def _(d):
     path = scratch(d, "ld9")
     payloads = activation.crm_payload(
-        activation.crm_match(activation.all_candidates(d.dim_cuentas), d.companies))
+        activation.crm_match(activation.crm_candidates(d.dim_cuentas), d.companies))
     reports.write_crm_outbox(payloads, path)
     return d.spark.read.schema(payloads.schema).json(path)
 
@@ -278,7 +297,7 @@ def _quintiles(d: Domain, **options) -> DataFrame:
 
 
 simple("w9_quintiles", _quintiles, W9_SQL)
-simple("w9_quintiles_distributed", lambda d: _quintiles(d, small_bytes=-1), W9_SQL)
+simple("w9_quintiles_distributed", lambda d: _quintiles(d), W9_SQL)
 
 
 _ORDER_SQL = """SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(12,2)) AS importe,
@@ -293,12 +312,12 @@ def _order_quintiles(d: Domain, **options) -> DataFrame:
 
 
 simple("w9_order_quintiles", _order_quintiles, _ORDER_SQL)
-simple("w9_order_quintiles_distributed", lambda d: _order_quintiles(d, small_bytes=-1), _ORDER_SQL)
+simple("w9_order_quintiles_distributed", lambda d: _order_quintiles(d), _ORDER_SQL)
 
 
 # Sort and limit.
 
-simple("so1_topk", lambda d: activation.crm_candidates(d.dim_cuentas),
+simple("so1_topk", lambda d: activation.crm_candidates(d.dim_cuentas, fixed.CRM_DEFAULT_LIMIT),
        "SELECT * FROM crm_all ORDER BY id_cuenta LIMIT 5")
 
 
@@ -578,18 +597,18 @@ def _(d):
     return sources.read_csv(d.spark, f"{out}/{reports.report_name(AS_OF)}", schema)
 
 
-simple("crm1_candidates", lambda d: activation.all_candidates(d.dim_cuentas), "SELECT * FROM crm_all")
+simple("crm1_candidates", lambda d: activation.crm_candidates(d.dim_cuentas), "SELECT * FROM crm_all")
 simple("crm2_match",
-       lambda d: activation.crm_match(activation.all_candidates(d.dim_cuentas), d.companies),
+       lambda d: activation.crm_match(activation.crm_candidates(d.dim_cuentas), d.companies),
        "SELECT * FROM crm_matched")
 simple("crm3_payload",
        lambda d: activation.crm_payload(
-           activation.crm_match(activation.all_candidates(d.dim_cuentas), d.companies)),
+           activation.crm_match(activation.crm_candidates(d.dim_cuentas), d.companies)),
        """SELECT company_id, '{"properties":{"segmento_rfm":"' || segmento_rfm_ultimo || '"}}'
                  AS payload FROM crm_matched WHERE encontrada""")
 simple("crm4_summary",
        lambda d: activation.crm_summary(
-           activation.crm_match(activation.all_candidates(d.dim_cuentas), d.companies)),
+           activation.crm_match(activation.crm_candidates(d.dim_cuentas), d.companies)),
        """SELECT CAST(count(*) FILTER (WHERE encontrada) AS BIGINT) AS encontradas,
                  CAST(count(*) FILTER (WHERE NOT encontrada) AS BIGINT) AS no_encontradas,
                  CAST(count(*) AS BIGINT) AS total,

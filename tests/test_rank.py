@@ -2,7 +2,7 @@ import random
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from abono.operators.rank import exact_ntile, newest_per_key, top_n_per_key
 from abono.operators.shared import materialize
@@ -11,14 +11,23 @@ from tests.conftest import rows
 SCORES = {"a_score": ("a", "desc"), "b_score": ("b", "asc")}
 
 
+def with_ntile(df, scores, k):
+    """The built-in function, as a yardstick."""
+    def order(metric, way):
+        return F.col(metric).desc_nulls_last() if way == "desc" else F.col(metric).asc_nulls_last()
+    return df.select("*", *[
+        F.ntile(k).over(Window.orderBy(order(m, way), F.col("id").asc())).cast("bigint").alias(out)
+        for out, (m, way) in scores.items()])
+
+
 @pytest.mark.parametrize("n", [0, 1, 4, 5, 6, 12, 1000])
 def test_distributed_ntile_equals_builtin(spark, n):
     rnd = random.Random(n)
     data = [(i, rnd.choice([None, 1, 2, 3, 3, 3]), Decimal(rnd.randint(0, 20)) / 4)
             for i in range(n)]
     df = materialize(spark.createDataFrame(data, "id bigint, a int, b decimal(10,2)"), "t")
-    builtin = exact_ntile(df, "id", SCORES, materialized=True)
-    spread = exact_ntile(df, "id", SCORES, small_bytes=-1, materialized=True)
+    builtin = with_ntile(df, SCORES, 5)
+    spread = exact_ntile(df, "id", SCORES, materialized=True)
     assert rows(builtin) == rows(spread)
     for score in SCORES:
         sizes = [r["count"] for r in spread.groupBy(score).count().orderBy(score).collect()]
@@ -27,21 +36,21 @@ def test_distributed_ntile_equals_builtin(spark, n):
 
 def test_distributed_ntile_all_rows_tied_and_text_key(spark):
     df = spark.range(103).select(F.concat(F.lit("k"), "id").alias("id"), F.lit(0).alias("a"))
-    one = exact_ntile(df, "id", {"s": ("a", "asc")}, k=4)
-    two = exact_ntile(df, "id", {"s": ("a", "asc")}, k=4, small_bytes=-1)
+    one = with_ntile(df, {"s": ("a", "asc")}, 4)
+    two = exact_ntile(df, "id", {"s": ("a", "asc")}, k=4)
     assert rows(one) == rows(two)
 
 
 def test_distributed_ntile_doubles(spark):
     df = spark.range(57).select("id", (F.col("id") * 7 % 11 / 3.0).alias("a"))
     spec = {"s": ("a", "desc")}
-    assert rows(exact_ntile(df, "id", spec)) == rows(exact_ntile(df, "id", spec, small_bytes=-1))
+    assert rows(with_ntile(df, spec, 5)) == rows(exact_ntile(df, "id", spec))
 
 
 def test_ntile_refuses_text_metrics(spark):
     df = spark.createDataFrame([(1, "x")], "id bigint, a string")
     with pytest.raises(TypeError):
-        exact_ntile(df, "id", {"s": ("a", "asc")}, small_bytes=-1)
+        exact_ntile(df, "id", {"s": ("a", "asc")})
 
 
 def test_top_n_is_limited_before_the_shuffle(spark):

@@ -5,7 +5,7 @@ from abono.operators.skew import HotLimits, hot_keys, with_neighbours
 from abono.plans.lifecycle import lifecycle_periods
 from tests.conftest import rows
 
-PLAIN = HotLimits(small_bytes=1 << 62)
+PLAIN = HotLimits(1 << 62)
 WANT = dict(lag={"p": "v", "po": "o"}, lead={"n": "v"}, first={"f": "v", "fo": "o"})
 
 
@@ -23,8 +23,8 @@ def skewed(spark, n=2000, seed=5):
 def test_sliced_windows_equal_plain_ones(spark):
     df = skewed(spark)
     plain = with_neighbours(df, "k", ["o", "id"], **WANT, limits=PLAIN)
-    for limits in (HotLimits(0, 300, 1000), HotLimits(0, 40, 1000), HotLimits(0, 3, 1000)):
-        assert hot_keys(df, "k", limits)[0]
+    for limits in (HotLimits(300), HotLimits(40), HotLimits(3)):
+        assert not hot_keys(df, "k", limits).isEmpty()
         sliced = with_neighbours(df, "k", ["o", "id"], **WANT, limits=limits)
         assert sliced.columns == plain.columns
         assert rows(sliced) == rows(plain)
@@ -32,21 +32,22 @@ def test_sliced_windows_equal_plain_ones(spark):
 
 def test_one_order_value_for_all_rows_still_splits(spark):
     df = spark.range(500).selectExpr("1 as k", "7 as o", "id", "id as v")
-    sliced = with_neighbours(df, "k", ["o", "id"], lag={"p": "v"}, limits=HotLimits(0, 50, 100))
+    sliced = with_neighbours(df, "k", ["o", "id"], lag={"p": "v"}, limits=HotLimits(50))
     assert rows(sliced, "v", "p")[:3] == [(0, None), (1, 0), (10, 9)]
     assert rows(sliced) == rows(with_neighbours(df, "k", ["o", "id"], lag={"p": "v"}, limits=PLAIN))
 
 
 def test_no_hot_key_means_the_plain_plan(spark):
     df = skewed(spark, 300)
-    out = with_neighbours(df, "k", ["o", "id"], lag={"p": "v"}, limits=HotLimits(0, 10_000, 10))
+    out = with_neighbours(df, "k", ["o", "id"], lag={"p": "v"}, limits=HotLimits(10_000))
     assert "_slice" not in out._jdf.queryExecution().toString()
 
 
-def test_row_limit_bounds_the_number_of_hot_keys(spark):
-    df = spark.range(1000).selectExpr("id % 100 as k", "id")
-    hot, limit = hot_keys(df, "k", HotLimits(0, 1, 10))
-    assert limit == 100 and hot == []
+def test_every_key_may_be_hot(spark):
+    df = spark.range(12_000).selectExpr("id % 1100 as k", "id as o", "id", "id as v")
+    assert hot_keys(df, "k", HotLimits(5)).count() == 1100
+    assert rows(with_neighbours(df, "k", ["o", "id"], lag={"p": "v"}, limits=HotLimits(5))) == rows(
+        with_neighbours(df, "k", ["o", "id"], lag={"p": "v"}, limits=PLAIN))
 
 
 def test_hot_account_lifecycle_and_hot_change_log(spark):
@@ -55,7 +56,7 @@ def test_hot_account_lifecycle_and_hot_change_log(spark):
         "cast(id % 5 as int) as id_suscripcion",
         "date_add(date'2020-01-01', cast(id * 13 % 400 as int)) as fecha_inicio",
         "if(id % 2 = 0, date'2023-01-01', null) as fecha_fin")
-    small = HotLimits(0, 20, 1000)
+    small = HotLimits(20)
     assert rows(lifecycle_periods(periods, "2024-01-01", small)) == rows(
         lifecycle_periods(periods, "2024-01-01", PLAIN))
     log = spark.range(600).selectExpr(
