@@ -265,6 +265,10 @@ def train(docs: DataFrame, id_col: str, text_col: str, p: Params) -> Model:
     flat = np.concatenate([np.zeros(0, np.int32), *[x.to_numpy() for x in (c.flatten() for c in found["w"].chunks)]])
     every = flat.reshape(-1, p.window, len(p.sizes) + 1)
     every = every[np.lexsort(every.reshape(len(every), -1)[:, :64].T)] if len(every) else every
+    # every window once more without its words, so that shape alone counts as well
+    blind = every.copy()
+    blind[..., len(p.sizes) - 3:-1][blind[..., -1] >= 0] = 0
+    every = np.concatenate([every, blind])
     return fit(every[..., :-1].astype(np.int64), every[..., -1].astype(np.int64), p)
 
 

@@ -221,10 +221,17 @@ def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def sums_by(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """Sum of values[cuts[i]:cuts[i + 1]] for each i."""
-    total = np.zeros(len(values) + 1, dtype=np.float64 if values.dtype.kind == "f" else np.int64)
-    np.cumsum(values, out=total[1:])
-    return total[cuts[1:]] - total[cuts[:-1]]
+    """Sum of values[cuts[i]:cuts[i + 1]] for each i; cuts go from 0 to the end. Equal runs of
+    numbers have equal sums, wherever they stand."""
+    if values.dtype.kind != "f":
+        total = np.zeros(len(values) + 1, dtype=np.int64)
+        np.cumsum(values, out=total[1:])
+        return total[cuts[1:]] - total[cuts[:-1]]
+    out = np.zeros(len(cuts) - 1)
+    full = np.flatnonzero(np.diff(cuts) > 0)
+    if len(full):
+        out[full] = np.add.reduceat(values, cuts[full])
+    return out
 
 
 def list_array(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.Array:

@@ -156,7 +156,8 @@ class Model:
     def scores(self, slots: np.ndarray) -> np.ndarray:
         odds = self.odds[slots]
         form = np.abs(odds).argmax(axis=1)
-        return odds[np.arange(len(odds)), form] - self.p.drift
+        # multiples of 1/1024 add up exactly, so equal texts have equal scores wherever they stand
+        return np.round((odds[np.arange(len(odds)), form].astype(np.float64) - self.p.drift) * 1024) / 1024
 
     def evidence(self, n_words: int, found: list[tuple[int, int, float]]) -> tuple[float, float, int, int, int]:
         """Of the best segment -log of the chance of one as high; of the segments that count
