@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -234,7 +235,9 @@ def compared(strings: DataFrame, p: Params, keep_first: bool) -> DataFrame:
             if not len(rows):
                 continue
             # text order: the order of first occurrences
-            rank = table.set_column(table.schema.get_field_index("row"), "row", pa.array(np.arange(len(keys)))).take(pa.array(rows)).sort_by([("id", "ascending"), ("th", "ascending"), ("a", "ascending")])
+            some = table.set_column(table.schema.get_field_index("row"), "row", pa.array(np.arange(len(keys)))).take(pa.array(rows))
+            by_text = [(name, "ascending") for name in ("id", "th", "a")]
+            rank = some.take(pc.sort_indices(some, sort_keys=by_text, null_placement="at_start"))
             rows = rank["row"].to_numpy()
             found = compare([body[i] for i in rows.tolist()], p, keep_first)
             spans, cuts = [], [0]
