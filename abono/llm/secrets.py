@@ -334,6 +334,7 @@ def redact(
     """docs with each secret in text_col replaced by `mark`: of an assignment its value, of
     other spans the whole. Other columns, and texts without secrets, stay as they are."""
     model = train(docs, id_col, text_col, params)
+    name = "redacted"
 
     def make():
         def run(piece: Piece) -> dict[str, object]:
@@ -351,11 +352,13 @@ def redact(
                         out += [text[at:a], mark]
                     at = max(at, b)
                 texts.append("".join(out) + text[at:])
-            return {"__redacted": texts}
+            return {name: texts}
         return run
 
-    rows = per_document(docs, text_col, make, "__redacted string", docs.columns)
-    clean = F.when(F.col(text_col).isNotNull(), F.col("__redacted"))
+    while name in docs.columns:
+        name += "_"
+    rows = per_document(docs, text_col, make, f"{name} string", docs.columns)
+    clean = F.when(F.col(text_col).isNotNull(), F.col(name))
     return rows.withColumn(text_col, clean).select(*docs.columns)
 
 

@@ -11,11 +11,17 @@ from abono.llm.queries import MODEL
 from abono.llm.store import stored
 
 
+def set_apart(docs: DataFrame) -> DataFrame:
+    """docs with columns but doc_id and text under names that no operator's results bear."""
+    return docs.toDF(*[c if c in ("doc_id", "text") else f"__c{i}" for i, c in enumerate(docs.columns)])
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is a half or more, by a classifier of all labels."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality.quality(docs, labels, allowed=F.lit(True), keep=docs.columns, name="__score")
-    return scored.where("__score >= 0.5").select(*docs.columns)
+    rows = set_apart(docs)
+    scored = quality.quality(rows, labels, allowed=F.lit(True), keep=rows.columns)
+    return scored.where("score >= 0.5").select(*rows.columns).toDF(*docs.columns)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,15 +30,18 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     params = jaccard.Params(words=5, least=jaccard.Fraction(8, 10))
     classes = jaccard.jaccard_classes(docs, params=params)
     later = classes.where("component_id != doc_id or (component_id is not null and doc_id is null)").select("doc_id").distinct()
-    kept = docs.join(later, docs["doc_id"].eqNullSafe(later["doc_id"]), "left_anti")
-    return kept.withColumn("__same", F.xxhash64("text")).dropDuplicates(["doc_id", "__same"]).select(*docs.columns)
+    rows = set_apart(docs)
+    kept = rows.join(later, rows["doc_id"].eqNullSafe(later["doc_id"]), "left_anti")
+    one = kept.withColumn("same", F.xxhash64("text")).dropDuplicates(["doc_id", "same"])
+    return one.select(*rows.columns).toDF(*docs.columns)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.find_leaks(docs, benchmark, keep=docs.columns)
-    return found.where("size(hit_words) = 0").select(*docs.columns)
+    rows = set_apart(docs)
+    found = decontaminate.find_leaks(rows, benchmark, keep=rows.columns)
+    return found.where("size(hit_words) = 0").select(*rows.columns).toDF(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +51,10 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of the pieces of every text, beside the documents' other columns."""
-    return pieces.encode(docs, model=MODEL, keep=[c for c in docs.columns if c != "text"])
+    """Ids of the pieces of every text, beside the documents' other columns; those with the
+    name of a result give way to it."""
+    results = ("text", "n_tokens", "ids", "round_trip")
+    return pieces.encode(docs, model=MODEL, keep=[c for c in docs.columns if c not in results])
 
 
 STAGES = [

@@ -21,7 +21,7 @@ def test_a_row_for_each_row(spark, name):
 
 
 def test_pipeline(spark, tmp_path):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("__score", F.lit(1))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({c: F.lit(1) for c in ("score", "hit_words", "redacted", "__c1", "node")})
     first = {r.doc_id: r.text for r in docs.collect()}
     before = set(first)
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
