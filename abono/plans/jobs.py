@@ -52,7 +52,7 @@ class Lake:
 
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
         if name == "fact_rfm":
-            return spark.read.schema(FACT_RFM_SCHEMA).parquet(self.path(layer, name))
+            return versions.read_fact_rfm(spark, self.path(layer, name), FACT_RFM_SCHEMA)
         found = self.maybe(spark, layer, name)
         if found is None:
             raise KeyError(f"{layer}.{name} was never loaded")
@@ -147,20 +147,18 @@ def run_snapshots(spark: SparkSession, cfg: JobConfig, run_ts) -> None:
             key, "fecha_actualizacion", run_ts)
 
 
-def _accounts_base(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Inlined where it is used, never stored."""
-    return dimensions.dim_cuentas_base(lake.read(spark, SNAPSHOTS, "accounts_snapshot"))
-
-
-def _stored_scores(spark: SparkSession, lake: Lake) -> DataFrame:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(lake.path(ANALYTICS, "fact_rfm"))
-    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return lake.read(spark, ANALYTICS, "fact_rfm")
-    return spark.createDataFrame([], FACT_RFM_SCHEMA)
+def _accounts_base(spark: SparkSession, lake: Lake, anew: bool = False) -> DataFrame:
+    """Account versions, stored once per daily run and read by the steps after it."""
+    found = None if anew else lake.maybe(spark, ANALYTICS, "dim_cuentas_base")
+    if found is not None:
+        return found
+    base = dimensions.dim_cuentas_base(lake.read(spark, SNAPSHOTS, "accounts_snapshot"))
+    return versions.load_replace(base, lake.path(ANALYTICS, "dim_cuentas_base"))
 
 
 def refresh_dim_cuentas(spark: SparkSession, cfg: JobConfig) -> None:
-    dim = dimensions.dim_cuentas(_accounts_base(spark, cfg.lake), _stored_scores(spark, cfg.lake))
+    scores = cfg.lake.read(spark, ANALYTICS, "fact_rfm")
+    dim = dimensions.dim_cuentas(_accounts_base(spark, cfg.lake), scores)
     versions.load_replace(dim, cfg.lake.path(ANALYTICS, "dim_cuentas"))
 
 
@@ -176,7 +174,7 @@ def run_marts(spark: SparkSession, cfg: JobConfig, as_of) -> None:
     versions.load_replace(
         lifecycle.fact_suscripciones(
             lake.read(spark, STAGING, "stg_accounts_subscription"),
-            _accounts_base(spark, lake), plans, as_of),
+            _accounts_base(spark, lake, anew=True), plans, as_of),
         lake.path(ANALYTICS, "fact_suscripciones_cuentas"))
     refresh_dim_cuentas(spark, cfg)
 

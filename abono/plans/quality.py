@@ -17,33 +17,45 @@ def run_checks(spark: SparkSession, source, target, now, tables: list[str] | Non
                relations: dict[str, dict[str, str]] | None = None,
                hours: int = fixed.FRESHNESS_HOURS) -> DataFrame:
     """Counts, duplicates, foreign keys and freshness of loaded tables, as one result
-    table. `source` and `target` hand out tables by name. Every check is evaluated here, for
-    itself: one whose tables cannot be read, or fail while being read, is reported as ERROR
-    with the whole message, and the others go on. A check is a handful of rows."""
+    table. `source` and `target` hand out tables by name. Checks are evaluated here, those of
+    a table together; one whose tables cannot be read, or fail while being read, is reported
+    as ERROR with the whole message, and all others count. A check is a handful of rows."""
     keys = RAW_KEYS if keys is None else keys
     relations = LOAD_RELATIONS if relations is None else relations
 
-    def guarded(check, table, column, build):
-        try:
-            return spark.createDataFrame(build().collect(), c.RESULT)
-        except (PySparkException, KeyError) as e:
-            return c.stated(spark, check, table, column, c.ERROR, str(e), 0)
-
-    results = []
-    for name in tables or list(fixed.RAW_TABLES):
-        results.append(guarded("row_count", name, None, lambda: c.check_counts(
-            source.table(spark, name), target.table(spark, name), name)))
-        results.append(guarded("duplicates", name, keys.get(name), lambda: c.check_duplicates(
-            target.table(spark, name), keys.get(name), name)))
+    def checks_of(name: str):
+        """(check, column, what builds its result) of one table."""
+        key = keys.get(name)
+        yield "row_count", None, lambda: c.check_counts(
+            source.table(spark, name), target.table(spark, name), name)
+        yield "duplicates", key, lambda: c.check_duplicates(target.table(spark, name), key, name)
         if name not in relations:
-            results.append(c.stated(spark, "foreign_key", name, None, c.SKIP, "no relations"))
+            yield "foreign_key", None, lambda: c.stated(
+                spark, "foreign_key", name, None, c.SKIP, "no relations")
         for fk, parent in relations.get(name, {}).items():
-            results.append(guarded("foreign_key", name, fk, lambda: c.check_fk(
+            yield "foreign_key", fk, lambda fk=fk, parent=parent: c.check_fk(
                 target.table(spark, name), fk, target.table(spark, parent),
-                keys.get(parent, "id"), name, parent)))
-        results.append(guarded("freshness", name, "updated_at", lambda: c.check_freshness(
-            target.table(spark, name), "updated_at", now, name, hours)))
-    return c.union_results(results)
+                keys.get(parent, "id"), name, parent)
+        yield "freshness", "updated_at", lambda: c.check_freshness(
+            target.table(spark, name), "updated_at", now, name, hours)
+
+    def found(builds) -> list:
+        return c.union_results([build() for build in builds]).collect()
+
+    rows = []
+    for name in tables or list(fixed.RAW_TABLES):
+        listed = list(checks_of(name))
+        try:
+            rows += found([build for _, _, build in listed])
+            continue
+        except (PySparkException, KeyError):
+            pass  # some check of this table fails: find out which
+        for check, column, build in listed:
+            try:
+                rows += found([build])
+            except (PySparkException, KeyError) as e:
+                rows.append((check, name, column, 0, c.ERROR, str(e)))
+    return spark.createDataFrame(rows, c.RESULT)
 
 
 @dataclass(frozen=True)

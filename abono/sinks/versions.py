@@ -140,18 +140,49 @@ def load_snapshot(source: DataFrame, path: str, key: str, updated_at: str, run_t
     return read_snapshot(spark, path, schema)
 
 
+FACT_DATE = "id_dim_fecha_rfm"
+
+
+def _fact_dates(spark: SparkSession, path: str) -> list[str]:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    root = hadoop(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(f"{path}/{n}" for n in names if n.startswith(f"{FACT_DATE}="))
+
+
+def read_fact_rfm(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The current version of every date."""
+    folders = []
+    for date in _fact_dates(spark, path):
+        number = current_version(spark, date)
+        folders += [f for n, f, complete in _folders(spark, date) if complete and number and n >= number]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders)
+
+
 def write_fact_rfm(df: DataFrame, path: str) -> DataFrame:
-    """Upsert on (date, account) into a table partitioned by date. Only the partitions of
-    the dates at hand are read and rewritten; accounts scored earlier for the same date
-    and missing now stay."""
+    """Upsert on (date, account). Each date is a table of its own, whose versions never
+    overwrite what is being read; only the dates at hand are read and written. Accounts
+    scored earlier for the same date and missing now stay. A scoring run has one date; rows
+    need one."""
     spark = df.sparkSession
-    keys = ["id_dim_fecha_rfm", "id_dim_cuenta"]
     rows = materialize(df, "fact")
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        dates = [r[0] for r in rows.select(keys[0]).distinct().collect()]
-        touched = spark.read.schema(df.schema).parquet(path).filter(F.col(keys[0]).isin(dates))
-        rows = materialize(merge_upsert(touched.select(*df.columns), rows, keys), "fact")
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(keys[0]).parquet(path))
-    return spark.read.schema(df.schema).parquet(path)
+    for (date,) in rows.select(FACT_DATE).distinct().collect():
+        if date is None:
+            raise ValueError(f"{FACT_DATE} is null")
+        load_upsert(rows.filter(F.col(FACT_DATE) == F.lit(date)), f"{path}/{FACT_DATE}={date}",
+                    [FACT_DATE, "id_dim_cuenta"])
+    return read_fact_rfm(spark, path, df.schema)
+
+
+def drop_old_versions(spark: SparkSession, path: str) -> int:
+    """Deletes a table's folders below its current version, and returns their number. To be
+    called when no reader needs them any more; nothing calls it by itself."""
+    number = current_version(spark, path)
+    old = [f for n, f, _ in _folders(spark, path) if number is not None and n < number]
+    for folder in old:
+        gone = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    return len(old)

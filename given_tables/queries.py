@@ -639,15 +639,27 @@ simple("sv2_not_found",
           (SELECT id_cuenta FROM dim_cuentas WHERE es_actual)""")
 
 
+@query("rfm1_recency_elapsed_hours", f"""SELECT o_orderkey AS id_cuenta,
+       CAST(date_diff('second', CAST(o_orderdate AS TIMESTAMP) + to_hours(CAST(o_orderkey % 24 AS INTEGER)),
+            TIMESTAMP '{AS_OF}') // 86400 AS BIGINT) AS dias_desde_ultima_actividad
+    FROM orders WHERE CAST(o_orderdate AS DATE) < DATE '{AS_OF}' - 1""")
+def _(d):
+    """Elapsed days where activities have an hour."""
+    last = F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("o_orderkey") % 24)
+    base = (d.read("orders").filter(F.col("o_orderdate").cast("date") < F.date_sub(F.lit(AS_OF).cast("date"), 1))
+            .select(F.col("o_orderkey").alias("id_cuenta"), last.alias("last")))
+    return rfm.rfm_recency(base, AS_OF, "elapsed").select("id_cuenta", "dias_desde_ultima_actividad")
+
+
 # Jobs.
 
 @query("job1_daily", "SELECT b.*, 'Sin segmentación' AS segmento_rfm_ultimo,"
        " DATE '1900-01-01' AS fecha_rfm_ultimo, 'Sin segmentación' AS segmento_rfm_anterior,"
-       " DATE '1900-01-01' AS fecha_rfm_anterior FROM dim_cuentas_once b WHERE es_actual")
+       " DATE '1900-01-01' AS fecha_rfm_anterior FROM dim_cuentas_once b")
 def _(d):
     lake = jobs.Lake(scratch(d, "job1"), "dev")
     jobs.run_daily(d.spark, jobs.JobConfig(d, lake, strict=False), AS_OF, dm.SECOND_RUN)
-    return current_only(lake.read(d.spark, "analytics", "dim_cuentas"))
+    return lake.read(d.spark, "analytics", "dim_cuentas")
 
 
 @query("job3_full", "SELECT * FROM fact_rfm_once")

@@ -154,3 +154,21 @@ def test_jdbc_options_split_on_the_key():
     assert options["partitionColumn"] == "account_id" and options["numPartitions"] == "16"
     assert (options["lowerBound"], options["upperBound"], options["user"]) == ("1", "900", "u")
     assert "partitionColumn" not in source.options("accounts")
+
+
+def test_numbers_beyond_eight_digits_and_release(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    frame([(1,)], "k int").write.parquet(f"{path}/v99999999")
+    assert rows(versions.load_replace(frame([(2,)], "k int"), path)) == [(2,)]
+    assert versions.current_version(spark, path) == 100_000_000
+    assert versions.drop_old_versions(spark, path) == 1
+    assert rows(versions.read_current(spark, path)) == [(2,)]
+    assert versions.drop_old_versions(spark, str(tmp_path / "none")) == 0
+
+
+def test_upsert_keeps_one_row_per_key_of_any_batch(spark, frame, tmp_path):
+    path, ddl = str(tmp_path / "t"), "k int, at int, v string"
+    batch = frame([(1, 1, "a"), (1, 3, "b"), (1, 3, "c"), (2, None, "z")], ddl)
+    assert rows(versions.load_upsert(batch, path, "k", "at")) == [(1, 3, "c"), (2, None, "z")]
+    assert rows(versions.load_upsert(frame([(1, 2, "x"), (1, 2, "y")], ddl), path, "k")) == [
+        (1, 2, "y"), (2, None, "z")]

@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import datetime as dt
 
 from abono.operators import checks as c
@@ -87,3 +88,18 @@ def test_full_run_reports_missing_tables_and_goes_on(spark, frame):
     assert rows(c.quality_report(out).filter("check_name = 'row_count'"), "status", "resultados") == [
         ("ERROR", 1), ("OK", 1), ("WARNING", 1)]
     assert set(RAW_KEYS) == set(quality.RAW_CHECKS)
+
+
+def test_a_check_that_fails_while_running_is_an_error_row(spark, frame):
+    good = frame([(1, "2024-01-01 00:00:00")], "account_id int, updated_at timestamp_ntz")
+    bad = good.withColumn("account_id", F.expr("if(account_id > 0, cast(raise_error('broken\nfile') as int), 1)"))
+
+    class Source:
+        def table(self, _, name):
+            return bad if name == "contents" else good
+
+    keys = {"accounts": "account_id", "contents": "account_id"}
+    found = quality.run_checks(spark, Source(), Source(), "2024-01-01 10:00:00", list(keys), keys, {})
+    got = {(r.table_name, r.check_name): r for r in found.collect()}
+    assert got["accounts", "duplicates"].status == "OK" and got["contents", "duplicates"].status == "ERROR"
+    assert "file" in got["contents", "duplicates"].detail and got["contents", "freshness"].status == "OK"
