@@ -601,6 +601,11 @@ simple("crm1_candidates", lambda d: activation.crm_candidates(d.dim_cuentas), "S
 simple("crm2_match",
        lambda d: activation.crm_match(activation.crm_candidates(d.dim_cuentas), d.companies),
        "SELECT * FROM crm_matched")
+simple("crm2_match_repeated_keys",
+       lambda d: activation.crm_match(
+           activation.crm_candidates(d.dim_cuentas),
+           d.companies.unionByName(d.companies.withColumn("company_id", F.concat(F.lit("x"), "company_id")))),
+       "SELECT * FROM crm_matched")
 simple("crm3_payload",
        lambda d: activation.crm_payload(
            activation.crm_match(activation.crm_candidates(d.dim_cuentas), d.companies)),
