@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from abono.llm.graph import components
 from abono.llm.store import stored
 from abono.llm.text import (
-    LOWER, SOLID, Piece, arrow_piece, inner_runs, joined_hash, mixed, per_document, ranges, running_hash, sliced, span_hash, words_of,
+    LOWER, SOLID, Piece, inner_runs, joined_hash, mixed, per_document, piece_of, ranges, running_hash, sliced, span_hash, words_of,
 )
 
 
@@ -43,9 +43,9 @@ class Params:
     #: Growth from one size class to the next.
     step: float = 1.5
     #: n-grams of a component that one task compares; larger ones are cut into blocks.
-    block: int = 2_000_000
+    block: int = 1_000_000
     #: Fragments of a task's documents that are combined before the shuffle.
-    hold: int = 4_000_000
+    hold: int = 1_000_000
 
     def differ(self, total: int) -> int:
         """n-grams in which linked sets of `total` elements together differ at most."""
@@ -220,13 +220,14 @@ def links_among(sets: list[np.ndarray], others: list[np.ndarray] | None, group:
 
 def _sets_by_node(rows: pa.Table, p: Params) -> dict[int, np.ndarray]:
     """Sets of the rows' nodes, from texts; rows whose text has another set drop out."""
-    piece = arrow_piece(rows["t"].combine_chunks())
-    grams, cuts = sets_of(piece, p)
     out: dict[int, np.ndarray] = {}
-    for i, node in enumerate(rows["node"].to_pylist()):
-        own = grams[cuts[i]:cuts[i + 1]]
-        if node not in out and node_of(own) == node:
-            out[node] = own
+    for batch in rows.to_batches():
+        for part, piece in sliced(batch, batch.schema.get_field_index("t")):
+            grams, cuts = sets_of(piece, p)
+            for i, node in enumerate(part.column("node").to_pylist()):
+                own = grams[cuts[i]:cuts[i + 1]]
+                if node not in out and node_of(own) == node:
+                    out[node] = own.copy()
     return out
 
 
@@ -270,13 +271,14 @@ def _large(texts: DataFrame, p: Params) -> DataFrame:
     def star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, base = None, np.zeros(0, np.uint64)
         for batch in batches:
-            grams, cuts = sets_of(arrow_piece(batch.column(2)), p)
-            near = []
-            for i, (root, pivot) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3))):
-                if root != name:
-                    name, base = root, sets_of(arrow_piece(pa.array([pivot.as_py()])), p)[0]
-                near.append(linked(grams[cuts[i]:cuts[i + 1]], base, p))
-            yield pa.RecordBatch.from_pydict({"root": batch.column(0), "node": batch.column(1), "near": near})
+            for part, piece in sliced(batch, 2):
+                grams, cuts = sets_of(piece, p)
+                near = []
+                for i, (root, pivot) in enumerate(zip(part.column(0).to_pylist(), part.column(3))):
+                    if root != name:
+                        name, base = root, sets_of(piece_of([pivot.as_py()]), p)[0]
+                    near.append(linked(grams[cuts[i]:cuts[i + 1]], base, p))
+                yield pa.RecordBatch.from_pydict({"root": part.column(0), "node": part.column(1), "near": near})
 
     pivots = texts.where("node = root").select("root", F.col("t").alias("pivot")).dropDuplicates(["root"])
     compared = texts.join(pivots, "root").select("root", "node", "t", "pivot").mapInArrow(star, "root long, node long, near boolean")

@@ -56,11 +56,11 @@ class Params:
     #: Tokens of a training window, and windows a document gives at most.
     window: int = 24
     windows: int = 4
-    rounds: int = 50
+    rounds: int = 40
     rate: float = 0.1
     ridge: float = 1e-3
     #: Bound of the documents that are learned from (twice that at most).
-    sample: int = 8_000
+    sample: int = 2_000
 
     @property
     def sizes(self) -> tuple[int, ...]:
