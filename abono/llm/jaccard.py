@@ -8,8 +8,8 @@ pair's overlap is the sum of its overlaps in the fragments: a fragment's is boun
 by parities of its n-grams first, and counted where the bound leaves the pair open.
 
 1. Documents with equal sets are one node.
-2. Nodes that share a fragment are joined to the least node of it; components of these edges
-   hold every link.
+2. Nodes that share a fragment, and that sizes and parities let be linked, are connected;
+   components of these edges hold every link.
 3. A component that fits in a task is searched there. A larger one is first compared to its
    least node; those linked to it are one class, and only the others are compared, in blocks,
    to the blocks of the whole component. So a large group of near copies takes one pass, and no
@@ -44,8 +44,10 @@ class Params:
     step: float = 1.5
     #: n-grams of a component that one task compares; larger ones are cut into blocks.
     block: int = 1_000_000
-    #: Fragments of a task's documents that are combined before the shuffle.
+    #: Fragments of a task's documents that are made distinct before the shuffle.
     hold: int = 1_000_000
+    #: Nodes that share a fragment and are compared in one task.
+    crowd: int = 5_000
 
     def differ(self, total: int) -> int:
         """n-grams in which linked sets of `total` elements together differ at most."""
@@ -128,23 +130,17 @@ def fragment_keys(grams: np.ndarray, cuts: np.ndarray, p: Params) -> tuple[np.nd
 
 
 def _keyed(docs: DataFrame, text_col: str, p: Params) -> DataFrame:
-    """(key, node, other): of each key one node per task (and `hold` rows), other null; nodes
-    that share the key with that one are its edges, (any key, node, other). So what goes to a
-    key's partition does not grow with the documents that share it."""
-    def combined(keys: list[np.ndarray], nodes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(key, node), once per task (and `hold` rows) each."""
+    def distinct(keys: list[np.ndarray], nodes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         key, node = np.concatenate(keys), np.concatenate(nodes)
         order = np.lexsort((node, key))
         key, node = key[order], node[order]
         new = np.ones(len(key), dtype=bool)
-        new[1:] = key[1:] != key[:-1]
-        least = node[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        keep = new | (node != least)
-        key, node, least, new = key[keep], node[keep], least[keep], new[keep]
-        key = np.where(new, key, mixed(node.view(np.uint64)).view(np.int64))
+        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        key, node = key[new], node[new]
         for at in range(0, len(key), 1 << 17):
             part = slice(at, at + (1 << 17))
-            other = pa.array(least[part], mask=new[part])
-            yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(node[part]), other], names=["key", "node", "other"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(node[part])], names=["key", "node"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
@@ -157,20 +153,60 @@ def _keyed(docs: DataFrame, text_col: str, p: Params) -> DataFrame:
                 keys.append(key.view(np.int64))
                 nodes.append(own[text])
                 if sum(map(len, keys)) > p.hold:
-                    yield from combined(keys, nodes)
+                    yield from distinct(keys, nodes)
                     keys, nodes = [], []
         if keys:
-            yield from combined(keys, nodes)
+            yield from distinct(keys, nodes)
+
+    return docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(run, "key long, node long")
+
+
+def sharing(docs: DataFrame, sets: DataFrame, text_col: str, p: Params) -> DataFrame:
+    """(u, v): edges whose components hold every link. sets: (node, n_shingles, bits).
+
+    Nodes that share a fragment are compared by sizes and parities, and those that may be
+    linked are connected, as few edges as make them one. Fragments with the same nodes are
+    compared once. Those with more nodes than p.crowd connect all to the least one, as no task
+    compares them."""
+    w = Window.partitionBy("key")
+    name = F.pmod(F.xxhash64("node"), F.lit(1 << 44))
+    rows = _keyed(docs, text_col, p).repartition("key").select(
+        "key", "node", F.count("node").over(w).alias("n"), F.min("node").over(w).alias("low"), F.max("node").over(w).alias("high"),
+        F.bit_xor(F.xxhash64("node")).over(w).alias("x"), F.try_sum(name).over(w).alias("s"))
+    rows = stored(rows.where("low != high"), "shared")
+    few = rows.where((F.col("n") <= p.crowd) & F.col("s").isNotNull())
+    one = few.groupBy("n", "low", "high", "x", "s").agg(F.min("key").alias("key")).select("key")
+    compared = few.join(one, "key", "left_semi").select("key", "node")
+    marks = sets.select("node", "n_shingles", "bits").dropDuplicates(["node"])
+    compared = compared.join(marks, "node").repartition("key").sortWithinPartitions("key")
 
-    return docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(run, "key long, node long, other long")
-
-
-def sharing(docs: DataFrame, text_col: str, p: Params) -> DataFrame:
-    """(u, v): nodes that share a fragment are connected by these edges."""
-    rows = _keyed(docs, text_col, p).repartition("key")
-    least = F.min(F.when(F.col("other").isNull(), F.col("node"))).over(Window.partitionBy("key"))
-    edges = rows.select(F.col("node").alias("u"), F.coalesce("other", least).alias("v"))
-    return edges.where("u != v").distinct()
+    def group(part: pa.Table) -> pa.RecordBatch:
+        nodes, first = np.unique(part["node"].to_numpy(), return_index=True)
+        size = part["n_shingles"].to_numpy()[first]
+        bits = np.frombuffer(b"".join(part["bits"].take(pa.array(first)).to_pylist()), dtype=np.uint64).reshape(-1, WIDE)
+        label = np.arange(len(nodes))
+        found = []
+        for i in range(len(nodes)):
+            for j in _plausible(i, np.flatnonzero(label[i + 1:] != label[i]) + i + 1, size, bits, p).tolist():
+                if label[i] != label[j]:
+                    found.append((int(nodes[i]), int(nodes[j])))
+                    label[label == label[j]] = label[i]
+        return _edges(found)
+
+    edges = compared.mapInArrow(lambda batches: _by_group(batches, "key", group), "u long, v long")
+    crowd = rows.where((F.col("n") > p.crowd) | F.col("s").isNull()).select(F.col("node").alias("u"), F.col("low").alias("v"))
+    return edges.unionByName(crowd.where("u != v")).distinct()
+
+
+def _plausible(i: int, rest: np.ndarray, size: np.ndarray, bits: np.ndarray, p: Params) -> np.ndarray:
+    """Those of `rest` that sizes and parities let be linked with set i."""
+    t = p.least
+    small, large = np.minimum(size[rest], size[i]), np.maximum(size[rest], size[i])
+    rest = rest[small * t.denominator >= large * t.numerator]
+    if not len(rest):
+        return rest
+    apart = np.bitwise_count(bits[rest] ^ bits[i]).sum(axis=1, dtype=np.int64)
+    return rest[apart * (t.denominator + t.numerator) <= (size[rest] + size[i]) * (t.denominator - t.numerator)]
 
 
 def linked(a: np.ndarray, b: np.ndarray, p: Params) -> bool:
@@ -199,18 +235,11 @@ def links_among(sets: list[np.ndarray], others: list[np.ndarray] | None, group:
     size = np.array([len(s) for s in every], dtype=np.int64)
     cuts = np.concatenate([[0], np.cumsum(size)])
     bits = parities(np.concatenate([np.zeros(0, np.uint64), *every]), cuts)
-    t = p.least
     found = []
     base = 0 if others is None else len(sets)
     for i in range(len(sets)):
         low = i + 1 if others is None else base
-        rest = np.flatnonzero(label[low:] != label[i]) + low
-        small, large = np.minimum(size[rest], size[i]), np.maximum(size[rest], size[i])
-        rest = rest[small * t.denominator >= large * t.numerator]
-        if not len(rest):
-            continue
-        apart = np.bitwise_count(bits[rest] ^ bits[i]).sum(axis=1, dtype=np.int64)
-        rest = rest[apart * (t.denominator + t.numerator) <= (size[rest] + size[i]) * (t.denominator - t.numerator)]
+        rest = _plausible(i, np.flatnonzero(label[low:] != label[i]) + low, size, bits, p)
         for j in rest.tolist():
             if label[i] != label[j] and linked(every[i], every[j], p):
                 found.append((i, j - base))
@@ -331,11 +360,12 @@ def jaccard_classes(
     def make():
         def run(piece: Piece) -> dict[str, object]:
             grams, cuts = sets_of(piece, p)
-            return {"n_shingles": np.diff(cuts), "node": _nodes(grams, cuts)}
+            marks = [x.tobytes() for x in parities(grams, cuts)]
+            return {"n_shingles": np.diff(cuts), "node": _nodes(grams, cuts), "bits": marks}
         return run
 
-    sets = stored(per_document(docs, text_col, make, "n_shingles long, node long", [id_col]), "sets")
-    groups = stored(components(sharing(docs, text_col, p), "shared"), "groups")
+    sets = stored(per_document(docs, text_col, make, "n_shingles long, node long, bits binary", [id_col]), "sets")
+    groups = stored(components(sharing(docs, sets, text_col, p), "links"), "groups")
 
     nodes = sets.groupBy("node").agg(F.min(id_col).alias("id"), F.max("n_shingles").alias("n"))
     member = stored(groups.join(nodes, "node"), "members")

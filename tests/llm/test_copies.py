@@ -92,9 +92,9 @@ def shingles(text, n):
 
 
 @pytest.mark.parametrize("least,n", [(Fraction(9, 10), 3), (Fraction(8, 10), 5), (Fraction(1, 2), 3)])
-@pytest.mark.parametrize("block,hold", [(2_000_000, 4_000_000), (200, 50)])
-def test_jaccard(docs, rows, least, n, block, hold):
-    params = jaccard.Params(words=n, least=least, block=block, hold=hold)
+@pytest.mark.parametrize("block,hold,crowd", [(2_000_000, 4_000_000, 5_000), (200, 50, 2)])
+def test_jaccard(docs, rows, least, n, block, hold, crowd):
+    params = jaccard.Params(words=n, least=least, block=block, hold=hold, crowd=crowd)
     got = jaccard.jaccard_classes(docs, params=params)
     sets = [shingles(t, n) for _, t, _, _ in rows]
     root = list(range(len(rows)))
