@@ -43,7 +43,7 @@ class Params:
     #: Growth from one size class to the next.
     step: float = 1.5
     #: n-grams of a component that one task compares; larger ones are cut into blocks.
-    block: int = 1_000_000
+    block: int = 4_000_000
     #: Fragments of a task's documents that are made distinct before the shuffle.
     hold: int = 1_000_000
     #: Nodes that share a fragment and are compared in one task.
@@ -218,13 +218,14 @@ def linked(a: np.ndarray, b: np.ndarray, p: Params) -> bool:
 WIDE = 32
 
 
-def parities(grams: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """64 * WIDE fragments' parities of each set: where they differ, so do the sets."""
-    n = len(cuts) - 1
-    slot = (grams & np.uint64(64 * WIDE - 1)).astype(np.int64)
-    flat = np.repeat(np.arange(n), np.diff(cuts)) * (64 * WIDE) + slot
-    odd = (np.bincount(flat, minlength=n * 64 * WIDE) & 1).astype(np.uint8)
-    return np.packbits(odd, bitorder="little").view(np.uint64).reshape(n, WIDE)
+def parities(grams: np.ndarray, cuts: np.ndarray, wide: int = WIDE) -> np.ndarray:
+    """64 * wide fragments' parities of each set: where they differ, so do the sets."""
+    slot = (grams & np.uint64(64 * wide - 1)).astype(np.int64)
+    out = np.zeros((len(cuts) - 1, wide), dtype=np.uint64)
+    for i in range(len(cuts) - 1):
+        odd = np.bincount(slot[cuts[i]:cuts[i + 1]], minlength=64 * wide).astype(np.uint8) & 1
+        out[i] = np.packbits(odd, bitorder="little").view(np.uint64)
+    return out
 
 
 def links_among(sets: list[np.ndarray], others: list[np.ndarray] | None, group: list[int], more: list[int] | None, p: Params) -> list[tuple[int, int]]:
@@ -234,7 +235,11 @@ def links_among(sets: list[np.ndarray], others: list[np.ndarray] | None, group:
     label = np.array(group + (more or []), dtype=np.int64)
     size = np.array([len(s) for s in every], dtype=np.int64)
     cuts = np.concatenate([[0], np.cumsum(size)])
-    bits = parities(np.concatenate([np.zeros(0, np.uint64), *every]), cuts)
+    # four slots per element of the largest set, so that long sets' parities tell as well
+    wide = max(WIDE, 1 << int(size.max(initial=1) // 16).bit_length())
+    while wide > WIDE and wide * len(every) > 1 << 22:  # 32 MB
+        wide //= 2
+    bits = parities(np.concatenate([np.zeros(0, np.uint64), *every]), cuts, wide)
     found = []
     base = 0 if others is None else len(sets)
     for i in range(len(sets)):
