@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from abono.llm.graph import components
 from abono.llm.store import stored
@@ -346,6 +347,37 @@ def _large(texts: DataFrame, p: Params) -> DataFrame:
     return first.unionByName(rest)
 
 
+def nodes_of(docs: DataFrame, keep: list[str], *, text_col: str = "text", params: Params = Params()) -> DataFrame:
+    """The columns `keep` of every row, the size of its set and the node that names it."""
+    def make():
+        def run(piece: Piece) -> dict[str, object]:
+            grams, cuts = sets_of(piece, params)
+            return {"n_shingles": np.diff(cuts), "node": _nodes(grams, cuts)}
+        return run
+    return per_document(docs, text_col, make, "n_shingles long, node long", keep)
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str, p: Params) -> DataFrame:
+    """(id, t, node): a text of each id and node, its own set's, once per task (and `hold`
+    rows) each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[object, int]] = set()
+        for batch in batches:
+            for rows, piece in sliced(batch, 1):
+                nodes, new = _nodes(*sets_of(piece, p)), []
+                for i, pair in enumerate(zip(rows.column(0).to_pylist(), nodes.tolist())):
+                    if pair not in seen:
+                        seen.add(pair)
+                        new.append(i)
+                made = pa.RecordBatch.from_arrays([*rows.columns, pa.array(nodes)], names=["id", "t", "node"])
+                yield made if len(new) == len(made) else made.take(pa.array(new, pa.int64()))
+                if len(seen) > p.hold:
+                    seen = set()
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("node", T.LongType())]))
+
+
 def jaccard_classes(
     docs: DataFrame,
     *,
@@ -354,7 +386,8 @@ def jaccard_classes(
     params: Params = Params(),
 ) -> DataFrame:
     """One row per row of docs: id_col, n_shingles (size of its set), node (hash that names
-    its set) and component_id, the least id that links reach, its own included.
+    its set), component_id, the least id that links reach, its own included, and root (a node
+    that names its class; documents without words share one).
 
     Two documents link if the Jaccard similarity of their sets of n-grams is params.least or
     more. Null texts and those without words have empty sets and link with nothing; their
@@ -376,10 +409,11 @@ def jaccard_classes(
     member = stored(groups.join(nodes, "node"), "members")
     weight = member.groupBy("root").agg(F.sum("n").alias("total"))
     blocks = F.ceil(F.col("total") / p.block)
-    member = member.join(weight, "root").select("root", "node", "id", blocks.alias("blocks"))
-    text = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
+    key = F.struct("node", "id").alias("key")
+    member = member.join(weight, "root").select("root", "node", key, blocks.alias("blocks"))
     # the same join at every size: members grow with the documents
-    texts = member.hint("merge").join(text, member["id"].eqNullSafe(text["id"])).select("root", "node", "t", "blocks")
+    texts = member.hint("merge").join(_texts(docs, id_col, text_col, p).select(key, "t"), "key")
+    texts = texts.dropDuplicates(["key"]).select("root", "node", "t", "blocks")
     texts = stored(texts, "texts")
     links = _small(texts.where("blocks <= 1").select("root", "node", "t"), p)
     links = links.unionByName(_large(texts.where("blocks > 1"), p))
@@ -387,7 +421,7 @@ def jaccard_classes(
 
     rooted = nodes.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("id").alias("least"))
-    named = rooted.join(least, "root").select("node", "least")
+    named = rooted.join(least, "root").select("node", "root", "least")
     joined = sets.join(named, "node")
     own = F.when(F.col("n_shingles") == 0, F.col(id_col)).otherwise(F.col("least"))
-    return joined.select(id_col, "n_shingles", "node", own.alias("component_id"))
+    return joined.select(id_col, "n_shingles", "node", own.alias("component_id"), "root")

@@ -9,6 +9,7 @@ import pytest
 
 from abono.llm import jaccard, repeats
 from abono.llm.graph import components
+from abono.llm.text import piece_of
 
 DDL = "doc_id long, text string, node long, spans string"
 
@@ -116,6 +117,39 @@ def test_jaccard(docs, rows, least, n, block, hold, crowd):
     assert sorted(key(r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == want
 
 
+@pytest.mark.parametrize("block", [4_000_000, 40])
+def test_jaccard_reads_the_text_of_each_node(spark, block):
+    """Null and repeated ids: nodes of one id get their own texts, one each."""
+    near = lambda k: [" ".join([f"{k}w{i}" for i in range(60)] + [f"end{j}"]) for j in range(8)]
+    rows = [(None, t) for k in "abc" for t in near(k)] + [(7, t) for k in "de" for t in near(k)] + [(i, t) for i, t in enumerate(near("f"))]
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string").repartition(3)
+    got = jaccard.jaccard_classes(docs, params=jaccard.Params(block=block)).collect()
+    assert len(got) == 2 * len(rows)
+    classes = {}
+    for r in got:
+        classes.setdefault(r.root, set()).add(r.node)
+    assert sorted(map(len, classes.values())) == [8] * 6
+    texts = jaccard._texts(docs.coalesce(1), "doc_id", "text", jaccard.Params()).collect()
+    assert len(texts) == len(rows)
+    for r in texts:
+        assert jaccard.node_of(jaccard.sets_of(piece_of([r.t]), jaccard.Params())[0]) == r.node
+
+
+def test_jaccard_pivot_has_the_nodes_set(spark, monkeypatch):
+    """Rows that reach the comparison are the nodes', one for each, with the nodes' sets."""
+    seen = []
+    small, large = jaccard._small, jaccard._large
+    monkeypatch.setattr(jaccard, "_small", lambda texts, p: seen.append(texts) or small(texts, p))
+    monkeypatch.setattr(jaccard, "_large", lambda texts, p: seen.append(texts) or large(texts, p))
+    base = [" ".join(f"{k}w{i}" for i in range(50)) for k in "ab"]
+    rows = [(None, f"{t} {j}") for t in base for j in range(6)] * 2
+    p = jaccard.Params(block=40)
+    jaccard.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"), params=p).count()
+    found = [r for texts in seen for r in texts.collect()]
+    assert len(found) == len({r.node for r in found}) == 12
+    assert all(jaccard.node_of(jaccard.sets_of(piece_of([r.t]), p)[0]) == r.node for r in found)
+
+
 def test_fragments_meet():
     """Any two linked sets have a key in common."""
     rng = np.random.default_rng(6)
