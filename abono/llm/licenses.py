@@ -105,28 +105,47 @@ def phrase_places(flat: bytes, phrase: str) -> list[int]:
     return places
 
 
+def occurrences(flat: str, k: int, notice: Notice, begin: int, end: int) -> list[tuple[int, int, int, int]]:
+    """(start, end, k, edits) of the notice in flat[begin:end]: the best match, and again what
+    is before it and after it, until nothing is found."""
+    spans, rest = [], [(begin, end)]
+    while rest:
+        a, b = rest.pop()
+        if b - a < len(notice.text) - notice.edits:
+            continue
+        m = notice.pattern.search(flat, a, b)
+        if m and m.end() > m.start():
+            spans.append((m.start(), m.end(), k, sum(m.fuzzy_counts)))
+            rest += [(a, m.start()), (m.end(), b)]
+    return spans
+
+
 def fuzzy_spans(flat: str, found: Sequence[Notice], automaton: ahocorasick.Automaton) -> list[tuple[int, int, int, int]]:
-    """(start, end, notice, edits) of the notices in `flat`; of overlapping ones the one with the
-    fewest edits, then the longer and the earlier."""
+    """(start, end, notice, edits) of the notices in `flat`, none across a line feed; of
+    overlapping ones the one with the fewest edits, then the longer and the earlier."""
     around: dict[int, list[tuple[int, int]]] = {}
     for last, hits in automaton.iter(flat):
         for k, offset, size in hits:
-            first = last - size + 1 - offset
+            seed = last - size + 1
+            first = seed - offset
             notice = found[k]
-            around.setdefault(k, []).append((max(0, first - notice.edits), first + len(notice.text) + notice.edits))
+            # a seed has no line feed, so its document ends on either side of it
+            low = max(flat.rfind("\n", max(0, first - notice.edits), seed) + 1, first - notice.edits, 0)
+            high = min(first + len(notice.text) + notice.edits, len(flat))
+            feed = flat.find("\n", last, high)
+            around.setdefault(k, []).append((low, high if feed < 0 else feed))
     spans = []
     for k, parts in around.items():
         parts.sort()
         merged = [list(parts[0])]
         for a, b in parts[1:]:
+            # ranges of two documents have the line feed between them
             if a <= merged[-1][1]:
                 merged[-1][1] = max(merged[-1][1], b)
             else:
                 merged.append([a, b])
         for a, b in merged:
-            for m in found[k].pattern.finditer(flat, a, min(b, len(flat))):
-                if "\n" not in m[0]:
-                    spans.append((m.start(), m.end(), k, sum(m.fuzzy_counts)))
+            spans += occurrences(flat, k, found[k], a, b)
     taken: list[tuple[int, int, int, int]] = []
     for span in sorted(spans, key=lambda x: (x[3], x[0] - x[1], x)):
         at = bisect_left(taken, span)

@@ -86,6 +86,22 @@ def test_licenses(docs, none):
     assert licenses.scan_licenses(none).count() == 0
 
 
+def test_neighbouring_notices(spark):
+    """Every occurrence counts, also before a better one and whichever document comes next."""
+    good, edited = "licensed under the apache license version 2 0", "licensed under the apache licence version 2 0"
+    scan = licenses.scanner(licenses.NOTICES, licenses.PHRASES, 0.1)()
+    alone = scan(piece_of([edited]))["notices"][0]
+    assert [x["edits"] for x in alone] == [1]
+    for texts in ([edited, good], [good, edited], [edited, edited, good, edited]):
+        got = scan(piece_of(texts))["notices"]
+        assert [[x["edits"] for x in g] for g in got] == [[int(t == edited)] for t in texts]
+        assert got[texts.index(edited)] == alone
+    for order in itertools.product((good, edited), repeat=4):
+        got = scan(piece_of([" ".join(order)]))["notices"][0]
+        size = len(good) + 1
+        assert sorted((x["start"], x["end"], x["edits"]) for x in got) == [(size * i, size * i + len(good), int(t == edited)) for i, t in enumerate(order)]
+
+
 def base(text):
     found = [(m.start(), 0, m.end()) for m in re.finditer(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 12]
     found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
