@@ -3,7 +3,7 @@ reads the rows that the one before it wrote as Parquet."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from abono.llm import decontaminate, jaccard, pieces, quality, secrets
@@ -25,15 +25,28 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies (five words, similarity 0.8) the document of the least id;
-    of rows alike in id and text one. Documents without words are no copies of each other."""
+    """Of each class of near copies (five words, similarity 0.8) one row: of the least id, null
+    ids last, then of the least node, then of the least text hash. Documents without words are no
+    copies of each other, but of rows alike in id and text one stays."""
     params = jaccard.Params(words=5, least=jaccard.Fraction(8, 10))
-    classes = jaccard.jaccard_classes(docs, params=params)
-    later = classes.where("component_id != doc_id or (component_id is not null and doc_id is null)").select("doc_id").distinct()
+    classes = jaccard.jaccard_classes(docs, params=params).where("n_shingles > 0").select("root", "doc_id", "node").distinct()
+    classes = stored(classes, "classes")
+    first = classes.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("first"))
+    first = first.select("root", F.col("first.node").alias("kept_node"), F.col("first.doc_id").alias("kept_id"))
+    one_of = classes.join(first, "root")
+    own = (F.col("node") == F.col("kept_node")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    later = one_of.where(~own).select(F.struct("doc_id", F.lit(False).alias("bare"), F.col("node").alias("name")).alias("__key"))
+
     rows = set_apart(docs)
-    kept = rows.join(later, rows["doc_id"].eqNullSafe(later["doc_id"]), "left_anti")
-    one = kept.withColumn("same", F.xxhash64("text")).dropDuplicates(["doc_id", "same"])
-    return one.select(*rows.columns).toDF(*docs.columns)
+    same = F.xxhash64("text")
+    bare = F.col("n_shingles") == 0
+    name = F.when(bare, same).otherwise(F.col("node"))
+    noded = jaccard.nodes_of(rows, rows.columns, params=params)
+    keyed = noded.select(*rows.columns, F.struct("doc_id", bare.alias("bare"), name.alias("name")).alias("__key"))
+    # rows of one key are ranked, which each task does for its own first
+    ranked = keyed.withColumn("__rank", F.row_number().over(Window.partitionBy("__key").orderBy(same)))
+    kept = ranked.where("__rank = 1").join(later, "__key", "left_anti")
+    return kept.select(*rows.columns).toDF(*docs.columns)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,24 @@ def test_pipeline(spark, tmp_path):
     assert corpus_pipeline.run(spark, SF).count() == len(before)
 
 
+def test_near_copies_with_null_and_repeated_ids(spark):
+    base = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcdef"}
+    rows = [
+        (1, base["a"]), (None, base["a"] + " end"), (None, base["b"]), (None, None), (None, " "), (None, ""), (None, ""),  # null ids
+        (2, base["c"]), (3, base["c"] + " end"), (3, base["d"]), (4, base["d"] + " end"),  # 3 twice, one a later copy
+        (None, base["e"]), (None, base["e"] + " end"), (None, base["e"]),  # a class of null ids alone
+        (5, base["f"]), (5, base["f"].upper()), (5, base["f"]), (6, None), (6, ""),
+    ]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, node int")
+    got = corpus_pipeline.one_of_near_copies(spark, docs, SF)
+    assert got.columns == docs.columns
+    found = sorted(((r.doc_id or 0, r.text or "", r.text is None) for r in got.collect()))
+    fixed = [(1, base["a"]), (None, base["b"]), (None, None), (None, " "), (None, ""), (2, base["c"]), (3, base["d"]), (6, None), (6, "")]
+    own = [x for x in found if x[1][:2] in ("e0", "f0", "F0")]
+    assert sorted(x for x in found if x not in own) == sorted((i or 0, t or "", t is None) for i, t in fixed)
+    assert [i for i, _, _ in own] == [0, 5]
+
+
 def _shingles(text):
     w = [x for x in (text or "").translate({i: i + 32 for i in range(65, 91)}).replace("\n", " ").split(" ") if x]
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
