@@ -10,6 +10,7 @@ stretches first, which changes no result."""
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abono.llm.text import LOWER, Piece, Words, about, list_array, per_document, running_hash, span_hash, words_of
+from abono.llm.text import LOWER, Piece, Words, per_document, ranges, running_hash, sliced, span_hash, words_of
 
 #: The patterns, and the least length of what they find.
 ASSIGN = re.compile(rb"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -53,14 +54,13 @@ AROUND[[58, 61]] = 3
 class Params:
     #: Hash slots of words.
     words_log2: int = 12
-    #: Tokens of a training window, and windows a document gives at most.
+    #: Tokens of a training window.
     window: int = 24
-    windows: int = 4
     rounds: int = 40
     rate: float = 0.1
     ridge: float = 1e-3
-    #: Bound of the documents that are learned from (twice that at most).
-    sample: int = 2_000
+    #: Documents of a round at least; a round takes all of a smaller table.
+    batch: int = 2_000
 
     @property
     def sizes(self) -> tuple[int, ...]:
@@ -140,31 +140,39 @@ def true_tags(piece: Piece, tokens: Words) -> np.ndarray:
     return tags
 
 
-def windows(docs: DataFrame, text_col: str, p: Params) -> DataFrame:
-    """Training windows: features and tags, tag -1 beyond the text. A document gives windows
-    around its finds and around other tokens with digits, else one at a place by its hash."""
-    def make():
-        def run(piece: Piece) -> dict[str, object]:
-            tokens, rows = token_features(piece, p)
-            tags = true_tags(piece, tokens)
-            flat, cuts = [], [0]
-            for i in range(len(piece)):
-                a, b = tokens.cuts[i], tokens.cuts[i + 1]
-                own = tags[a:b]
-                sure, other = np.flatnonzero(own == BEGIN), np.flatnonzero((own == OUTSIDE) & (rows[a:b, 1] > 0))
-                middle = np.concatenate([sure[:p.windows - 1], other[:1], [(b - a) * 7 // 11]])
-                made = 0
-                for m in middle.tolist() if b > a else []:
-                    first = a + max(0, m - p.window // 2)
-                    last = min(b, first + p.window)
-                    part = np.full((p.window, rows.shape[1] + 1), -1, dtype=np.int32)
-                    part[:last - first, :-1], part[:last - first, -1] = rows[first:last], tags[first:last]
-                    flat.append(part.reshape(-1))
-                    made += 1
-                cuts.append(cuts[-1] + made * p.window * (len(p.sizes) + 1))
-            return {"w": list_array(np.concatenate([np.zeros(0, np.int32), *flat]), np.array(cuts), pa.int32())}
-        return run
-    return per_document(docs, text_col, make, "w array<int>", [])
+#: Kinds of training windows: without and with a find.
+PLAIN, FOUND = 0, 1
+#: Parts of one in which a token's share of the gradient is counted, so that sums are exact.
+GRAIN = 1 << 20
+
+
+@dataclass
+class Windows:
+    """All tokens of the texts in runs of Params.window: features and tags, tag -1 beyond the
+    text; the tags next to each run, outside at the text's ends; the kind."""
+
+    rows: np.ndarray
+    tags: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    kind: np.ndarray
+
+
+def windows(piece: Piece, p: Params) -> Windows:
+    tokens, rows = token_features(piece, p)
+    tags = true_tags(piece, tokens)
+    count = -(-np.diff(tokens.cuts) // p.window)
+    begin, end = np.repeat(tokens.cuts[:-1], count), np.repeat(tokens.cuts[1:], count)
+    first = begin + p.window * ranges(np.zeros(len(count), np.int64), count)
+    last = np.minimum(first + p.window, end)
+    at = first[:, None] + np.arange(p.window)
+    real = at < last[:, None]
+    at = np.where(real, at, 0)
+    own = np.where(real, tags[at], -1)
+    rows = np.where(real[..., None], rows[at], 0)
+    left = np.where(first > begin, tags[np.maximum(first - 1, 0)], OUTSIDE)
+    right = np.where(last < end, tags[np.minimum(last, len(tags) - 1)], OUTSIDE)
+    return Windows(rows, own, left, right, np.where((own > 0).any(axis=1), FOUND, PLAIN))
 
 
 @dataclass
@@ -184,46 +192,101 @@ class Model:
 MOST = 1.0
 
 
-def fit(rows: np.ndarray, tags: np.ndarray, p: Params) -> Model:
-    """Penalised likelihood by Adam steps. rows: windows x tokens x features, tags -1 beyond
-    the end. Before and after a window stands an outside tag."""
-    shape = [(size, 3) for size in p.sizes]
-    model = Model([np.zeros(s) for s in shape], np.zeros((3, 3)), p)
-    if not (tags > 0).any():
-        model.tables[0][:, OUTSIDE] = 2 * MOST * 3
-        return model
-    n, t = tags.shape
-    real = tags >= 0
+def gradient(w: Windows, model: Model) -> np.ndarray:
+    """Of each kind of windows: the sums of expected less true features, tables first, then
+    moves, in GRAINs, and the number of windows."""
+    p, n, t = model.p, *w.tags.shape
+    out = np.zeros((2, 3 * sum(p.sizes) + 10), dtype=np.int64)
+    real = w.tags >= 0
     length = real.sum(axis=1)
-    safe = np.where(real[..., None], rows, 0)
-    goal = [np.stack([np.bincount(safe[..., k][tags == y], minlength=size) for y in range(3)], axis=1) for k, size in enumerate(p.sizes)]
-    steps = np.concatenate([np.zeros((n, 1), int), np.where(real, tags, 0), np.zeros((n, 1), int)], axis=1)
-    used = np.arange(t + 1)[None] <= length[:, None]
-    goal_moves = np.bincount((steps[:, :-1] * 3 + steps[:, 1:])[used], minlength=9).reshape(3, 3)
+    score = model.emissions(w.rows.reshape(n * t, -1)).reshape(n, t, 3)
+    # probabilities up to a factor for each token, so that nothing over- or underflows
+    score = np.exp(np.maximum(score - score.max(axis=2, keepdims=True), -300))
+    step = np.exp(model.moves)
+    forward, backward = np.zeros((n, t, 3)), np.zeros((n, t, 3))
+    for j in range(t):
+        now = score[:, j] * (forward[:, j - 1] @ step if j else step[w.left])
+        forward[:, j] = now / now.sum(axis=1, keepdims=True)
+    for j in range(t - 1, -1, -1):
+        now = (score[:, j + 1] * backward[:, j + 1]) @ step.T if j + 1 < t else np.ones((n, 3))
+        now = np.where((length == j + 1)[:, None], step[:, w.right].T, now)
+        backward[:, j] = now / now.sum(axis=1, keepdims=True)
+    true = w.tags[..., None] == np.arange(3)
+    prob = forward * backward
+    prob *= (real / prob.sum(axis=2))[..., None]
+    apart = np.rint((prob - true) * GRAIN)[real]
+    kind, rows, at = np.broadcast_to(w.kind[:, None], (n, t))[real], w.rows[real], 0
+    for k, size in enumerate(p.sizes):
+        slot = kind * size + rows[:, k]
+        for y in range(3):
+            got = np.bincount(slot, weights=apart[:, y], minlength=2 * size)
+            out[:, at + y:at + 3 * size:3] = got.reshape(2, size)
+        at += 3 * size
+    pair = forward[:, :-1, :, None] * step * (score[:, 1:] * backward[:, 1:])[:, :, None]
+    pair /= pair.sum(axis=(2, 3), keepdims=True)
+    pair -= true[:, :-1, :, None] & true[:, 1:, None, :]
+    moves = np.rint(pair * real[:, 1:, None, None] * GRAIN).sum(axis=1)
+    each, far = np.arange(n), length - 1
+    moves[each, w.left] += np.rint((prob[:, 0] - true[:, 0]) * GRAIN)
+    moves[each, :, w.right] += np.rint((prob[each, far] - true[each, far]) * GRAIN)
+    for kind in (PLAIN, FOUND):
+        out[kind, at:at + 9] = moves[w.kind == kind].sum(axis=0).reshape(-1)
+        out[kind, -1] = (w.kind == kind).sum()
+    return out
+
+
+def _summed(docs: DataFrame, model: Model) -> np.ndarray:
+    """The gradient of all windows of the texts docs.t, summed in each task, then over tasks."""
+    wide = 3 * sum(model.p.sizes) + 10
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, wide), dtype=np.int64)
+        for batch in batches:
+            for _, piece in sliced(batch, 0):
+                w = windows(piece, model.p)
+                if len(w.kind):
+                    total += gradient(w, model)
+                    # every window once more without its words, so that shape alone counts as well
+                    w.rows[..., len(model.p.sizes) - 3:] = 0
+                    total += gradient(w, model)
+        flat = total.reshape(-1)
+        at = np.flatnonzero(flat)
+        yield pa.RecordBatch.from_pydict({"slot": at.astype(np.int64), "n": flat[at]})
+
+    found = docs.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(2 * wide, dtype=np.int64)
+    out[found["slot"].to_numpy()] = found["n"].to_numpy()
+    return out.reshape(2, wide)
+
+
+def train(docs: DataFrame, id_col: str, text_col: str, p: Params) -> Model:
+    """Penalised likelihood by Adam steps, windows with finds weighing as much as all
+    others, so rare finds count. Each round takes the next of as many parts as rounds at most, so
+    all documents are learned from."""
+    model = Model([np.zeros((size, 3)) for size in p.sizes], np.zeros((3, 3)), p)
+    texts = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("t")).where("t != ''")
+    parts = max(1, min(p.rounds, texts.count() // p.batch))
+    texts = texts.withColumn("part", F.pmod(F.xxhash64("id", "t"), F.lit(parts)))
     slots = [*model.tables, model.moves]
     first, second = [np.zeros_like(x) for x in slots], [np.zeros_like(x) for x in slots]
+    n_found = 0
     for step in range(1, p.rounds + 1):
-        score = model.emissions(safe.reshape(n * t, -1)).reshape(n, t, 3)
-        forward, backward = np.zeros((n, t, 3)), np.zeros((n, t, 3))
-        forward[:, 0] = score[:, 0] + model.moves[OUTSIDE]
-        for j in range(1, t):
-            forward[:, j] = score[:, j] + np.logaddexp.reduce(forward[:, j - 1, :, None] + model.moves, axis=1)
-        for j in range(t - 1, -1, -1):
-            onward = np.logaddexp.reduce(model.moves + (score[:, j + 1] + backward[:, j + 1])[:, None], axis=2) if j + 1 < t else 0
-            backward[:, j] = np.where((length == j + 1)[:, None], model.moves[:, OUTSIDE], onward)
-        whole = np.logaddexp.reduce(forward[:, 0] + backward[:, 0], axis=1)
-        prob = np.exp(np.minimum(forward + backward - whole[:, None, None], 0)) * real[..., None]
-        expected = [np.stack([np.bincount(safe[..., k].ravel(), weights=prob[..., y].ravel(), minlength=size) for y in range(3)], axis=1) for k, size in enumerate(p.sizes)]
-        pair = forward[:, :-1, :, None] + model.moves + (score[:, 1:] + backward[:, 1:])[:, :, None] - whole[:, None, None, None]
-        moves = (np.exp(np.minimum(pair, 0)) * real[:, 1:, None, None]).sum(axis=(0, 1))
-        moves[OUTSIDE] += prob[:, 0].sum(axis=0)
-        moves[:, OUTSIDE] += prob[np.arange(n), length - 1].sum(axis=0)
-        for k, (value, got, want) in enumerate(zip(slots, [*expected, moves], [*goal, goal_moves])):
-            slope = (got - want) / n + p.ridge * value
+        sums = _summed(texts.where(F.col("part") == (step - 1) % parts).select("t"), model)
+        n_found += int(sums[FOUND, -1])
+        if step == parts and not n_found:
+            break
+        slope_of = (sums[:, :-1] / np.maximum(sums[:, -1:], 1)).sum(axis=0) / (2 * GRAIN)
+        at = 0
+        for k, value in enumerate(slots):
+            slope = slope_of[at:at + value.size].reshape(value.shape) + p.ridge * value
+            at += value.size
             first[k] = 0.9 * first[k] + 0.1 * slope
             second[k] = 0.999 * second[k] + 0.001 * slope**2
             value -= p.rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
         np.clip(model.moves, -MOST, MOST, out=model.moves)
+    if not n_found:
+        model = Model([np.zeros((size, 3)) for size in p.sizes], np.zeros((3, 3)), p)
+        model.tables[0][:, OUTSIDE] = 2 * MOST * 3
     return model
 
 
@@ -260,18 +323,6 @@ def decode(scores: np.ndarray, cuts: np.ndarray, moves: np.ndarray) -> np.ndarra
     return tags
 
 
-def train(docs: DataFrame, id_col: str, text_col: str, p: Params) -> Model:
-    found = windows(about(docs.select(id_col, text_col), id_col, p.sample), text_col, p).toArrow()
-    flat = np.concatenate([np.zeros(0, np.int32), *[x.to_numpy() for x in (c.flatten() for c in found["w"].chunks)]])
-    every = flat.reshape(-1, p.window, len(p.sizes) + 1)
-    every = every[np.lexsort(every.reshape(len(every), -1)[:, :64].T)] if len(every) else every
-    # every window once more without its words, so that shape alone counts as well
-    blind = every.copy()
-    blind[..., len(p.sizes) - 3:-1][blind[..., -1] >= 0] = 0
-    every = np.concatenate([every, blind])
-    return fit(every[..., :-1].astype(np.int64), every[..., -1].astype(np.int64), p)
-
-
 def _spans(piece: Piece, model: Model) -> list[list[tuple[int, int, int]]]:
     """(start, kind, end) in code points; the field's spans only where no pattern's is."""
     base = base_spans(piece)
@@ -309,8 +360,8 @@ def find_secrets(
     kind (assign, access, hex, or crf for the random field's), start and end in code points,
     by start, then kind as listed.
 
-    The random field learns from about params.sample documents. Null and empty texts have no
-    spans. Repeated rows get a row each. Where the sample holds no find of a pattern, the
+    The random field learns from all windows of all documents. Null and empty texts have no
+    spans. Repeated rows get a row each. Where no document holds a find of a pattern, the
     random field adds none."""
     model = train(docs, id_col, text_col, params)
 

@@ -134,6 +134,48 @@ def test_field_finds_unseen_secrets(spark):
     assert not any(s.kind == "crf" for i in range(150, 300) for s in got[i].secrets)
 
 
+def test_field_learns_from_every_document(spark):
+    """Finds in a few of many documents, none of them in the third that hashes lowest."""
+    rng = np.random.default_rng(5)
+    letters = list("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz0123456789")
+    word = lambda n: "".join(rng.choice(list("abcdeghilmnorstu"), n))
+    plain = [" ".join(word(int(n)) for n in rng.integers(2, 9, 9)) for _ in range(200)]
+    key = lambda: "".join(rng.choice(letters, 28))
+    ids = spark.range(6_000).where(F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(2**31)) > F.lit(2**31 * 2 // 5)).limit(41)
+    some = [r.id for r in ids.collect()]
+    text = {i: f'{plain[i % 200]} secret = "{key()}" {plain[i % 199]}' for i in some[:40]} | {some[40]: f'{plain[0]} secret is "{key()}" {plain[1]}'}
+    rows = [(i, text.get(i, plain[i % 200])) for i in range(6_000)]
+    got = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).where("exists(secrets, x -> x.kind = 'crf')").collect()
+    assert [r.doc_id for r in got] == [some[40]]
+
+
+def test_gradient_of_the_field():
+    """Sums of all windows equal the slope of the likelihood, by trying all tags."""
+    rng = np.random.default_rng(7)
+    p = secrets.Params(window=3, words_log2=4)
+    piece = piece_of(['a token = "abcdefghij123456" b', "", "x 12 y", "passwd=0123456789abcdef z"])
+    w = secrets.windows(piece, p)
+    assert (w.tags >= 0).sum() == len(words_of(piece, secrets.TOKEN).start)
+    model = secrets.Model([rng.normal(0, 1, (size, 3)) for size in p.sizes], rng.normal(0, 0.5, (3, 3)), p)
+    got = secrets.gradient(w, model)
+    want = np.zeros_like(got, dtype=float)
+    for rows, tags, left, right, kind in zip(w.rows, w.tags, w.left, w.right, w.kind):
+        n = int((tags >= 0).sum())
+        score, every = model.emissions(rows[:n]), list(itertools.product(range(3), repeat=n))
+        steps = lambda t: list(itertools.pairwise((left, *t, right)))
+        weight = np.exp([sum(score[j, y] for j, y in enumerate(t)) + sum(model.moves[s] for s in steps(t)) for t in every])
+        for t, x in [*zip(every, weight / weight.sum()), (tuple(tags[:n].tolist()), -1)]:
+            at = 0
+            for k, size in enumerate(p.sizes):
+                for j, y in enumerate(t):
+                    want[kind, at + 3 * rows[j, k] + y] += x
+                at += 3 * size
+            for a, b in steps(t):
+                want[kind, at + 3 * a + b] += x
+        want[kind, -1] += 1 / secrets.GRAIN
+    assert np.abs(got / secrets.GRAIN - want).max() < 1e-4
+
+
 def test_decoding_equals_trying_all():
     rng = np.random.default_rng(1)
     for _ in range(40):
