@@ -3,8 +3,9 @@
 Two variable-order Markov models, one of accepted and one of rejected URLs, give each
 character a probability that blends all context lengths, longer ones the more they have been
 seen. The difference of both log-likelihoods per character, less a threshold calibrated on
-held-out URLs, decides. Counts cover all labelled URLs and are kept in hashed tables of fixed
-size, so the models sent to executors do not grow."""
+held-out URLs, decides. Counts cover all labelled URLs, the held-out ones too once the
+threshold is set, and are kept for each distinct context and character, so the models sent to
+executors grow with the distinct ones of at most six characters, not with the URLs."""
 
 from __future__ import annotations
 
@@ -23,8 +24,6 @@ from abono.llm.text import LOWER, Piece, per_document, running_hash, sliced, spa
 class Params:
     #: Characters of context at most.
     order: int = 5
-    #: Counters per context length.
-    slots_log2: int = 16
     #: Of ten labelled URLs one calibrates the threshold.
     held_out: int = 10
 
@@ -71,42 +70,67 @@ def longest_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Col
 
 
 def _grams(piece: Piece, p: Params) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, context slots, slots of context and character) for each character of the
+    """(length, hashes of the context, of context and character) for each character of the
     URLs with contexts of each length; shorter at a URL's start."""
     running = running_hash(LOWER[piece.data])
     end = np.arange(1, len(piece.data) + 1)
     begin = np.repeat(piece.offsets[:-1], np.diff(piece.offsets))
-    drop = np.uint64(64 - p.slots_log2)
     for k in range(p.order + 1):
         start = np.maximum(end - 1 - k, begin)
-        yield k, (span_hash(running, start, end - 1) >> drop).astype(np.int64), (span_hash(running, start, end) >> drop).astype(np.int64)
+        yield k, span_hash(running, start, end - 1).view(np.int64), span_hash(running, start, end).view(np.int64)
 
 
 def gram_counts(urls: DataFrame, p: Params) -> DataFrame:
-    """urls: (label int, url). (label, slot, n) where slot numbers context length, kind
-    (context or with character) and hash slot; summed in each task."""
-    size = 1 << p.slots_log2
-
+    """urls: (label int, url). (part, gram, bad, good): sightings of each gram with either
+    label, part being twice the context length, one more with the character; summed in each
+    piece, then over all."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, p.order + 1, 2, size), dtype=np.int64)
         for batch in batches:
             for rows, piece in sliced(batch, 1):
                 label = np.repeat(rows.column(0).to_numpy(), np.diff(piece.offsets))
-                for k, context, gram in _grams(piece, p):
-                    for y in (0, 1):
-                        total[y, k, 0] += np.bincount(context[label == y], minlength=size)
-                        total[y, k, 1] += np.bincount(gram[label == y], minlength=size)
-        for y in (0, 1):
-            flat = total[y].reshape(-1)
-            at = np.flatnonzero(flat)
-            yield pa.RecordBatch.from_pydict({"label": np.full(len(at), y, np.int32), "slot": at.astype(np.int64), "n": flat[at]})
+                for k, *both in _grams(piece, p):
+                    for with_it, h in enumerate(both):
+                        gram, at = np.unique(h, return_inverse=True)
+                        good = np.bincount(at, weights=label, minlength=len(gram)).astype(np.int64)
+                        bad = np.bincount(at, minlength=len(gram)) - good
+                        part = np.full(len(gram), 2 * k + with_it, np.int32)
+                        yield pa.RecordBatch.from_pydict({"part": part, "gram": gram, "bad": bad, "good": good})
+
+    rows = urls.mapInArrow(run, "part int, gram long, bad long, good long")
+    return rows.groupBy("part", "gram").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+
+
+@dataclass
+class Table:
+    """Distinct grams, sorted, and the sightings of each with label 0 and 1."""
+
+    gram: np.ndarray
+    n: np.ndarray
+
+    def of(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sightings of each of h with either label, 0 where it was never seen."""
+        if not len(self.gram):
+            return np.zeros(len(h)), np.zeros(len(h))
+        own, back = np.unique(h, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.gram, own), len(self.gram) - 1)
+        found = np.where(self.gram[at] == own, self.n[:, at], 0)
+        return found[0][back], found[1][back]
+
 
-    return urls.mapInArrow(run, "label int, slot long, n long").groupBy("label", "slot").agg(F.sum("n").alias("n"))
+def tables_of(counts: pa.Table, p: Params) -> list[Table]:
+    """A table of each part; equal grams are added up."""
+    part, gram, *n = (counts[c].to_numpy() for c in ("part", "gram", "bad", "good"))
+    out = []
+    for k in range(2 * (p.order + 1)):
+        own = part == k
+        name, at = np.unique(gram[own], return_inverse=True)
+        out.append(Table(name, np.stack([np.bincount(at, weights=x[own], minlength=len(name)) for x in n])))
+    return out
 
 
 @dataclass
 class Model:
-    counts: np.ndarray
+    tables: list[Table]
     threshold: float
     p: Params
 
@@ -115,9 +139,9 @@ class Model:
         prob = np.full((2, len(piece.data)), 1 / 256)
         weight = self.p.order + 1.0  # of what the shorter contexts say, in sightings
         for k, context, gram in _grams(piece, self.p):
+            seen, with_it = self.tables[2 * k].of(context), self.tables[2 * k + 1].of(gram)
             for y in (0, 1):
-                seen, with_it = self.counts[y, k, 0][context], self.counts[y, k, 1][gram]
-                prob[y] = (np.minimum(with_it, seen) + weight * prob[y]) / (seen + weight)
+                prob[y] = (with_it[y] + weight * prob[y]) / (seen[y] + weight)
         log = np.log(prob)
         return sums_by(log[1] - log[0], piece.offsets) / np.maximum(np.diff(piece.offsets), 1)
 
@@ -149,18 +173,17 @@ def calibrated(rates: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> flo
 def train(urls: DataFrame, p: Params) -> Model:
     """urls: (label int 0 or 1, url) of all labelled URLs."""
     held = F.pmod(F.xxhash64("url"), F.lit(p.held_out)) == 0
-    table = gram_counts(urls.where(~held), p).toArrow()
-    counts = np.zeros(2 * (p.order + 1) * 2 << p.slots_log2)
-    step = len(counts) // 2
-    counts[table["label"].to_numpy() * step + table["slot"].to_numpy()] = table["n"].to_numpy()
-    model = Model(counts.reshape(2, p.order + 1, 2, -1).astype(np.float32), 0.0, p)
+    counts = gram_counts(urls.where(~held), p).toArrow()
+    model = Model(tables_of(counts, p), 0.0, p)
     # a histogram of the held-out rates: its size does not depend on the number of URLs
     rated = _rated(urls.where(held), model, "url", ["label"])
     cell = F.round(F.col("rate") * 1000).cast("long")
     found = rated.groupBy("label", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).toArrow()
     rates, labels, n = (found[c].to_numpy() for c in ("cell", "label", "n"))
-    model.threshold = calibrated(rates / 1000, labels.astype(float), n.astype(float))
-    return model
+    threshold = calibrated(rates / 1000, labels.astype(float), n.astype(float))
+    # the held-out URLs count as well once the threshold is set
+    rest = gram_counts(urls.where(held), p).toArrow()
+    return Model(tables_of(pa.concat_tables([counts, rest]), p), threshold, p)
 
 
 def filter_urls(

@@ -259,3 +259,23 @@ def test_url_models_learn(spark):
     got = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string")).where("rule is null")
     right = got.where((F.col("verdict") == "allow") == (F.col("page_id") % 2 == 1)).count()
     assert right >= 38
+
+
+def test_url_counts_are_exact(spark):
+    """More distinct grams than any fixed table holds; all labelled URLs count."""
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz0123456789"))
+    rows = [(int(i % 2), "".join(letters[rng.integers(0, 36, 24)])) for i in range(6_000)]
+    p = urls.Params()
+    model = urls.train(spark.createDataFrame(rows, "label int, url string"), p)
+    want = {}
+    for y, url in rows:
+        for at in range(5, 24):
+            want.setdefault(url[at - 5:at + 1], [0, 0])[y] += 1
+    assert len(want) > 1 << 16
+    some = [*want][:2_000]
+    hashes = lambda texts: [h[5::6] for k, _, h in urls._grams(piece_of(texts), p) if k == 5][0]
+    got = np.stack(model.tables[11].of(hashes(some)), axis=1)
+    assert got.tolist() == [want[x] for x in some]
+    unseen = [x for x in ("".join(letters[rng.integers(0, 36, 6)]) for _ in range(500)) if x not in want]
+    assert not np.any(model.tables[11].of(hashes(unseen)))
