@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abono.llm import decontaminate, jaccard, licenses, pieces, quality, repeats, secrets, spotsigs, toxicity, urls
+from abono.llm import (
+    crosstoken, decontaminate, jaccard, licenses, pieces, quality, repeats, secrets, spelling, spotsigs, toxicity, urls, warc)
 from abono.llm.labelled import remainder
+from abono.llm.store import new_folder
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -68,6 +70,25 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses_digest(licenses.scan_licenses(_read(spark, sf_dir, "documents")))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "warc")
+    warc.write_warc(_read(spark, sf_dir, "pages"), path)
+    return warc.pages_digest(spark, path)
+
+
+#: Models that the query compares; they must be on the driver.
+BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+def op12_crosstoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    models = crosstoken.Models.read(BYTE_MODEL, MODEL)
+    return crosstoken.groups_digest(crosstoken.aligned(_read(spark, sf_dir, "documents"), models))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_read(spark, sf_dir, "documents"), params=spelling.Params(noise=31))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontaminate": op2_decontaminate,
@@ -79,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_ngram_join": op9_ngram_join,
     "op10_licenses": op10_licenses,
+    "op11_warc": op11_warc,
+    "op12_crosstoken": op12_crosstoken,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES: dict[str, str] = {
@@ -123,4 +147,15 @@ ORACLES: dict[str, str] = {
         r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT l.v, r.c FROM r JOIN l ON l.u = r.doc_id)
         SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, CAST(coalesce(c, d.doc_id) AS BIGINT) AS component_id
         FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) USING (doc_id)""",
+    "op11_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS x FROM pages),
+        h AS (SELECT page_id, CAST(strlen(x) AS BIGINT) AS n, sha1(x) AS s FROM p),
+        d AS (SELECT page_id, n, translate(array_to_string(list_transform(range(0, 8),
+              lambda i: to_base(CAST('0x' || substr(s, 5 * i + 1, 5) AS BIGINT), 32, 4)), ''),
+              '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS k FROM h),
+        f AS (SELECT k, max(page_id) AS top FROM d GROUP BY k)
+        SELECT page_id, n AS payload_bytes, k AS payload_digest,
+               CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> top THEN top END AS refers_to
+        FROM d JOIN f USING (k)""",
 }

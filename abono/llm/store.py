@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from abono.operators.shared import new_path
+
 
-def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset, a folder in the warehouse, which all executors
-    share as well."""
-    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
-    return (spark.conf.get("spark.checkpoint.dir", None) or own).rstrip("/")
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of this session's intermediates that nobody else uses; drop_intermediates
+    deletes it with all others."""
+    return new_path(spark, name)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written below the shared folder and read back: computed once, its lineage cut. A
     table of another run is never read."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

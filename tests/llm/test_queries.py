@@ -14,7 +14,7 @@ def test_query_equals_sql(spark, name):
     assert compare(spark, duck(SF), name, QUERIES[name], ORACLES[name], SF) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op13_spelling"}))
 def test_a_row_for_each_row(spark, name):
     table = "pages" if name.startswith("op3") else "documents"
     assert QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
