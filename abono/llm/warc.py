@@ -231,15 +231,16 @@ def parsed(headers: list[tuple[str, str]], block: bytes, with_payload: bool) ->
         out["payload_bytes"], out["payload_digest"] = int(size) if size.isdigit() else None, digest
     else:
         out["payload_bytes"] = len(payload)
-        out["payload_digest"] = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        if kind not in ("request", "metadata"):
+            out["payload_digest"] = base64.b32encode(hashlib.sha1(payload).digest()).decode()
     out["payload"] = payload if with_payload and kind != "revisit" else None
     return out
 
 
 def read_warc(spark: SparkSession, path: str, with_payload: bool = False, pieces: int = 1 << 22) -> DataFrame:
     """A row per record of all archives below path, compressed or not; see RECORD. payload_digest
-    and payload_bytes are counted from the payload, for a revisit taken from its headers. Payloads
-    come along only if asked for. An archive is held by one task, compressed; its records are read
+    and payload_bytes are counted from the payload, for a revisit taken from its headers; requests
+    and metadata have no digest. Payloads come along only if asked for. An archive is held by one task, compressed; its records are read
     one at a time. One that is no archive, or is cut off, fails with its name."""
     schema = to_arrow_schema(T.StructType.fromDDL(RECORD))
 
@@ -265,45 +266,46 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = False, pieces
 
 # Captures.
 
+def _key(record_id: Column) -> Column:
+    """An identifier in 16 bytes, which is what joins shuffle."""
+    return F.unhex(F.md5(record_id))
+
+
 def captures(records: DataFrame) -> DataFrame:
-    """A nested row per capture: capture_id (the response's or revisit's record id), target_uri,
-    response, request, and metadata (a list).
+    """A nested row per capture: capture_id (the response's or revisit's record id), response,
+    request, and metadata (a list). Of the records' columns, record_id, warc_type and
+    concurrent_to are needed; the others come along.
 
     A record other than a response belongs to the response that one of them names in
     WARC-Concurrent-To; a metadata record that is linked to a request only, to the request's. Of
-    several responses or requests the one with the least id counts. Records that lead to no
+    several responses or requests the one with the least key counts. Records that lead to no
     response are captures of their own, with a null response. Other types (warcinfo, resource,
     conversion) are no part of a capture. Two records with the same id make two captures."""
     whole = F.struct(*[c for c in records.columns if c != "concurrent_to"]).alias("record")
     kind = F.col("warc_type")
-    heads = records.where(kind.isin("response", "revisit")).select(F.col("record_id").alias("capture_id"), whole)
-    others = records.where(kind.isin("request", "metadata")).select("record_id", "warc_type", whole)
+    heads = records.where(kind.isin("response", "revisit")).select(_key(F.col("record_id")).alias("capture"), whole)
+    others = records.where(kind.isin("request", "metadata")).select(
+        _key(F.col("record_id")).alias("id"), (kind == "request").alias("asks"), whole)
     named = records.where(kind.isin("response", "revisit", "request", "metadata")).select(
-        "record_id", "warc_type", F.explode("concurrent_to").alias("to"))
+        _key(F.col("record_id")).alias("id"), F.explode("concurrent_to").alias("to")).select("id", _key(F.col("to")).alias("to"))
     # Links in both directions, of records that are in the archives.
-    links = named.select(F.col("record_id").alias("a"), F.col("to").alias("b")).unionByName(
-        named.select(F.col("to").alias("a"), F.col("record_id").alias("b")))
-    ids = heads.select(F.col("capture_id").alias("b"))
-    direct = links.join(ids, "b", "left_semi").groupBy("a").agg(F.min("b").alias("capture_id"))
-    requests = others.where("warc_type = 'request'").select(F.col("record_id").alias("b"))
-    by_request = links.join(requests, "b", "left_semi").join(
-        direct.select(F.col("a").alias("b"), F.col("capture_id").alias("via")), "b").groupBy("a").agg(F.min("via").alias("via"))
-    placed = others.join(direct.withColumnRenamed("a", "record_id"), "record_id", "left").join(
-        by_request.withColumnRenamed("a", "record_id"), "record_id", "left")
-    placed = placed.withColumn("capture_id", F.coalesce("capture_id", F.when(F.col("warc_type") == "metadata", F.col("via"))))
-    homeless = placed.where("capture_id IS NULL")
-    placed = placed.where("capture_id IS NOT NULL").groupBy("capture_id").agg(
-        F.min_by(F.when(F.col("warc_type") == "request", F.col("record")), F.when(F.col("warc_type") == "request", F.col("record_id"))).alias("request"),
-        F.collect_list(F.when(F.col("warc_type") == "metadata", F.col("record"))).alias("metadata"))
+    links = named.select(F.col("id").alias("a"), F.col("to").alias("b")).unionByName(named.select(F.col("to").alias("a"), F.col("id").alias("b")))
+    direct = links.join(heads.select(F.col("capture").alias("b")), "b", "left_semi").groupBy("a").agg(F.min("b").alias("capture"))
+    asking = others.where("asks").select(F.col("id").alias("b"))
+    through = direct.join(asking, direct["a"] == asking["b"], "left_semi").select(F.col("a").alias("b"), F.col("capture").alias("via"))
+    by_request = links.join(through, "b").groupBy("a").agg(F.min("via").alias("via"))
+    placed = others.join(direct.withColumnRenamed("a", "id"), "id", "left").join(by_request.withColumnRenamed("a", "id"), "id", "left")
+    placed = placed.select("id", "asks", "record", F.coalesce("capture", F.when(~F.col("asks"), F.col("via"))).alias("capture"))
+    homeless = placed.where("capture IS NULL")
+    placed = placed.where("capture IS NOT NULL").groupBy("capture").agg(
+        F.min_by(F.when(F.col("asks"), F.col("record")), F.when(F.col("asks"), F.col("id"))).alias("request"),
+        F.collect_list(F.when(~F.col("asks"), F.col("record"))).alias("metadata"))
     none = F.array().cast(placed.schema["metadata"].dataType)
-    complete = heads.join(placed, "capture_id", "left").select(
-        "capture_id", F.col("record.target_uri").alias("target_uri"), F.col("record").alias("response"), "request",
-        F.coalesce("metadata", none).alias("metadata"))
-    is_request = F.col("warc_type") == "request"
+    complete = heads.join(placed, "capture", "left").select(
+        F.col("record.record_id").alias("capture_id"), F.col("record").alias("response"), "request", F.coalesce("metadata", none).alias("metadata"))
     alone = homeless.select(
-        F.lit(None).cast("string").alias("capture_id"), F.col("record.target_uri").alias("target_uri"),
-        F.lit(None).cast(complete.schema["response"].dataType).alias("response"), F.when(is_request, F.col("record")).alias("request"),
-        F.when(is_request, none).otherwise(F.array("record")).alias("metadata"))
+        F.lit(None).cast("string").alias("capture_id"), F.lit(None).cast(complete.schema["response"].dataType).alias("response"),
+        F.when(F.col("asks"), F.col("record")).alias("request"), F.when(F.col("asks"), none).otherwise(F.array("record")).alias("metadata"))
     return complete.unionByName(alone)
 
 
@@ -312,9 +314,9 @@ def with_referred(rows: DataFrame, value: Column, out: str) -> DataFrame:
     others and where that capture is missing. Revisits of one response are dealt out by a salt, so
     that none of them is one task's."""
     salt = F.pmod(F.xxhash64("capture_id"), F.lit(SALTS))
-    salted = rows.withColumn("refers", F.col("response.refers_to")).withColumn("salt", salt)
+    salted = rows.withColumn("refers", _key(F.col("response.refers_to"))).withColumn("salt", salt)
     wanted = salted.where("refers IS NOT NULL").select("refers", "salt").distinct()
-    known = rows.where("capture_id IS NOT NULL").groupBy(F.col("capture_id").alias("refers")).agg(F.max(value).alias(out))
+    known = rows.where("capture_id IS NOT NULL").groupBy(_key(F.col("capture_id")).alias("refers")).agg(F.max(value).alias(out))
     found = wanted.join(known, "refers")
     return salted.join(found, ["refers", "salt"], "left").drop("refers", "salt")
 
@@ -322,7 +324,8 @@ def with_referred(rows: DataFrame, value: Column, out: str) -> DataFrame:
 def pages_digest(spark: SparkSession, path: str) -> DataFrame:
     """Archives of write_warc, as a row per page: page_id, payload_bytes, payload_digest,
     record_type, refers_to (page_id of the response, for revisits)."""
-    records = stored(read_warc(spark, path).drop("payload"), "warc-records")
+    columns = ("record_id", "warc_type", "concurrent_to", "refers_to", "payload_bytes", "payload_digest", "fields")
+    records = stored(read_warc(spark, path).select(*columns), "warc-records")
     rows = captures(records)
     page = F.try_element_at(F.get(F.col("metadata.fields"), F.lit(0)), F.lit("page-id")).cast("long")
     rows = stored(rows.select("capture_id", "response", page.alias("page_id")), "captures")

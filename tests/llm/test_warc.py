@@ -45,9 +45,9 @@ def test_payloads_come_back(spark, written):
     bodies = {r.response.payload.decode() for r in rows if r.response.warc_type == "response"}
     assert bodies == {h or "" for _, _, h in ROWS}
     assert all(r.response.payload is None and r.response.profile == warc.SAME_PAYLOAD for r in rows if r.response.warc_type == "revisit")
-    assert {r.target_uri for r in rows} == {u and u.replace("\r", "%0D").replace("\n", "%0A") for _, u, _ in ROWS}
+    assert {r.response.target_uri for r in rows} == {u and u.replace("\r", "%0D").replace("\n", "%0A") for _, u, _ in ROWS}
     assert all(len(r.metadata) == 1 and r.request for r in rows)
-    lines = {r.target_uri: r.request.request_line for r in rows}
+    lines = {r.response.target_uri: r.request.request_line for r in rows}
     assert lines["http://a.b/c?d=1#x"] == "GET /c?d=1 HTTP/1.1" and lines["http://q"] == "GET / HTTP/1.1"
 
 
