@@ -202,6 +202,8 @@ def read_records(content: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes]
         block = source.read(int(size))
         if len(block) < int(size):
             raise Broken("the archive ends inside a record's block")
+        if not any(n == "warc-record-id" and v for n, v in headers):
+            raise Broken("a record has no WARC-Record-ID")
         yield headers, block
 
 
@@ -280,7 +282,8 @@ def captures(records: DataFrame) -> DataFrame:
     WARC-Concurrent-To; a metadata record that is linked to a request only, to the request's. Of
     several responses or requests the one with the least key counts. Records that lead to no
     response are captures of their own, with a null response. Other types (warcinfo, resource,
-    conversion) are no part of a capture. Two records with the same id make two captures."""
+    conversion) are no part of a capture. Two responses with the same id make two captures. Ids
+    must not be null, which read_warc sees to."""
     whole = F.struct(*[c for c in records.columns if c != "concurrent_to"]).alias("record")
     kind = F.col("warc_type")
     heads = records.where(kind.isin("response", "revisit")).select(_key(F.col("record_id")).alias("capture"), whole)
@@ -290,23 +293,20 @@ def captures(records: DataFrame) -> DataFrame:
         _key(F.col("record_id")).alias("id"), F.explode("concurrent_to").alias("to")).select("id", _key(F.col("to")).alias("to"))
     # Links in both directions, of records that are in the archives.
     links = named.select(F.col("id").alias("a"), F.col("to").alias("b")).unionByName(named.select(F.col("to").alias("a"), F.col("id").alias("b")))
-    direct = links.join(heads.select(F.col("capture").alias("b")), "b", "left_semi").groupBy("a").agg(F.min("b").alias("capture"))
-    asking = others.where("asks").select(F.col("id").alias("b"))
-    through = direct.join(asking, direct["a"] == asking["b"], "left_semi").select(F.col("a").alias("b"), F.col("capture").alias("via"))
-    by_request = links.join(through, "b").groupBy("a").agg(F.min("via").alias("via"))
-    placed = others.join(direct.withColumnRenamed("a", "id"), "id", "left").join(by_request.withColumnRenamed("a", "id"), "id", "left")
-    placed = placed.select("id", "asks", "record", F.coalesce("capture", F.when(~F.col("asks"), F.col("via"))).alias("capture"))
-    homeless = placed.where("capture IS NULL")
-    placed = placed.where("capture IS NOT NULL").groupBy("capture").agg(
+    direct = links.join(heads.select(F.col("capture").alias("b")), "b", "left_semi").groupBy(F.col("a").alias("id")).agg(F.min("b").alias("capture"))
+    direct = stored(direct, "warc-links")
+    # Metadata records without such a link may have one to a request that has.
+    left = others.where(~F.col("asks")).select("id").join(direct, "id", "left_anti").select(F.col("id").alias("a"))
+    asked = direct.join(others.where("asks").select("id"), "id", "left_semi").withColumnRenamed("id", "b")
+    through = links.join(left, "a", "left_semi").join(asked, "b").groupBy(F.col("a").alias("id")).agg(F.min("capture").alias("capture"))
+    home = direct.unionByName(through)
+    placed = others.join(home, "id", "left").select(F.coalesce("capture", "id").alias("capture"), "id", "asks", "record")
+    placed = placed.groupBy("capture").agg(
         F.min_by(F.when(F.col("asks"), F.col("record")), F.when(F.col("asks"), F.col("id"))).alias("request"),
         F.collect_list(F.when(~F.col("asks"), F.col("record"))).alias("metadata"))
     none = F.array().cast(placed.schema["metadata"].dataType)
-    complete = heads.join(placed, "capture", "left").select(
+    return heads.join(placed, "capture", "full_outer").select(
         F.col("record.record_id").alias("capture_id"), F.col("record").alias("response"), "request", F.coalesce("metadata", none).alias("metadata"))
-    alone = homeless.select(
-        F.lit(None).cast("string").alias("capture_id"), F.lit(None).cast(complete.schema["response"].dataType).alias("response"),
-        F.when(F.col("asks"), F.col("record")).alias("request"), F.when(F.col("asks"), none).otherwise(F.array("record")).alias("metadata"))
-    return complete.unionByName(alone)
 
 
 def with_referred(rows: DataFrame, value: Column, out: str) -> DataFrame:

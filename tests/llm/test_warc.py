@@ -105,7 +105,8 @@ def test_links_in_any_direction(spark, tmp_path):
     assert one.response.http_status == 404 and one.response.payload_bytes == 4 and one.metadata[0].fields == {"a": "1", "b": "2"}
 
 
-@pytest.mark.parametrize("content", [b"no archive", record("response", "r", block=b"abc")[:-6], gzip.compress(record("response", "r"))[:-9], b"WARC/1.0\r\nWARC-Type: response\r\n\r\n"])
+@pytest.mark.parametrize("content", [b"no archive", record("response", "r", block=b"abc")[:-6], gzip.compress(record("response", "r"))[:-9], b"WARC/1.0\r\nWARC-Type: response\r\n\r\n",
+    b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 0\r\n\r\n\r\n\r\n"])
 def test_broken_archives_say_so(content):
     with pytest.raises(warc.Broken):
         list(warc.read_records(content))
