@@ -73,10 +73,10 @@ def with_roles(pages: DataFrame, least: int = 0) -> DataFrame:
     name = F.struct("page_id", "url")
     few = salted.where(F.col("bytes") >= least).groupBy("digest", "salt").agg(F.max(name).alias("most"))
     few = few.select("digest", "salt", F.max("most").over(Window.partitionBy("digest")).alias("first"))
-    # Partitioned like the join that follows: the payload is shuffled and sorted once.
+    joined = salted.join(few, ["digest", "salt"], "left")
+    # After the join, whose partitioning serves the window too: payloads are shuffled once.
     alike = Window.partitionBy("digest", "salt", "page_id", "url").orderBy("bytes")
-    numbered = salted.withColumn("copy", F.row_number().over(alike))
-    joined = numbered.join(few, ["digest", "salt"], "left")
+    joined = joined.withColumn("copy", F.row_number().over(alike))
     response = F.col("first").isNull() | (name.eqNullSafe(F.col("first")) & (F.col("copy") == 1))
     return joined.withColumn("response", response)
 
