@@ -43,6 +43,9 @@ from abono.llm.store import stored
 from abono.llm.text import Piece, _quoted, ranges, sliced
 
 BLANK = "▁"
+#: Characters of units that are encoded together, and bytes of text that are cut into units at once.
+RUN = 1 << 14
+PIECE = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -95,11 +98,40 @@ class Pair:
             [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)],
             pa.binary())
 
-    def encode(self, units: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
-        """Units begin with a space, and something follows it."""
-        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        b = self.b.encode([u[1:] for u in units], num_threads=1)
-        return pa.array(a, pa.list_(pa.int32())), pa.array(b, pa.list_(pa.int32()))
+    def encode(self, units: list[bytes]) -> tuple[pa.ListArray, pa.ListArray]:
+        """Ids of each unit; units begin with a space, and something follows it. Units that don't
+        end in white space are encoded together, a run of them at a time, as neither tokenizer has
+        a token across their borders; their ids are told apart by their bytes."""
+        texts = [u.decode() for u in units]
+        alone = np.array([t[-1].isspace() or BLANK in t for t in texts], dtype=bool)
+        runs, size, run = [], 0, []
+        for t in (texts[i] for i in np.flatnonzero(~alone)):
+            run.append(t)
+            size += len(t)
+            if size > RUN:
+                runs.append("".join(run))
+                size, run = 0, []
+        runs.append("".join(run))
+        stops = np.cumsum([len(units[i]) for i in np.flatnonzero(~alone)], dtype=np.int64)
+        own = [texts[i] for i in np.flatnonzero(alone)]
+        order = pa.array(np.argsort(np.argsort(alone, kind="stable"), kind="stable"))
+        out = []
+        for together, single, names in ((self._by_a(runs), self._by_a(own), self.names_a), (self._by_b(runs), self._by_b(own), self.names_b)):
+            flat = pa.array([i for ids in together for i in ids], pa.int32())
+            ends = np.cumsum(pc.binary_length(pc.take(names, flat)).to_numpy(), dtype=np.int64)
+            at = np.searchsorted(ends, stops)
+            if len(at) and (at[-1] != len(ends) - 1 or not np.array_equal(ends[at], stops)):
+                raise ValueError("a token crosses the border of a unit")
+            cuts = np.concatenate([[0], at + 1]).astype(np.int32)
+            lists = pa.concat_arrays([pa.ListArray.from_arrays(pa.array(cuts), flat), pa.array(single, pa.list_(pa.int32()))])
+            out.append(lists.take(order))
+        return out[0], out[1]
+
+    def _by_a(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _by_b(self, texts: list[str]) -> list[list[int]]:
+        return self.b.encode([t[1:] for t in texts], num_threads=1)
 
 
 def ends(ids: pa.ListArray, names: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
@@ -207,7 +239,7 @@ class Units:
         for i, u in enumerate(units):
             self.index[u] = base + i
             self.bytes += len(u)
-        a, b = self.pair.encode([u.decode() for u in units])
+        a, b = self.pair.encode(units)
         own = pa.array(units, pa.binary())
         same = pc.and_(pc.equal(spelled(a, self.pair.names_a), own), pc.equal(spelled(b, self.pair.names_b), own))
         valid = np.asarray(same)
@@ -305,7 +337,7 @@ def pair_counts(docs: DataFrame, models: Models, text_col: str = "text", params:
             yield from counted(units.links, pa.array(weight)).to_batches(max_chunksize=100_000)
 
         for batch in batches:
-            for _, piece in sliced(batch, 0):
+            for _, piece in sliced(batch, 0, PIECE):
                 texts = read_texts(units, piece)
                 used = np.asarray(texts.unit)[texts.valid[texts.parent]]
                 more = np.bincount(used, minlength=len(units.index))
@@ -343,7 +375,7 @@ def _per_text(docs: DataFrame, text_col: str, keep: Sequence[str], fields: str,
         units = units_of(models)
         more = begin(units)
         for batch in batches:
-            for rows, piece in sliced(batch, n):
+            for rows, piece in sliced(batch, n, PIECE):
                 texts = read_texts(units, piece)
                 made: dict[str, object] = texts.sums(units.sizes.drop_columns(["valid"]))
                 cuts = pa.array(texts.cuts.astype(np.int32))
