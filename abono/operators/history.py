@@ -48,20 +48,37 @@ def snapshot_changes(
     fresh = new_versions(source, key, updated_at)
     if opened is None:
         return fresh
+    kept, added = _run_over(key, updated_at, run_ts, hard_deletes)
+    return _met(opened, fresh, key).select(F.inline(F.array_compact(F.array(kept, added))))
+
+
+def changed_versions(opened: DataFrame, source: DataFrame, key: str, updated_at: str, run_ts,
+                     hard_deletes: bool = True) -> DataFrame:
+    """The versions that a run closes, and those that it opens."""
+    kept, added = _run_over(key, updated_at, run_ts, hard_deletes)
+    closed = F.when(kept["dbt_valid_to"].isNotNull(), kept)
+    fresh = new_versions(source, key, updated_at)
+    return _met(opened, fresh, key).select(F.inline(F.array_compact(F.array(closed, added))))
+
+
+def _met(opened: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
+    """Old and new version of each key. The keys stay beside the rows, so that inputs hashed on
+    them are not shuffled again."""
     columns = fresh.columns
-    # The keys stay beside the rows, so that inputs hashed on them are not shuffled again.
-    both = opened.select(F.col(key).alias("_old_key"), F.struct(*columns).alias("old")).join(
+    return opened.select(F.col(key).alias("_old_key"), F.struct(*columns).alias("old")).join(
         fresh.select(F.col(key).alias("_new_key"), F.struct(*columns).alias("new")),
         F.col("_old_key") == F.col("_new_key"), "full_outer")
 
+
+def _run_over(key: str, updated_at: str, run_ts, hard_deletes: bool) -> tuple[Column, Column]:
+    """Of a pair of old and new: the old version as the run leaves it, and the one it opens."""
     newer = F.col(f"new.{updated_at}") > F.col("old.dbt_valid_from")
     gone = F.col("new").isNull()
     end = F.when(newer, F.col(f"new.{updated_at}"))
     if hard_deletes:
         end = end.when(gone, moment(run_ts))
     kept = F.when(F.col("old").isNotNull(), F.col("old").withField("dbt_valid_to", end))
-    added = F.when(~gone & (F.col("old").isNull() | newer), F.col("new"))
-    return both.select(F.inline(F.array_compact(F.array(kept, added))))
+    return kept, F.when(~gone & (F.col("old").isNull() | newer), F.col("new"))
 
 
 def snapshot_merge(

@@ -1,14 +1,18 @@
 """Loads into plain Parquet folders that readers can use at any time.
 
 A table is a folder of numbered subfolders: v00000007 holds a whole version, a00000008
-rows appended to it. A subfolder counts once it holds Spark's _SUCCESS marker, which the
-job commit writes last, so a load that fails or loses executors leaves the table as it
-was. The table reads as its highest version and what was appended after it; no path is
-overwritten while being read. A table has one writer at a time: two loads at once may pick
-the same number, and the later one fails.
-
-Snapshots are stored so that closed versions are written only once: each run's folder,
-run=00000009, holds the open versions anew and, beside them, only the ones it closed.
+rows appended to it, u00000009 the buckets that an upsert touched, and m00000009 the manifest of
+that upsert, which says where every bucket is. A subfolder counts once it holds Spark's _SUCCESS
+marker, which the job commit writes last, so a load that fails or loses executors leaves the
+table as it was. The table reads as its highest version or manifest and what was appended after
+it; no path is overwritten while being read. A table has one writer at a time: two loads at once
+may pick the same number, and the later one fails.
+
+An upsert reads and rewrites only buckets that hold keys of its batch. Rows that are not in
+buckets yet, because a replace or an append wrote them, move there with the next upsert.
+
+Snapshots have open versions in buckets and closed ones beside them: a run reads the open ones,
+writes the buckets with a change anew, and what it closed; no other file is touched.
 """
 
 from __future__ import annotations
@@ -16,11 +20,13 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from abono.operators.history import new_versions, open_versions, snapshot_changes
-from abono.operators.merge import merge_upsert, one_per_key, since_watermark
+from abono.operators.history import changed_versions, new_versions, open_versions
+from abono.operators.merge import above, merge_upsert, one_per_key, watermark
 from abono.operators.shared import materialize
+from abono.sinks import buckets as b
+from abono.sinks.buckets import BUCKETS, Manifest
 
 RUN, OPEN = "run", "abierta"
 
@@ -32,34 +38,55 @@ def _folders(spark: SparkSession, path: str) -> list[tuple[int, str, bool]]:
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return []
-    names = [re.fullmatch(r"(?:v|a|run=)(\d{8,})", s.getPath().getName())
+    names = [re.fullmatch(r"(?:v|a|u|m|run=)(\d{8,})", s.getPath().getName())
              for s in fs.listStatus(root)]
     return sorted((int(n[1]), f"{path}/{n[0]}", fs.exists(hadoop(f"{path}/{n[0]}/_SUCCESS")))
                   for n in names if n)
 
 
-def _is_version(folder: str) -> bool:
-    return folder.rsplit("/", 1)[1].startswith("v")
+def _kind(folder: str) -> str:
+    return folder.rsplit("/", 1)[1][0]
+
+
+def _next_number(spark: SparkSession, path: str) -> int:
+    """Numbers of failed loads are not used again."""
+    return max([n for n, _, _ in _folders(spark, path)], default=0) + 1
 
 
 def _next(spark: SparkSession, path: str, kind: str) -> str:
-    """A folder that never existed; numbers of failed loads are not used again."""
-    number = max([n for n, _, _ in _folders(spark, path)], default=0) + 1
-    return f"{path}/{kind}{number:08d}"
+    """A folder that never existed."""
+    return f"{path}/{kind}{_next_number(spark, path):08d}"
+
+
+def _state(spark: SparkSession, path: str) -> tuple[int | None, Manifest | None, list[str]]:
+    """(number, manifest, loose): the current version or manifest, and the complete folders of
+    rows that are in no bucket."""
+    done = [(n, folder) for n, folder, complete in _folders(spark, path) if complete]
+    bases = [(n, folder) for n, folder in done if _kind(folder) in "vm"]
+    if not bases:
+        return None, None, []
+    number, base = max(bases)
+    loose = [folder for n, folder in done if n > number and _kind(folder) == "a"]
+    if _kind(base) == "v":
+        return number, None, [base, *loose]
+    return number, b.read_manifest(spark, path, base.rsplit("/", 1)[1]), loose
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
-    done = [n for n, folder, complete in _folders(spark, path) if complete and _is_version(folder)]
-    return max(done) if done else None
+    return _state(spark, path)[0]
+
+
+def _read(spark: SparkSession, path: str, manifest: Manifest | None, loose: list[str]) -> DataFrame:
+    if manifest is None:
+        return spark.read.parquet(*loose)
+    rows = b.read_folders(spark, path, sorted(manifest.folders.values()), manifest.schema)
+    return rows.unionByName(spark.read.schema(manifest.schema).parquet(*loose)) if loose else rows
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
     """The table as it stands, or None when it was never loaded."""
-    number = current_version(spark, path)
-    if number is None:
-        return None
-    return spark.read.parquet(*[
-        folder for n, folder, complete in _folders(spark, path) if complete and n >= number])
+    number, manifest, loose = _state(spark, path)
+    return None if number is None else _read(spark, path, manifest, loose)
 
 
 def load_replace(df: DataFrame, path: str) -> DataFrame:
@@ -77,66 +104,122 @@ def load_append(df: DataFrame, path: str) -> DataFrame:
     return read_current(spark, path)
 
 
-def load_upsert(updates: DataFrame, path: str, keys, cursor: str | None = None) -> DataFrame:
+def _write_buckets(rows: DataFrame, path: str, kept: dict[int, str], keys: list[str], buckets: int) -> DataFrame:
+    """Write rows as buckets, and a manifest of them and the kept ones; returns the table."""
+    spark = rows.sparkSession
+    number = _next_number(spark, path)
+    folder = f"u{number:08d}"
+    b.write_buckets(rows, f"{path}/{folder}", keys, buckets)
+    found = kept | b.list_buckets(spark, path, folder)
+    b.write_manifest(spark, path, f"m{number:08d}", Manifest(keys, buckets, rows.schema, found))
+    return read_current(spark, path)
+
+
+def load_buckets(df: DataFrame, path: str, keys, cursor: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Full replace by rows in buckets of their key, one per key: what an upsert can follow
+    without moving anything."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return _write_buckets(one_per_key(df, keys, cursor), path, {}, keys, buckets or BUCKETS)
+
+
+def load_upsert(updates: DataFrame, path: str, keys, cursor: str | None = None,
+                buckets: int | None = None) -> DataFrame:
     """One row per key, whatever the batch repeats: the newest by the cursor, and of equally
-    new ones the greatest by its other columns."""
-    target = read_current(updates.sparkSession, path)
-    if target is None:
-        return load_replace(one_per_key(updates, keys, cursor), path)
-    return load_replace(merge_upsert(target, updates, keys, cursor), path)
+    new ones the greatest by its other columns. Only buckets with keys of the batch, and rows
+    that are in no bucket, are read and written. `buckets` is for the first load; another number
+    later, or other keys, lays the whole table out anew."""
+    spark = updates.sparkSession
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    number, manifest, loose = _state(spark, path)
+    if number is None:
+        return load_buckets(updates, path, keys, cursor, buckets)
+    schema = _read(spark, path, manifest, loose).schema
+    if manifest is not None and not manifest.same_layout(keys, buckets):
+        loose = [*loose, *[f"{path}/{f}" for f in manifest.folders.values()]]
+        manifest = None
+    total = manifest.buckets if manifest else buckets or BUCKETS
+    batch = materialize(one_per_key(updates, keys, cursor), "batch")
+    hit = b.touched(batch, keys, total)
+    # Appended rows move to their buckets now; a replaced table's rows lie in all of them.
+    extra = spark.read.schema(schema).parquet(*loose) if loose else None
+    if extra is not None and manifest is not None:
+        hit |= b.touched(extra, keys, total)
+    if manifest is not None and not hit:
+        return _read(spark, path, manifest, loose)
+    held = manifest.folders if manifest else {}
+    old = b.read_folders(spark, path, [f for k, f in sorted(held.items()) if k in hit], schema)
+    if extra is not None:
+        old = old.unionByName(extra)
+    kept = {k: f for k, f in held.items() if k not in hit}
+    return _write_buckets(merge_upsert(old, batch, keys, cursor), path, kept, keys, total)
 
 
 def load_incremental(source: DataFrame, path: str, keys, cursor: str,
-                     inclusive: bool = False) -> DataFrame:
+                     inclusive: bool = False, buckets: int | None = None) -> DataFrame:
     """Rows newer than the target's highest cursor, merged by key."""
-    target = read_current(source.sparkSession, path)
-    fresh = since_watermark(source, target, cursor, inclusive=inclusive)
-    return load_upsert(fresh, path, keys, cursor)
+    spark = source.sparkSession
+    mark = watermark(read_current(spark, path), cursor)
+    fresh = source if mark is None else above(source, cursor, mark, inclusive)
+    return load_upsert(fresh, path, keys, cursor, buckets)
 
 
 def load_table(source: DataFrame, path: str, key: str, incremental: bool,
-               full_refresh: bool = False, cursor: str = "updated_at") -> DataFrame:
-    """Replace when asked to or when the table has no cursor, else merge."""
-    if full_refresh or not incremental:
+               full_refresh: bool = False, cursor: str = "updated_at", buckets: int | None = None) -> DataFrame:
+    """Replace when asked to or when the table has no cursor, else merge. A table that is merged
+    later is replaced in buckets, one row per key."""
+    if not incremental:
         return load_replace(source, path)
-    return load_incremental(source, path, key, cursor)
+    if full_refresh:
+        return load_buckets(source, path, key, cursor, buckets)
+    return load_incremental(source, path, key, cursor, buckets=buckets)
 
 
-def _snapshot_folders(spark: SparkSession, path: str) -> list[str]:
-    return [folder for _, folder, complete in _folders(spark, path) if complete]
-
-
-def _stored(spark: SparkSession, path: str, folders: list[str], schema: StructType,
-            opened: bool) -> DataFrame:
-    """Open or closed versions of the given runs; only their partitions are listed."""
-    # An explicit schema, because a run without any row leaves no file to learn it from.
-    layout = [StructField(c, IntegerType()) for c in (RUN, OPEN)]
-    reader = spark.read.schema(StructType([*schema.fields, *layout])).option("basePath", path)
-    return reader.parquet(*folders).filter(F.col(OPEN) == int(opened)).drop(RUN, OPEN)
+def _snapshot(spark: SparkSession, path: str) -> Manifest | None:
+    done = [folder for _, folder, complete in _folders(spark, path) if complete and _kind(folder) == "m"]
+    return b.read_manifest(spark, path, done[-1].rsplit("/", 1)[1]) if done else None
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    """Open versions of the last run and the closed ones of every run."""
-    done = _snapshot_folders(spark, path)
-    if not done:
+    """Open versions as the last run left them, and those that any run closed."""
+    now = _snapshot(spark, path)
+    if now is None:
         return None
-    return _stored(spark, path, done[-1:], schema, True).unionByName(
-        _stored(spark, path, done, schema, False))
+    opened = b.read_folders(spark, path, sorted(now.folders.values()), schema)
+    return opened.unionByName(b.read_folders(spark, path, now.others, schema))
 
 
 def load_snapshot(source: DataFrame, path: str, key: str, updated_at: str, run_ts,
-                  hard_deletes: bool = True) -> DataFrame:
-    """One snapshot run over `source`. It reads and writes open versions and what it
-    closes; closed history is neither read nor rewritten. Open and newly closed versions
-    land in one folder, so both count or neither does."""
+                  hard_deletes: bool = True, buckets: int = BUCKETS) -> DataFrame:
+    """One snapshot run over `source`. It compares open versions with the source, and writes what
+    it closes and the buckets in which something opens or closes; other buckets and closed history
+    keep their files. The manifest comes last, so all of it counts or nothing does."""
     spark = source.sparkSession
-    schema = new_versions(source, key, updated_at).schema
-    done = _snapshot_folders(spark, path)
-    opened = _stored(spark, path, done[-1:], schema, True) if done else None
-    changed = snapshot_changes(opened, source, key, updated_at, run_ts, hard_deletes)
-    (changed.withColumn(OPEN, open_versions().cast("int"))
-     .write.mode("errorifexists").partitionBy(OPEN)
-     .parquet(_next(spark, path, f"{RUN}=")))
+    fresh = new_versions(source, key, updated_at)
+    schema, now = fresh.schema, _snapshot(spark, path)
+    number = _next_number(spark, path)
+    run = f"{RUN}={number:08d}"
+    if now is None:
+        b.write_buckets(fresh, f"{path}/{run}/{OPEN}=1", [key], buckets)
+        found = b.list_buckets(spark, path, f"{run}/{OPEN}=1")
+        b.write_manifest(spark, path, f"m{number:08d}", Manifest([key], buckets, schema, found))
+        return read_snapshot(spark, path, schema)
+    opened = b.read_folders(spark, path, sorted(now.folders.values()), schema)
+    changed = materialize(changed_versions(opened, source, key, updated_at, run_ts, hard_deletes), "changes")
+    hit = b.touched(changed, [key], now.buckets)
+    if not hit:
+        return read_snapshot(spark, path, schema)
+    closed = changed.filter(~open_versions())
+    others = now.others
+    if not closed.isEmpty():
+        closed.write.mode("errorifexists").parquet(f"{path}/{run}/{OPEN}=0")
+        others = [*others, f"{run}/{OPEN}=0"]
+    before = b.read_folders(spark, path, [f for k, f in sorted(now.folders.items()) if k in hit], schema)
+    # A key that changed has one open version at most from now on: the new one.
+    after = before.join(changed.select(key).distinct(), key, "left_anti").select(*schema.names)
+    after = after.unionByName(changed.filter(open_versions()))
+    b.write_buckets(after, f"{path}/{run}/{OPEN}=1", [key], now.buckets)
+    found = {k: f for k, f in now.folders.items() if k not in hit} | b.list_buckets(spark, path, f"{run}/{OPEN}=1")
+    b.write_manifest(spark, path, f"m{number:08d}", Manifest([key], now.buckets, schema, found, others))
     return read_snapshot(spark, path, schema)
 
 
@@ -152,18 +235,18 @@ def _fact_dates(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_fact_rfm(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """The current version of every date."""
+    """The current state of every date."""
     folders = []
     for date in _fact_dates(spark, path):
-        number = current_version(spark, date)
-        folders += [f for n, f, complete in _folders(spark, date) if complete and number and n >= number]
+        _, manifest, loose = _state(spark, date)
+        folders += [*loose, *[f"{date}/{f}" for f in (manifest.folders.values() if manifest else [])]]
     if not folders:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(*folders)
 
 
 def write_fact_rfm(df: DataFrame, path: str) -> DataFrame:
-    """Upsert on (date, account). Each date is a table of its own, whose versions never
+    """Upsert on (date, account). Each date is a table of its own, whose loads never
     overwrite what is being read; only the dates at hand are read and written. Accounts
     scored earlier for the same date and missing now stay. A scoring run has one date; rows
     need one."""
@@ -178,11 +261,23 @@ def write_fact_rfm(df: DataFrame, path: str) -> DataFrame:
 
 
 def drop_old_versions(spark: SparkSession, path: str) -> int:
-    """Deletes a table's folders below its current version, and returns their number. To be
-    called when no reader needs them any more; nothing calls it by itself."""
-    number = current_version(spark, path)
-    old = [f for n, f, _ in _folders(spark, path) if number is not None and n < number]
-    for folder in old:
-        gone = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
-    return len(old)
+    """Deletes what the current version or manifest of a table does not refer to: older folders,
+    and buckets of newer ones that were written again. Returns the number of folders deleted. To
+    be called when no reader needs them any more; nothing calls it by itself."""
+    number, manifest, loose = _state(spark, path)
+    if number is None:
+        return 0
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    kept = set(loose) | {f"{path}/m{number:08d}"} | {f"{path}/{f}" for f in manifest.folders.values()} if manifest else set(loose)
+    gone = 0
+    for n, folder, _ in _folders(spark, path):
+        if n > number or folder in kept:
+            continue
+        parts = [f for f in kept if f.startswith(f"{folder}/")]
+        inner = [f"{path}/{f}" for f in b.list_buckets(spark, path, folder.rsplit("/", 1)[1]).values()] if parts else [folder]
+        for old in inner:
+            if old not in kept:
+                place = hadoop(old)
+                place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+                gone += 1
+    return gone

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -116,6 +117,39 @@ def _(d):
     return merge.merge_upsert(old, fresh, "account_id", "updated_at")
 
 
+@query("ld4_upsert_buckets", LD4_SQL)
+def _(d):
+    """The same upsert on a stored table: only buckets with keys of the batch are written."""
+    path = scratch(d, "ld4b")
+    old = versions.load_upsert(d.accounts_until(dm.FIRST_RUN), path, "account_id", "updated_at", buckets=8)
+    fresh = merge.since_watermark(d.accounts, old, "updated_at")
+    return versions.load_upsert(fresh, path, "account_id", "updated_at")
+
+
+@query("ld3_modes_in_turn", f"""
+SELECT 'first' AS modo, * FROM accounts_first
+UNION ALL BY NAME SELECT 'merged' AS modo, * FROM ({LD4_SQL})
+UNION ALL BY NAME SELECT 'refreshed' AS modo, * FROM accounts_first""")
+def _(d):
+    """First load, merge and full refresh of one table, which is read after each of them."""
+    path = scratch(d, "ld3t")
+    found = []
+    for mode, source, full in (("first", d.accounts_until(dm.FIRST_RUN), False), ("merged", d.accounts, False),
+                               ("refreshed", d.accounts_until(dm.FIRST_RUN), True)):
+        found.append(versions.load_table(source, path, "account_id", incremental=True, full_refresh=full)
+                     .withColumn("modo", F.lit(mode)))
+    return checks.union_results(found)
+
+
+@query("src3_catalog_table", "SELECT user_id, ts, event_id, event_type, value FROM events")
+def _(d):
+    """A table of the session's catalog, by layer and environment."""
+    schema, name = sources.schema_name("raw", "abono"), f"events_{uuid.uuid4().hex}"
+    d.spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    d.events_log.write.saveAsTable(f"{schema}.{name}")
+    return sources.CatalogSource("raw", "abono").table(d.spark, name)
+
+
 @query("ld5_append", "SELECT * FROM accounts_first UNION ALL BY NAME SELECT * FROM accounts")
 def _(d):
     path = scratch(d, "ld5")

@@ -172,3 +172,83 @@ def test_upsert_keeps_one_row_per_key_of_any_batch(spark, frame, tmp_path):
     assert rows(versions.load_upsert(batch, path, "k", "at")) == [(1, 3, "c"), (2, None, "z")]
     assert rows(versions.load_upsert(frame([(1, 2, "x"), (1, 2, "y")], ddl), path, "k")) == [
         (1, 2, "y"), (2, None, "z")]
+
+
+def files(path, pattern):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.glob(pattern)}
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, frame, tmp_path):
+    path, ddl = str(tmp_path / "t"), "k int, at int, v string"
+    first = frame([(k, 1, "a") for k in range(100)], ddl)
+    versions.load_upsert(first, path, "k", "at", buckets=8)
+    before = files(tmp_path, "t/u*/cubeta=*/*.parquet")
+    assert len(before) == 8
+    out = versions.load_upsert(frame([(7, 2, "b"), (7, 3, "c")], ddl), path, "k", "at")
+    after = files(tmp_path, "t/u*/cubeta=*/*.parquet")
+    assert before.items() <= after.items() and len(after) == 9
+    assert rows(out, "k", "v") == sorted([(k, "c" if k == 7 else "a") for k in range(100)], key=lambda r: [(v is None, str(v)) for v in r])
+    # Nothing new, nothing written.
+    assert versions.load_incremental(first, path, "k", "at").count() == 100
+    assert files(tmp_path, "t/*/*/*.parquet") == after
+    # Appended rows move to their buckets with the next upsert; a bucket of neither keeps its file.
+    versions.load_append(frame([(200, 4, "x"), (201, 4, "y")], ddl), path)
+    out = versions.load_upsert(frame([(200, 5, "z"), (300, 5, "w")], ddl), path, "k", "at")
+    assert out.count() == 103 and rows(out.filter("k >= 200"), "k", "v") == [(200, "z"), (201, "y"), (300, "w")]
+    number = versions.current_version(spark, path)
+    manifest = versions.b.read_manifest(spark, path, f"m{number:08d}")
+    kept = {f for f in manifest.folders.values() if f.startswith("u00000001/")}
+    assert 8 - 3 - 1 <= len(kept) < 8 and set(manifest.folders) == set(range(8))
+    # What the manifest doesn't name can go; the table stays.
+    assert versions.drop_old_versions(spark, path) > 0
+    assert rows(versions.read_current(spark, path)) == rows(out)
+    assert len(list(tmp_path.glob("t/u*/cubeta=*"))) == 8
+
+
+def test_upsert_after_replace_and_with_another_layout(spark, frame, tmp_path):
+    path, ddl = str(tmp_path / "t"), "k int, j int, v string"
+    versions.load_replace(frame([(1, 1, "a"), (2, 2, "b"), (None, 3, "n")], ddl), path)
+    out = versions.load_upsert(frame([(2, 2, "c"), (3, 3, "d")], ddl), path, "k", buckets=4)
+    assert rows(out, "k", "v") == [(1, "a"), (2, "c"), (3, "d"), (None, "n")]
+    out = versions.load_upsert(frame([(2, 9, "e")], ddl), path, ["k", "j"], buckets=3)
+    assert rows(out, "k", "j", "v") == [(1, 1, "a"), (2, 2, "c"), (2, 9, "e"), (3, 3, "d"), (None, 3, "n")]
+    out = versions.load_upsert(frame([], ddl), path, ["k", "j"])
+    assert out.count() == 5
+    # A table may begin empty.
+    empty = str(tmp_path / "e")
+    assert versions.load_upsert(frame([], ddl), empty, "k").count() == 0
+    assert versions.load_upsert(frame([(1, 1, "a")], ddl), empty, "k").count() == 1
+
+
+def test_failed_upsert_leaves_the_table(spark, frame, tmp_path):
+    path, ddl = str(tmp_path / "t"), "k int, at int, v string"
+    versions.load_upsert(frame([(k, 1, "a") for k in range(9)], ddl), path, "k", "at")
+    # Buckets without a manifest, as a load that stopped between the two leaves them.
+    frame([(1, "lost")], "k int, v string").write.parquet(f"{path}/u00000009/cubeta=1")
+    (tmp_path / "t" / "m00000009").mkdir()
+    assert {r[1] for r in rows(versions.read_current(spark, path), "k", "v")} == {"a"}
+    assert versions.load_upsert(frame([(1, 2, "b")], ddl), path, "k", "at").filter("v = 'b'").count() == 1
+    assert versions.current_version(spark, path) == 10
+
+
+def test_snapshot_run_with_one_change_writes_one_bucket(spark, frame, tmp_path):
+    path, ddl = str(tmp_path / "s"), "k int, name string, at timestamp_ntz"
+    base = [(k, "a", "2024-01-01") for k in range(100)]
+    versions.load_snapshot(frame(base, ddl), path, "k", "at", "2024-01-01 12:00:00", buckets=8)
+    before = files(tmp_path, "s/run=*/abierta=1/*/*.parquet")
+    assert len(before) == 8
+    changed = [(k, "b", "2024-01-02") if k == 7 else (k, n, a) for k, n, a in base]
+    out = versions.load_snapshot(frame(changed, ddl), path, "k", "at", "2024-01-02 12:00:00")
+    after = files(tmp_path, "s/run=*/abierta=1/*/*.parquet")
+    assert before.items() <= after.items() and len(after) == 9
+    assert len(files(tmp_path, "s/run=*/abierta=0/*.parquet")) >= 1
+    assert out.count() == 101 and out.filter("k = 7").count() == 2
+    # The same source again changes nothing and writes nothing.
+    whole = files(tmp_path, "s/**/*")
+    assert versions.load_snapshot(frame(changed, ddl), path, "k", "at", "2024-01-03").count() == 101
+    assert files(tmp_path, "s/**/*") == whole
+    # Deleting every key of a bucket leaves it empty, and other buckets alone.
+    gone = versions.load_snapshot(frame([], ddl), path, "k", "at", "2024-01-04 00:00:00")
+    assert gone.count() == 101 and gone.filter("dbt_valid_to IS NULL").count() == 0
+    again = versions.load_snapshot(frame(base[:1], ddl), path, "k", "at", "2024-01-05")
+    assert again.filter("dbt_valid_to IS NULL").count() == 1
