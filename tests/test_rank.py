@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import Window, functions as F
 
+from abono.operators import rank
 from abono.operators.rank import exact_ntile, newest_per_key, top_n_per_key
 from abono.operators.shared import materialize
 from tests.conftest import rows
@@ -66,3 +67,23 @@ def test_top_n_is_limited_before_the_shuffle(spark):
 def test_newest_per_key_null_cursor_last(spark):
     df = spark.createDataFrame([(1, None, 9), (1, 5, 1), (2, None, 3)], "k int, c int, t int")
     assert rows(newest_per_key(df, "k", "c", ["t"])) == [(1, 5, 1), (2, None, 3)]
+
+
+@pytest.mark.parametrize("key_type", ["bigint", "string"])
+def test_tiles_of_a_value_that_most_rows_have(spark, key_type):
+    """Rounds of counting, down to a few rows per task, against the built-in window."""
+    value = F.when(F.col("id") % 10 == 0, F.col("id") % 97).when(F.col("id") % 41 == 0, None).otherwise(F.lit(50))
+    df = spark.range(5000).select(F.col("id").cast(key_type).alias("k"), value.alias("m"), (-value * 2).cast("decimal(10,1)").alias("o"))
+    calls = []
+    narrowed = rank._narrowed
+    rank._narrowed = lambda *a: calls.append(1) or narrowed(*a)
+    try:
+        got = rank.exact_ntile(df, "k", {"up": ("m", "asc"), "down": ("o", "desc")}, k=7, sorted_rows=20)
+    finally:
+        rank._narrowed = narrowed
+    assert len(calls) > 1
+    want = df.select("k", "m", "o", F.ntile(7).over(Window.orderBy(F.col("m").asc_nulls_last(), "k")).cast("bigint").alias("up"),
+                     F.ntile(7).over(Window.orderBy(F.col("o").desc_nulls_last(), "k")).cast("bigint").alias("down"))
+    assert rows(got) == rows(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Exchange" not in plan
