@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import AtomicType
 
 from abono import fixed
 from abono.functions import as_date, last_day_before, moment
@@ -165,6 +169,26 @@ def overlapping_versions(dim: DataFrame, key: str, start: str = "valido_desde",
         F.col("_next") <= F.col(end)).drop("_next")
 
 
+@dataclass(frozen=True)
+class Slices:
+    """How an as-of join on few key values is spread: time in so many stretches between the facts'
+    first and last date, and each stretch's facts in so many shares. A version is repeated for
+    every stretch that it is valid in and for every share, so this is for dimensions of few
+    versions; a dimension with many keys is spread by its key."""
+
+    stretches: int = 64
+    shares: int = 4
+    #: First and last date of the facts, where the caller knows them; else they are looked up.
+    span: tuple[dt.date, dt.date] | None = None
+
+
+def date_span(df: DataFrame, column: str) -> tuple[dt.date, dt.date]:
+    """First and last date; of a table without dates any day, as none of its rows meets a version."""
+    day = F.col(column).cast("date")
+    found = df.agg(F.min(day).alias("low"), F.max(day).alias("high")).first()
+    return (found["low"], found["high"]) if found["low"] else (dt.date(1970, 1, 1), dt.date(1970, 1, 1))
+
+
 def asof_dim(
     fact: DataFrame,
     dim: DataFrame,
@@ -174,13 +198,15 @@ def asof_dim(
     out: str | None = None,
     dim_key: str | None = None,
     on_overlap: str = "keep",
+    slices: Slices | None = None,
 ) -> DataFrame:
     """Attach the surrogate of the version valid at each fact's date, null where none is.
 
     The key is an equi-join, so Spark hashes on it and checks the range afterwards;
     dimensions small enough are broadcast by Spark's own size check, and adaptive
-    execution splits a hot key on the fact side. Overlapping versions multiply facts
-    unless on_overlap='error' refuses them."""
+    execution splits a hot key on the fact side. With `slices` the join is on key, stretch of
+    time and share, so that few key values, or facts without a key, fill all tasks by
+    themselves. Overlapping versions multiply facts unless on_overlap='error' refuses them."""
     dim_key = dim_key or key
     if on_overlap == "error" and not overlapping_versions(dim, dim_key).isEmpty():
         raise ValueError(f"versions of {dim_key} overlap")
@@ -188,7 +214,29 @@ def asof_dim(
         F.col(dim_key).alias("_k"), F.col("valido_desde").alias("_from"),
         F.col("valido_hasta").alias("_to"), F.col(surrogate).alias(out or surrogate))
     hit = (F.col(key) == F.col("_k")) & F.col(on_date).between(F.col("_from"), F.col("_to"))
-    return fact.join(versions, hit, "left").drop("_k", "_from", "_to")
+    if slices:
+        fact, versions = _sliced(fact, versions, on_date, slices)
+        hit = hit & (F.col("_stretch") == F.col("_v_stretch")) & (F.col("_share") == F.col("_v_share"))
+    return fact.join(versions, hit, "left").drop("_k", "_from", "_to", "_stretch", "_share", "_v_stretch", "_v_share")
+
+
+def _sliced(fact: DataFrame, versions: DataFrame, on_date: str, slices: Slices) -> tuple[DataFrame, DataFrame]:
+    """Facts with their stretch and share, and versions once for each of those they serve."""
+    day = F.col(on_date).cast("date")
+    low, high = slices.span or date_span(fact, on_date)
+    width = (high - low).days // slices.stretches + 1
+    last = (high - low).days // width
+
+    def stretch(date: Column) -> Column:
+        return F.floor(F.datediff(date, as_date(low)) / width).cast("int")
+
+    simple = [f.name for f in fact.schema if isinstance(f.dataType, AtomicType)]
+    spread = fact.select("*", stretch(day).alias("_stretch"), F.pmod(F.xxhash64(*simple), F.lit(slices.shares)).cast("int").alias("_share"))
+    first, final = F.greatest(stretch(F.col("_from").cast("date")), F.lit(0)), F.least(stretch(F.col("_to").cast("date")), F.lit(last))
+    served = versions.withColumn("_first", first).withColumn("_final", final).filter(F.col("_first") <= F.col("_final"))
+    served = served.withColumn("_v_stretch", F.explode(F.sequence("_first", "_final")))
+    served = served.withColumn("_v_share", F.explode(F.sequence(F.lit(0), F.lit(slices.shares - 1))))
+    return spread, served.drop("_first", "_final")
 
 
 def dim_at(dim: DataFrame, as_of) -> DataFrame:

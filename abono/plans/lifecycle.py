@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, functions as F
 
 from abono import fixed
 from abono.functions import as_date, days_between
-from abono.operators.history import asof_dim
+from abono.operators.history import Slices, asof_dim, date_span
 from abono.operators.skew import DEFAULT_LIMITS, HotLimits, with_neighbours
 
 
@@ -53,16 +55,20 @@ def fact_suscripciones(
     as_of,
     on_overlap: str = "keep",
     limits: HotLimits = DEFAULT_LIMITS,
+    slices: Slices | None = Slices(),
 ) -> DataFrame:
     """The fact: lifecycle columns with the account, plan and previous plan versions valid
-    at the start of the period. The account join reuses the windows' partitioning."""
+    at the start of the period. The account join reuses the windows' partitioning; plans are few,
+    and first periods have no previous one, so those joins are spread over time."""
     facts = lifecycle_periods(periods, as_of, limits)
+    if slices and slices.span is None:
+        slices = replace(slices, span=date_span(periods, "fecha_inicio"))
     facts = asof_dim(facts, dim_accounts, "id_cuenta", "fecha_inicio", "id_dim_cuenta",
                      on_overlap=on_overlap)
     facts = asof_dim(facts, dim_plans, "id_suscripcion", "fecha_inicio", "id_dim_suscripcion",
-                     on_overlap=on_overlap)
+                     on_overlap=on_overlap, slices=slices)
     facts = asof_dim(facts, dim_plans, "id_suscripcion_anterior", "fecha_inicio",
-                     "id_dim_suscripcion", "id_dim_suscripcion_anterior", "id_suscripcion")
+                     "id_dim_suscripcion", "id_dim_suscripcion_anterior", "id_suscripcion", slices=slices)
     return facts.select(
         "id_dim_cuenta", "id_dim_suscripcion", "id_dim_suscripcion_anterior",
         "fecha_inicio", "fecha_fin", "duracion_dias", "tipo_cambio", "fecha_churn",

@@ -274,6 +274,13 @@ simple("j6_asof_dim",
        """SELECT s.*, c.id_dim_cuenta FROM stg_accounts_subscription s
           LEFT JOIN dim_cuentas_base c ON s.id_cuenta = c.id_cuenta
            AND s.fecha_inicio BETWEEN c.valido_desde AND c.valido_hasta""")
+simple("j6_asof_plans",
+       lambda d: history.asof_dim(d.stg_accounts_subscription, d.dim_suscripciones_stored,
+                                  "id_suscripcion", "fecha_inicio", "id_dim_suscripcion",
+                                  on_overlap="error", slices=history.Slices()),
+       """SELECT s.*, p.id_dim_suscripcion FROM stg_accounts_subscription s
+          LEFT JOIN dim_suscripciones p ON s.id_suscripcion = p.id_suscripcion
+           AND s.fecha_inicio BETWEEN p.valido_desde AND p.valido_hasta""")
 simple("j7_dim_at",
        lambda d: d.stg_accounts.select("id_cuenta").join(
            history.dim_at(d.dim_cuentas_base, AS_OF).select("id_cuenta", "id_dim_cuenta"),

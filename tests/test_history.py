@@ -2,8 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from abono.operators.history import (
-    asof_dim, dim_at, last_version_per_day, new_versions, overlapping_versions, scd2_dimension,
-    snapshot_merge, versions_from_history)
+    Slices, asof_dim, dim_at, last_version_per_day, new_versions, overlapping_versions,
+    scd2_dimension, snapshot_merge, versions_from_history)
 from tests.conftest import day, rows, ts
 
 SOURCE = "k int, name string, at timestamp_ntz"
@@ -119,3 +119,32 @@ def test_asof_gaps_overlaps_and_fan_out(frame):
         asof_dim(fact, dim, "k", "d", "sk", on_overlap="error")
     clean = dim.filter(F.col("sk") == "a")
     assert asof_dim(fact, clean, "k", "d", "sk", on_overlap="error").count() == 4
+
+
+@pytest.mark.parametrize("dated", [True, False])
+def test_asof_on_few_keys_fills_all_tasks(spark, frame, dated):
+    """Five plans, one of which most facts have, half of them without a previous one, and maybe all
+    on one day; neither adaptive execution nor a broadcast helps."""
+    dim = frame([(k, f"{k}-{n}", f"20{n:02d}-01-01", f"20{n:02d}-12-31" if n < 23 else "9999-12-31")
+                 for k in range(5) for n in range(15, 24)],
+                "plan int, sk string, valido_desde date, valido_hasta date")
+    n = F.col("id")
+    day = F.date_add(F.lit("2014-06-01").cast("date"), (n * 7 % 3650).cast("int") if dated else F.lit(2000))
+    fact = spark.range(8000).select(
+        n, F.when(n % 2 == 0, None).when(n % 20 == 1, (n % 5).cast("int")).otherwise(F.lit(2)).alias("plan"),
+        F.when(n % 500 != 0, day).alias("d"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(before, ("false", "-1", "16")):
+            spark.conf.set(k, v)
+        plain = asof_dim(fact, dim, "plan", "d", "sk")
+        sliced = asof_dim(fact, dim, "plan", "d", "sk", slices=Slices(shares=16))
+        assert "BroadcastHashJoin" not in sliced._jdf.queryExecution().executedPlan().toString()
+        largest = lambda df: max(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert largest(plain) > 3500 and largest(sliced) < (900 if dated else 2000)
+        assert rows(sliced) == rows(plain) and sliced.filter("sk IS NOT NULL").count() > 3000
+        none = asof_dim(fact.filter("d IS NULL"), dim, "plan", "d", "sk", slices=Slices())
+        assert none.filter("sk IS NULL").count() == 16
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
