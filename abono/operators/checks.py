@@ -4,10 +4,11 @@ ever collected."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType, IntegralType, StringType, TimestampNTZType
 
 from abono import fixed
 from abono.functions import as_ts, is_email, moment
@@ -95,17 +96,21 @@ def check_freshness(df: DataFrame, column: str, now, table: str,
     not after now is OK; no value, a future one, or one at or before the limit warns."""
     if column not in df.columns:
         return stated(df.sparkSession, "freshness", table, None, SKIP, f"no column {column}")
-    newest, at = F.col("newest"), moment(now)
-    age = F.timestamp_diff("SECOND", newest, at)
-    limit = F.make_dt_interval(hours=F.lit(hours))
-    fresh = (newest <= at) & (newest > at - limit)
+    age, status, detail = _freshness(F.col("newest"), now, hours)
+    return _result(df.agg(F.max(as_ts(column)).alias("newest")), "freshness", table, column,
+                   age, status, detail)
+
+
+def _freshness(newest: Column, now, hours: int) -> tuple[Column, Column, Column]:
+    """Metric, status and detail of a newest moment."""
+    at = moment(now)
+    fresh = (newest <= at) & (newest > at - F.make_dt_interval(hours=F.lit(hours)))
     shown = F.date_format(newest, "yyyy-MM-dd HH:mm:ss")
     detail = (F.when(newest.isNull(), "no timestamps")
               .when(newest > at, F.concat(F.lit("future: "), shown))
               .when(fresh, F.concat(F.lit("fresh: "), shown))
               .otherwise(F.concat(F.lit("stale: "), shown)))
-    return _result(df.agg(F.max(as_ts(column)).alias("newest")), "freshness", table, column,
-                   age, F.when(fresh, OK).otherwise(WARNING), detail)
+    return F.timestamp_diff("SECOND", newest, at), F.when(fresh, OK).otherwise(WARNING), detail
 
 
 @dataclass(frozen=True)
@@ -147,6 +152,135 @@ def check_rules(df: DataFrame, rules: list[Rule], table: str) -> DataFrame:
         F.lit(None).cast("string").alias("detail"))
 
 
+@dataclass(frozen=True)
+class Reference:
+    """A column whose values must be keys of a parent table."""
+
+    column: str
+    parent: str
+    parent_key: str
+    check: str = "foreign_key"
+
+
+@dataclass(frozen=True)
+class Wanted:
+    """All checks of a table that one pass can answer. unique: columns without repeated values,
+    nulls aside; duplicates: columns without repeated values, null among them."""
+
+    rules: list[Rule] = field(default_factory=list)
+    unique: list[str] = field(default_factory=list)
+    duplicates: list[str] = field(default_factory=list)
+    references: list[Reference] = field(default_factory=list)
+
+
+#: Kinds of keys whose text is the same whenever they are equal, and only then.
+KEY_TYPES = (IntegralType, StringType, DateType, TimestampNTZType)
+
+
+def fused(tables: dict[str, DataFrame], wanted: dict[str, Wanted]) -> DataFrame:
+    """Results of all wanted checks from one scan of each table and one shuffle.
+
+    Every row is handed out as (space, value, role): a key column's value in that column's space,
+    in role 0; a reference's value in its parent key's space, in a role of its own; and, for each
+    rule that the row breaks, that rule. Counted per space and value, combined in the map tasks,
+    a key that repeats has several of role 0, and what no parent has, none: no join is needed, and
+    a popular value weighs as little as any other. Parents that aren't checked for anything else
+    are scanned for their keys. Checks of keys of other types than KEY_TYPES are made one by one."""
+    spark = next(iter(tables.values())).sparkSession
+    spaces: dict[tuple[str, str], int] = {}
+    roles: dict[int, int] = {}
+    rules = 0
+    asked: list[tuple[int, int, str, str, str | None, str | None]] = []
+    emitted: dict[str, list[Column]] = {}
+    in_role_0: set[tuple[str, str]] = set()
+
+    plain: list[DataFrame] = []
+
+    def space(table: str, column: str) -> int:
+        return spaces.setdefault((table, column), len(spaces))
+
+    def stacks(*keys: tuple[str, str]) -> bool:
+        return all(isinstance(tables[t].schema[k].dataType, KEY_TYPES) for t, k in keys)
+
+    def row(number: int, value: Column, role: int) -> Column:
+        return F.struct(F.lit(number).alias("space"), value.cast("string").alias("value"), F.lit(role).alias("role"))
+
+    def keys_of(table: str, column: str) -> int:
+        number = space(table, column)
+        if (table, column) not in in_role_0:
+            in_role_0.add((table, column))
+            emitted.setdefault(table, []).append(row(number, F.col(column), 0))
+        return number
+
+    for table, want in wanted.items():
+        for check, columns in (("unique", want.unique), ("duplicates", want.duplicates)):
+            for column in columns:
+                if not stacks((table, column)):
+                    one = check_unique if check == "unique" else check_duplicates
+                    plain.append(one(tables[table], column, table))
+                    continue
+                asked.append((keys_of(table, column), 0 if check == "unique" else -1, check, table, column, None))
+        for ref in want.references:
+            if not stacks((table, ref.column), (ref.parent, ref.parent_key)):
+                plain.append(check_fk(tables[table], ref.column, tables[ref.parent], ref.parent_key, table, ref.parent, ref.check))
+                continue
+            number = keys_of(ref.parent, ref.parent_key)
+            roles[number] = role = roles.get(number, 0) + 1
+            value = F.col(ref.column)
+            emitted.setdefault(table, []).append(F.when(value.isNotNull(), row(number, value, role)))
+            asked.append((number, role, ref.check, table, ref.column, f"parent {ref.parent}" if ref.parent else None))
+        for rule in want.rules:
+            rules += 1
+            broken = row(-rules, F.lit(None), 0)
+            emitted.setdefault(table, []).append(F.when(rule.broken, broken))
+            asked.append((-rules, 0, rule.check, table, rule.column, None))
+    if not asked:
+        return union_results(plain) if plain else spark.createDataFrame([], RESULT)
+
+    stacked = reduce(DataFrame.unionByName, [
+        tables[t].select(F.explode(F.array_compact(F.array(*found))).alias("r")).select("r.space", "r.value", "r.role")
+        for t, found in emitted.items()])
+    most = max(roles.values(), default=0)
+    counted = stacked.groupBy("space", "value").agg(*[F.count_if(F.col("role") == i).alias(f"n{i}") for i in range(most + 1)])
+    # Role -1: keys that repeat, the null one among them.
+    repeats = F.count_if(F.col("n0") > 1)
+    metrics = counted.groupBy("space").agg(
+        F.when(F.col("space") < 0, F.sum("n0")).otherwise(F.count_if((F.col("n0") > 1) & F.col("value").isNotNull())).alias("m0"),
+        repeats.alias("m_1"), *[F.sum(F.when(F.col("n0") == 0, F.col(f"n{i}"))).alias(f"m{i}") for i in range(1, most + 1)])
+    each = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("role"), F.col("m_1" if i < 0 else f"m{i}").alias("metric")) for i in range(-1, most + 1)]))
+    found = metrics.select("space", each.alias("e")).select("space", "e.role", "e.metric")
+    names = spark.createDataFrame(
+        asked, "space int, role int, check_name string, table_name string, column_name string, detail string")
+    metric = F.coalesce("metric", F.lit(0)).cast("bigint")
+    results = F.broadcast(names).join(found, ["space", "role"], "left").select(
+        "check_name", "table_name", "column_name", metric.alias("metric"),
+        F.when(metric == 0, OK).otherwise(WARNING).alias("status"), "detail")
+    return union_results([results, *plain])
+
+
+def check_loaded(source: DataFrame, target: DataFrame, column: str, now, table: str,
+                 hours: int = fixed.FRESHNESS_HOURS) -> DataFrame:
+    """Row counts of both sides and the freshness of the target, which is read once."""
+    if column not in target.columns:
+        return union_results([check_counts(source, target, table), check_freshness(target, column, now, table, hours)])
+    none = F.lit(0).cast("bigint")
+    never = F.lit(None).cast("timestamp_ntz")
+    both = source.agg(F.count("*").alias("s"), none.alias("t"), never.alias("newest")).unionByName(
+        target.agg(none.alias("s"), F.count("*").alias("t"), F.max(as_ts(column)).alias("newest"))
+    ).agg(F.sum("s").alias("s"), F.sum("t").alias("t"), F.max("newest").alias("newest"))
+    age, status, detail = _freshness(F.col("newest"), now, hours)
+    counts = F.struct(
+        F.lit("row_count").alias("check_name"), F.lit(None).cast("string").alias("column_name"),
+        (F.col("s") - F.col("t")).cast("bigint").alias("metric"), F.when(F.col("s") == F.col("t"), OK).otherwise(WARNING).alias("status"),
+        F.concat_ws(" -> ", "s", "t").alias("detail"))
+    fresh = F.struct(
+        F.lit("freshness").alias("check_name"), F.lit(column).alias("column_name"), age.cast("bigint").alias("metric"),
+        status.alias("status"), detail.alias("detail"))
+    return both.select(F.explode(F.array(counts, fresh)).alias("r")).select(
+        "r.check_name", F.lit(table).alias("table_name"), "r.column_name", "r.metric", "r.status", "r.detail")
+
+
 def check_not_null(df: DataFrame, column: str, table: str) -> DataFrame:
     return check_rules(df, [not_null(column)], table)
 

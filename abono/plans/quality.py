@@ -17,9 +17,11 @@ def run_checks(spark: SparkSession, source, target, now, tables: list[str] | Non
                relations: dict[str, dict[str, str]] | None = None,
                hours: int = fixed.FRESHNESS_HOURS) -> DataFrame:
     """Counts, duplicates, foreign keys and freshness of loaded tables, as one result
-    table. `source` and `target` hand out tables by name. Checks are evaluated here, those of
-    a table together; one whose tables cannot be read, or fail while being read, is reported
-    as ERROR with the whole message, and all others count. A check is a handful of rows."""
+    table. `source` and `target` hand out tables by name. Checks are evaluated here: keys and
+    references of all tables in one job, counts and freshness of each in another. Where a job
+    fails, its checks are tried again one by one; one whose tables cannot be read, or fail while
+    being read, is reported as ERROR with the whole message, and all others count. A check is a
+    handful of rows."""
     keys = RAW_KEYS if keys is None else keys
     relations = LOAD_RELATIONS if relations is None else relations
 
@@ -39,20 +41,39 @@ def run_checks(spark: SparkSession, source, target, now, tables: list[str] | Non
         yield "freshness", "updated_at", lambda: c.check_freshness(
             target.table(spark, name), "updated_at", now, name, hours)
 
-    def found(builds) -> list:
-        return c.union_results([build() for build in builds]).collect()
+    def together(names: list[str]) -> list:
+        """Everything about the keys, of all tables at once."""
+        parents = {p for n in names for p in relations.get(n, {}).values()}
+        frames = {n: target.table(spark, n) for n in {*names, *parents}}
+        wanted = {n: c.Wanted(
+            duplicates=[keys[n]] if keys.get(n) else [],
+            references=[c.Reference(fk, p, keys.get(p, "id")) for fk, p in relations.get(n, {}).items()]) for n in names}
+        return c.fused(frames, wanted).collect()
 
-    rows = []
-    for name in tables or list(fixed.RAW_TABLES):
-        listed = list(checks_of(name))
+    def loaded(name: str) -> list:
+        return c.check_loaded(source.table(spark, name), target.table(spark, name), "updated_at", now, name, hours).collect()
+
+    def tried(build):
+        """Rows, or None if something failed."""
         try:
-            rows += found([build for _, _, build in listed])
-            continue
+            return build()
         except (PySparkException, KeyError):
-            pass  # some check of this table fails: find out which
-        for check, column, build in listed:
+            return None
+
+    names = tables or list(fixed.RAW_TABLES)
+    of_keys = tried(lambda: together(names))
+    rows = of_keys or []
+    for name in names:
+        of_load = tried(lambda: loaded(name))
+        rows += of_load or []
+        done = ({"row_count", "freshness"} if of_load is not None else set()) | (
+            {"duplicates", "foreign_key"} if of_keys is not None else set())
+        for check, column, build in checks_of(name):
+            known = (check == "foreign_key" and name not in relations) or (check == "duplicates" and not column)
+            if check in done and not known:
+                continue
             try:
-                rows += found([build])
+                rows += build().collect()
             except (PySparkException, KeyError) as e:
                 rows.append((check, name, column, 0, c.ERROR, str(e)))
     return spark.createDataFrame(rows, c.RESULT)
@@ -139,20 +160,16 @@ MART_CHECKS = {
 }
 
 
+def wanted_of(want: Declared) -> c.Wanted:
+    rules = [c.not_null(col) for col in ([want.key] if want.key else []) + want.required]
+    rules += [c.accepted(col, values) for col, values in want.accepted.items()]
+    references = [c.Reference(fk, parent, pk, "relationships") for fk, (parent, pk) in want.references.items()]
+    return c.Wanted(rules, [want.key] if want.key else [], [], references)
+
+
 def declared_checks(tables: dict[str, DataFrame], declared: dict[str, Declared]) -> DataFrame:
-    """Results of all declared checks: one pass per table for its row-level rules, one
-    aggregate per key, one anti join per reference."""
-    results = []
-    for name, want in declared.items():
-        df = tables[name]
-        rules = [c.not_null(col) for col in ([want.key] if want.key else []) + want.required]
-        rules += [c.accepted(col, values) for col, values in want.accepted.items()]
-        results.append(c.check_rules(df, rules, name))
-        if want.key:
-            results.append(c.check_unique(df, want.key, name))
-        for fk, (parent, pk) in want.references.items():
-            results.append(c.check_fk(df, fk, tables[parent], pk, name, parent, "relationships"))
-    return c.union_results(results)
+    """Results of all declared checks: one scan per table, and one shuffle for all."""
+    return c.fused(tables, {name: wanted_of(want) for name, want in declared.items()})
 
 
 def staging_rules(tables: dict[str, DataFrame], raw_subscriptions: DataFrame, now) -> DataFrame:

@@ -1,9 +1,10 @@
 from pyspark.sql import functions as F
 import datetime as dt
 
+from abono.operators import checks
 from abono.operators import checks as c
 from abono.plans import quality
-from abono.schemas import RAW_KEYS
+from abono.schemas import RAW_KEYS, RAW_SCHEMAS
 from abono.sources.tables import FrameSource
 from tests.conftest import rows
 
@@ -103,3 +104,38 @@ def test_a_check_that_fails_while_running_is_an_error_row(spark, frame):
     got = {(r.table_name, r.check_name): r for r in found.collect()}
     assert got["accounts", "duplicates"].status == "OK" and got["contents", "duplicates"].status == "ERROR"
     assert "file" in got["contents", "duplicates"].detail and got["contents", "freshness"].status == "OK"
+
+
+def test_fused_checks_equal_the_single_ones(spark, frame):
+    parents = frame([(1, "a"), (2, "b"), (2, "b"), (None, "n"), (None, "m"), (3, None)], "id int, code string")
+    children = frame([(1, 1, "a", 5), (2, 9, "zz", 6), (3, 9, None, 6), (4, None, "b", None), (4, 2, "b", 7)],
+                     "k bigint, parent bigint, code string, v int")
+    other = frame([(1.0, 1.0), (1.0, 2.0)], "d double, e double")
+    tables = {"parents": parents, "children": children, "other": other}
+    rules = [checks.not_null("v"), checks.accepted("v", [5, 6]), checks.minimum("v", 7)]
+    wanted = {
+        "parents": checks.Wanted(unique=["id"], duplicates=["id"]),
+        "children": checks.Wanted(rules, ["k"], [], [checks.Reference("parent", "parents", "id"), checks.Reference("code", "parents", "code", "relationships")]),
+        "other": checks.Wanted(unique=["d"], references=[checks.Reference("e", "other", "d")])}
+    single = checks.union_results([
+        checks.check_unique(parents, "id", "parents"), checks.check_duplicates(parents, "id", "parents"),
+        checks.check_rules(children, rules, "children"), checks.check_unique(children, "k", "children"),
+        checks.check_fk(children, "parent", parents, "id", "children", "parents"),
+        checks.check_fk(children, "code", parents, "code", "children", "parents", "relationships"),
+        checks.check_unique(other, "d", "other"), checks.check_fk(other, "e", other, "d", "other", "other")])
+    fused = checks.fused(tables, wanted)
+    assert rows(fused) == rows(single.select(*fused.columns))
+    metrics = {(r.check_name, r.table_name, r.column_name): r.metric for r in fused.collect()}
+    assert metrics["unique", "parents", "id"] == 1 and metrics["duplicates", "parents", "id"] == 2
+    assert metrics["foreign_key", "children", "parent"] == 2 and metrics["relationships", "children", "code"] == 1
+    none = checks.fused({n: df.limit(0) for n, df in tables.items()}, wanted)
+    assert {r.metric for r in none.collect()} == {0} and none.count() == fused.count()
+
+
+def test_declared_checks_scan_each_table_once(spark, frame, tmp_path):
+    frames = {}
+    for name in quality.RAW_CHECKS:
+        frame([], RAW_SCHEMAS[name]).write.parquet(str(tmp_path / name))
+        frames[name] = spark.read.parquet(str(tmp_path / name))
+    plan = quality.declared_checks(frames, quality.RAW_CHECKS)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet") == len(frames) and "SortMergeJoin" not in plan
