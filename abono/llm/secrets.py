@@ -25,7 +25,8 @@ ASSIGN = re.compile(rb"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 KINDS = ("assign", "access", "hex", "crf")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
-_KEYWORD = re.compile(rb"(?i:passw|secret|token|api_?key)")
+#: One of these, in lower case, is in every text with an assignment.
+KEYWORDS = (b"passw", b"secret", b"token", b"api_key", b"apikey")
 
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 
@@ -56,8 +57,8 @@ class Params:
     words_log2: int = 12
     #: Tokens of a training window.
     window: int = 24
-    rounds: int = 40
-    rate: float = 0.1
+    rounds: int = 30
+    rate: float = 0.13
     ridge: float = 1e-3
     #: Documents of a round at least; a round takes all of a smaller table.
     batch: int = 2_000
@@ -78,7 +79,8 @@ def base_spans(piece: Piece) -> list[list[tuple[int, int, int, int]]]:
         found[i].append((a, 2, b, a))
     for i in range(len(piece)):
         text = piece.text(i)
-        if _KEYWORD.search(text):
+        low = text.lower()
+        if any(k in low for k in KEYWORDS):
             for m in ASSIGN.finditer(text):
                 if len(m[2]) >= LEAST["assign"]:
                     found[i].append((m.start(), 0, m.end(), m.start(2)))
@@ -200,15 +202,16 @@ def gradient(w: Windows, model: Model) -> np.ndarray:
     real = w.tags >= 0
     length = real.sum(axis=1)
     score = model.emissions(w.rows.reshape(n * t, -1)).reshape(n, t, 3)
-    # probabilities up to a factor for each token, so that nothing over- or underflows
-    score = np.exp(np.maximum(score - score.max(axis=2, keepdims=True), -300))
-    step = np.exp(model.moves)
-    forward, backward = np.zeros((n, t, 3)), np.zeros((n, t, 3))
+    # probabilities up to a factor for each token, so that nothing over- or underflows; each is
+    # rounded to GRAINs below, so single precision is enough
+    score = np.exp(np.maximum(score - score.max(axis=2, keepdims=True), -30)).astype(np.float32)
+    step = np.exp(model.moves).astype(np.float32)
+    forward, backward = np.zeros((n, t, 3), np.float32), np.zeros((n, t, 3), np.float32)
     for j in range(t):
         now = score[:, j] * (forward[:, j - 1] @ step if j else step[w.left])
         forward[:, j] = now / now.sum(axis=1, keepdims=True)
     for j in range(t - 1, -1, -1):
-        now = (score[:, j + 1] * backward[:, j + 1]) @ step.T if j + 1 < t else np.ones((n, 3))
+        now = (score[:, j + 1] * backward[:, j + 1]) @ step.T if j + 1 < t else np.ones((n, 3), np.float32)
         now = np.where((length == j + 1)[:, None], step[:, w.right].T, now)
         backward[:, j] = now / now.sum(axis=1, keepdims=True)
     true = w.tags[..., None] == np.arange(3)
@@ -235,8 +238,9 @@ def gradient(w: Windows, model: Model) -> np.ndarray:
     return out
 
 
-def _summed(docs: DataFrame, model: Model) -> np.ndarray:
-    """The gradient of all windows of the texts docs.t, summed in each task, then over tasks."""
+def _summed(docs: DataFrame, model: Model, step: int) -> np.ndarray:
+    """The gradient of all windows of the texts docs.t, summed in each task, then over tasks.
+    Which windows do without words goes by their first token's features, and by the step."""
     wide = 3 * sum(model.p.sizes) + 10
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,9 +249,9 @@ def _summed(docs: DataFrame, model: Model) -> np.ndarray:
             for _, piece in sliced(batch, 0):
                 w = windows(piece, model.p)
                 if len(w.kind):
-                    total += gradient(w, model)
-                    # every window once more without its words, so that shape alone counts as well
-                    w.rows[..., len(model.p.sizes) - 3:] = 0
+                    # every other window without its words, so that shape alone counts as well
+                    bare = (w.rows[:, 0].sum(axis=1) + w.tags[:, 0] + step) % 2 == 0
+                    w.rows[bare, :, len(model.p.sizes) - 3:] = 0
                     total += gradient(w, model)
         flat = total.reshape(-1)
         at = np.flatnonzero(flat)
@@ -266,12 +270,12 @@ def train(docs: DataFrame, id_col: str, text_col: str, p: Params) -> Model:
     model = Model([np.zeros((size, 3)) for size in p.sizes], np.zeros((3, 3)), p)
     texts = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("t")).where("t != ''")
     parts = max(1, min(p.rounds, texts.count() // p.batch))
-    texts = texts.withColumn("part", F.pmod(F.xxhash64("id", "t"), F.lit(parts)))
+    texts = texts.withColumn("part", F.pmod(F.xxhash64("id", F.octet_length("t")), F.lit(parts)))
     slots = [*model.tables, model.moves]
     first, second = [np.zeros_like(x) for x in slots], [np.zeros_like(x) for x in slots]
     n_found = 0
     for step in range(1, p.rounds + 1):
-        sums = _summed(texts.where(F.col("part") == (step - 1) % parts).select("t"), model)
+        sums = _summed(texts.where(F.col("part") == (step - 1) % parts).select("t"), model, step)
         n_found += int(sums[FOUND, -1])
         if step == parts and not n_found:
             break
@@ -324,7 +328,8 @@ def decode(scores: np.ndarray, cuts: np.ndarray, moves: np.ndarray) -> np.ndarra
 
 
 def _spans(piece: Piece, model: Model) -> list[list[tuple[int, int, int]]]:
-    """(start, kind, end) in code points; the field's spans only where no pattern's is."""
+    """(start, kind, end) in code points. Of the field's spans what lies outside the patterns',
+    so that the rest of a token is kept of which a pattern found only a part."""
     base = base_spans(piece)
     tokens, rows = token_features(piece, model.p)
     tags = decode(model.emissions(rows), tokens.cuts, model.moves)
@@ -337,7 +342,12 @@ def _spans(piece: Piece, model: Model) -> list[list[tuple[int, int, int]]]:
         while last + 1 < tokens.cuts[i + 1] and tags[last + 1] == INSIDE:
             last += 1
         a, b = int(tokens.start[k] - piece.offsets[i]), int(tokens.end[last] - piece.offsets[i])
-        if not any(x < b and a < y for x, _, y, _ in base[i]):
+        for x, _, y, _ in base[i]:
+            if x < b and a < y:
+                if a < x and TOKEN[piece.data[piece.offsets[i] + a:piece.offsets[i] + x]].any():
+                    every[i].append((a, 3, x))
+                a = max(a, y)
+        if a < b and TOKEN[piece.data[piece.offsets[i] + a:piece.offsets[i] + b]].any():
             every[i].append((a, 3, b))
     for i, spans in enumerate(every):
         if spans:
