@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import os
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +19,12 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="abono", description=__doc__)
     p.add_argument("job", choices=["load", "daily", "rfm", "full", "report"])
     p.add_argument("--source", required=True, help="folder of Parquet tables, or a JDBC URL")
+    p.add_argument("--jdbc-option", action="append", default=[], metavar="NAME=VALUE",
+                   help="user, password, driver and further options of the JDBC source;"
+                        " NAME=env:VARIABLE takes the value from the environment")
+    p.add_argument("--partitions", type=int, default=64, help="parallel ranges of a JDBC table")
+    p.add_argument("--raw-catalog", help="catalog with row-level writes that raw tables are merged in")
+    p.add_argument("--buckets", type=int, help="buckets that merged tables are first laid out in")
     p.add_argument("--lake", required=True, help="root folder of the lake, or of the reports")
     p.add_argument("--env", choices=["local", "dev", "prod"], default="local")
     p.add_argument("--as-of", default=None, help="reference date, today by default")
@@ -29,12 +36,22 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def jdbc_options(given: list[str]) -> dict[str, str]:
+    found = {}
+    for option in given:
+        name, equals, value = option.partition("=")
+        if not equals:
+            raise ValueError(f"--jdbc-option {name}: NAME=VALUE is needed")
+        found[name] = os.environ[value[4:]] if value.startswith("env:") else value
+    return found
+
+
 def config(args: argparse.Namespace) -> jobs.JobConfig:
-    source = (JdbcSource(args.source) if args.source.startswith("jdbc:")
+    source = (JdbcSource(args.source, jdbc_options(args.jdbc_option), args.partitions) if args.source.startswith("jdbc:")
               else FileSource(args.source))
     refreshed = (args.tables or list(fixed.RAW_TABLES)) if args.full_refresh else []
     return jobs.JobConfig(source, jobs.Lake(args.lake, args.env), tables=args.tables,
-                          full_refresh={t: True for t in refreshed})
+                          full_refresh={t: True for t in refreshed}, raw_catalog=args.raw_catalog, buckets=args.buckets)
 
 
 def main(argv: list[str] | None = None) -> None:

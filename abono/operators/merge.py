@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from abono.operators.rank import newest_per_key
@@ -24,16 +26,23 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys, cursor: str | None
     return target.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
 
 
-def merge_into_table(updates: DataFrame, table: str, keys) -> None:
+def merge_statement(table: str, updates: str, keys: list[str]) -> str:
+    """The upsert as MERGE INTO, from a view of updates with one row per key."""
+    on = " AND ".join(f"destino.`{k}` = cambios.`{k}`" for k in keys)
+    return (f"MERGE INTO {table} AS destino USING `{updates}` AS cambios ON {on}"
+            " WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
+
+
+def merge_into_table(updates: DataFrame, table: str, keys, cursor: str | None = None) -> None:
     """The same upsert as MERGE INTO, for catalogs with row-level writes: only files
     holding touched keys are rewritten."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    target = table.rsplit(".", 1)[-1]
-    on = F.lit(True)
-    for k in keys:
-        on = on & (F.col(f"{target}.{k}") == F.col(f"updates.{k}"))
-    (one_per_key(updates, keys).alias("updates").mergeInto(table, on)
-     .whenMatched().updateAll().whenNotMatched().insertAll().merge())
+    view = f"cambios_{uuid.uuid4().hex}"
+    one_per_key(updates, keys, cursor).createOrReplaceTempView(view)
+    try:
+        updates.sparkSession.sql(merge_statement(table, view, keys))
+    finally:
+        updates.sparkSession.catalog.dropTempView(view)
 
 
 def watermark(target: DataFrame | None, column: str) -> str | None:

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; where none is set, one in the warehouse, which all
-    executors share as well."""
+    """The cluster's checkpoint folder; where none is set, one in the warehouse. A warehouse on
+    the machine's own disk is shared by nobody, so on a cluster it is refused."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (found or f"{spark.conf.get('spark.sql.warehouse.dir')}/intermediate").rstrip("/")
+    if found:
+        return found.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    own_disk = warehouse.startswith(("file:", "/"))
+    if own_disk and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("executors share no folder: set spark.checkpoint.dir, or a warehouse that all of them reach")
+    return f"{warehouse}/intermediate"
 
 
 def _session_dir(spark: SparkSession) -> str:

@@ -81,7 +81,9 @@ class LayerSource:
 @dataclass(frozen=True)
 class JobConfig:
     """source hands out raw tables by name. strict stops a job at the first step whose
-    declared checks find anything."""
+    declared checks find anything. raw_catalog names a catalog with row-level writes: raw tables
+    are then merged there, in <raw_catalog>.<schema>.<table>, instead of in folders. buckets is the
+    number that merged tables are first laid out in."""
 
     source: object
     lake: Lake
@@ -89,17 +91,38 @@ class JobConfig:
     tables: list[str] | None = None
     full_refresh: dict[str, bool] = field(default_factory=dict)
     keys: dict[str, str] = field(default_factory=lambda: dict(RAW_KEYS))
+    raw_catalog: str | None = None
+    buckets: int | None = None
+
+    def raw_table(self, name: str) -> str:
+        return f"{self.raw_catalog}.{schema_name(RAW, self.lake.env)}.{name}"
+
+    def raw(self, spark: SparkSession, name: str) -> DataFrame:
+        return spark.table(self.raw_table(name)) if self.raw_catalog else self.lake.read(spark, RAW, name)
+
+
+@dataclass(frozen=True)
+class RawSource:
+    """Raw tables where a job's configuration has them."""
+
+    cfg: JobConfig
+
+    def table(self, spark: SparkSession, name: str) -> DataFrame:
+        return self.cfg.raw(spark, name)
 
 
 def run_load(spark: SparkSession, cfg: JobConfig) -> None:
     for name, df in read_tables(spark, cfg.source, cfg.tables).items():
-        versions.load_table(df, cfg.lake.path(RAW, name), cfg.keys[name],
-                            fixed.RAW_TABLES[name], cfg.full_refresh.get(name, False))
+        mode = cfg.keys[name], fixed.RAW_TABLES[name], cfg.full_refresh.get(name, False)
+        if cfg.raw_catalog:
+            versions.load_catalog_table(df, cfg.raw_table(name), *mode)
+        else:
+            versions.load_table(df, cfg.lake.path(RAW, name), *mode, buckets=cfg.buckets)
 
 
 def run_validation(spark: SparkSession, cfg: JobConfig, now) -> DataFrame:
     """Loaded tables against their source, without loading anything."""
-    return quality.run_checks(spark, cfg.source, LayerSource(cfg.lake, RAW), now, cfg.tables,
+    return quality.run_checks(spark, cfg.source, RawSource(cfg), now, cfg.tables,
                               cfg.keys)
 
 
@@ -112,7 +135,7 @@ def _require(results: DataFrame, step: str, strict: bool) -> None:
 
 def run_staging(spark: SparkSession, cfg: JobConfig) -> None:
     def raw(name):
-        return cfg.lake.read(spark, RAW, name)
+        return cfg.raw(spark, name)
 
     def target(name):
         return cfg.lake.maybe(spark, STAGING, name)
@@ -135,7 +158,7 @@ def run_staging(spark: SparkSession, cfg: JobConfig) -> None:
         if name in staging.GROWING_KEYS:
             versions.load_append(df, path)
         elif name in staging.INCREMENTAL_KEYS:
-            versions.load_upsert(df, path, staging.INCREMENTAL_KEYS[name])
+            versions.load_upsert(df, path, staging.INCREMENTAL_KEYS[name], buckets=cfg.buckets)
         else:
             versions.load_replace(df, path)
 
@@ -182,7 +205,7 @@ def run_marts(spark: SparkSession, cfg: JobConfig, as_of) -> None:
 def run_daily(spark: SparkSession, cfg: JobConfig, as_of, run_ts) -> None:
     """Load, check sources, stage, check staging, snapshot, build marts."""
     run_load(spark, cfg)
-    raw = {n: cfg.lake.read(spark, RAW, n) for n in quality.RAW_CHECKS}
+    raw = {n: cfg.raw(spark, n) for n in quality.RAW_CHECKS}
     _require(quality.declared_checks(raw, quality.RAW_CHECKS), "source checks", cfg.strict)
     run_staging(spark, cfg)
     staged = {n: cfg.lake.read(spark, STAGING, n) for n in quality.STAGING_CHECKS}

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from abono.operators.history import changed_versions, new_versions, open_versions
-from abono.operators.merge import above, merge_upsert, one_per_key, watermark
+from abono.operators.merge import above, merge_into_table, merge_upsert, one_per_key, watermark
 from abono.operators.shared import materialize
 from abono.sinks import buckets as b
 from abono.sinks.buckets import BUCKETS, Manifest
@@ -174,6 +174,21 @@ def load_table(source: DataFrame, path: str, key: str, incremental: bool,
     return load_incremental(source, path, key, cursor, buckets=buckets)
 
 
+def load_catalog_table(source: DataFrame, table: str, key: str, incremental: bool,
+                       full_refresh: bool = False, cursor: str = "updated_at") -> DataFrame:
+    """load_table for a table of a catalog with row-level writes, where MERGE INTO is the upsert.
+    The first load creates the table."""
+    spark = source.sparkSession
+    exists = spark.catalog.tableExists(table)
+    if full_refresh or not incremental or not exists:
+        rows = one_per_key(source, key, cursor) if incremental else source
+        rows.writeTo(table).createOrReplace()
+        return spark.table(table)
+    mark = watermark(spark.table(table), cursor)
+    merge_into_table(source if mark is None else above(source, cursor, mark), table, key, cursor)
+    return spark.table(table)
+
+
 def _snapshot(spark: SparkSession, path: str) -> Manifest | None:
     done = [folder for _, folder, complete in _folders(spark, path) if complete and _kind(folder) == "m"]
     return b.read_manifest(spark, path, done[-1].rsplit("/", 1)[1]) if done else None

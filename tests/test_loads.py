@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from abono.operators.history import snapshot_merge
-from abono.operators.merge import merge_into_table, merge_upsert, since_watermark
+from abono.operators.merge import merge_into_table, merge_statement, merge_upsert, since_watermark
 from abono.sinks import versions
 from abono.sinks.reports import write_crm_outbox, write_report
 from abono.sources.tables import (
@@ -252,3 +252,24 @@ def test_snapshot_run_with_one_change_writes_one_bucket(spark, frame, tmp_path):
     assert gone.count() == 101 and gone.filter("dbt_valid_to IS NULL").count() == 0
     again = versions.load_snapshot(frame(base[:1], ddl), path, "k", "at", "2024-01-05")
     assert again.filter("dbt_valid_to IS NULL").count() == 1
+
+
+def test_merge_statement_names_both_sides(spark):
+    """No catalog with row-level writes is at hand; the statement is only parsed."""
+    text = merge_statement("lake.raw_dev.accounts", "v", ["account_id", "day"])
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
+    assert "MergeIntoTable" in plan and "lake, raw_dev, accounts" in plan
+    assert "('destino.account_id = 'cambios.account_id) AND ('destino.day = 'cambios.day)" in plan
+
+
+def test_credentials_of_the_command_line(monkeypatch):
+    from abono import cli
+    monkeypatch.setenv("DB_PASSWORD", "secret=1")
+    args = cli.parser().parse_args(["load", "--source", "jdbc:x", "--lake", "l", "--partitions", "9", "--buckets", "5", "--raw-catalog", "ice",
+                                    "--jdbc-option", "user=u", "--jdbc-option", "driver=a.B", "--jdbc-option", "password=env:DB_PASSWORD"])
+    cfg = cli.config(args)
+    options = cfg.source.options("accounts", 1, 9)
+    assert (options["user"], options["password"], options["driver"], options["numPartitions"]) == ("u", "secret=1", "a.B", "9")
+    assert cfg.buckets == 5 and cfg.raw_table("accounts") == "ice.raw_local.accounts"
+    with pytest.raises(ValueError):
+        cli.jdbc_options(["user"])
