@@ -1,8 +1,8 @@
 """Toxicity by maximum-scoring segments.
 
 Words and their beginnings have log-odds between toxic and other labelled documents, under a
-Dirichlet prior with the shares in all documents, shrunk by some standard errors towards 0. A
-word's score is that of itself or of one of its beginnings, whichever is the farthest from 0,
+Dirichlet prior with the shares in all documents, whose weight is a share of the words counted in
+the rarer class; they are shrunk by some standard errors towards 0. A word's score is that of itself or of one of its beginnings, whichever is the farthest from 0,
 less a drift. A linear scan finds every maximal segment of a text's word scores. How high
 segments rise by chance follows an extreme-value law, fitted to the best segments of labelled
 documents that are not toxic; a segment counts if its expected number in such a text is
@@ -32,10 +32,13 @@ class Params:
     slots_log2: int = 21
     #: Sketches by which near copies are told in the sample.
     sketches: int = 4
-    #: Weight of the prior, in words.
-    prior: float = 300_000.0
+    #: Weight of the prior, as a share of the words of the label with fewer. This and `significant`
+    #: had about the least log loss across folds of the rows that may be learned from.
+    prior_share: float = 0.3
+    #: Weight of the prior in words instead, where given.
+    prior: float | None = None
     #: Standard errors by which log-odds shrink.
-    significant: float = 4.0
+    significant: float = 2.0
     #: Bytes of the beginnings that count beside the whole word.
     stems: tuple[int, ...] = (4, 5)
     drift: float = 0.5
@@ -122,8 +125,9 @@ def _maximal(starts: np.ndarray, ends: np.ndarray, left: np.ndarray, right: np.n
 
 def one_of_copies(docs: DataFrame, text_col: str, p: Params) -> DataFrame:
     """Labelled texts without most near copies: of those with one of several least hashes of
-    three neighbouring words the same, one stays, so that copies are one witness, not many.
-    Short texts compare by all words."""
+    three neighbouring words the same, one stays, so that copies are one witness, not many: that of
+    the least text hash, of equal ones the least id, wherever the rows lie. Short texts compare by
+    all words."""
     names = [f"__least{k}" for k in range(p.sketches)]
 
     def make():
@@ -140,9 +144,12 @@ def one_of_copies(docs: DataFrame, text_col: str, p: Params) -> DataFrame:
         return run
 
     rows = per_document(docs, text_col, make, ", ".join(f"{x} long" for x in names), docs.columns)
+    rows = rows.withColumn("__th", F.xxhash64(text_col))
     for name in names:
-        rows = rows.dropDuplicates([name, "__label"])
-    return rows.drop(*names)
+        others = [c for c in rows.columns if c not in (name, "__label", "__th")]
+        first = F.min(F.struct("__th", *others)).alias("__first")
+        rows = rows.groupBy(name, "__label").agg(first).select(name, "__label", "__first.*")
+    return rows.select(*docs.columns)
 
 
 @dataclass
@@ -182,9 +189,10 @@ class Model:
 
 def log_odds(every: np.ndarray, toxic: np.ndarray, other: np.ndarray, p: Params) -> np.ndarray:
     """Log-odds by slot, shrunk towards 0."""
-    prior = p.prior * (every + 1e-3) / (every.sum() + 1e-3 * len(every))
+    weight = max(p.prior_share * min(toxic.sum(), other.sum()), 1.0) if p.prior is None else p.prior
+    prior = weight * (every + 1e-3) / (every.sum() + 1e-3 * len(every))
     def odds(n: np.ndarray) -> np.ndarray:
-        return np.log((n + prior) / (n.sum() + p.prior - n - prior))
+        return np.log((n + prior) / (n.sum() + weight - n - prior))
     delta = odds(toxic) - odds(other)
     error = np.sqrt(1 / (toxic + prior) + 1 / (other + prior))
     return (np.sign(delta) * np.maximum(np.abs(delta) - p.significant * error, 0)).astype(np.float32)
@@ -192,9 +200,11 @@ def log_odds(every: np.ndarray, toxic: np.ndarray, other: np.ndarray, p: Params)
 
 def extreme_value(best: np.ndarray, n_words: np.ndarray) -> tuple[float, float]:
     """(rate, size) of the law of the best chance score of n words, a Gumbel law around
-    log(size * n) / rate, from its mean and variance over texts without toxic words."""
+    log(size * n) / rate, from its mean and variance over texts without toxic words. Where these
+    texts have no segments, or all the same, the rate is that of log-odds, 1, and one segment is
+    expected in all of their words."""
     if len(best) < 2 or best.var() == 0:
-        return 1.0, 1.0
+        return 1.0, 1.0 / max(float(n_words.sum()), 1.0)
     log_n = np.log(n_words)
     rate = float(np.sqrt((np.pi**2 / 6 + log_n.var()) / best.var()))
     return rate, float(np.exp(np.clip(np.mean(rate * best - log_n) - np.euler_gamma, -30, 10)))
@@ -245,11 +255,11 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, lab
     counts = _counts(word_counts(marked, text_col, F.col("__label"), p).toArrow(), p)
     model = Model(log_odds(every, counts[1], counts[0], p), 1.0, 1.0, np.zeros(3), p)
     best = _best_scores(marked, model, text_col)
-    label, n_words, top = (best[c].to_numpy() for c in ("__label", "n_words", "top"))
+    label, n_words, top = _in_order(best, "__label", "n_words", "top")
     calm = (label == 0) & (n_words > 0)
     model.rate, model.size = extreme_value(top[calm], n_words[calm])
     measured = _measured(marked, model, text_col, ["__label"]).select("__label", "log_p", "log_e").toArrow()
-    y, log_p, log_e = (measured[c].to_numpy() for c in ("__label", "log_p", "log_e"))
+    y, log_p, log_e = _in_order(measured, "__label", "log_p", "log_e")
     if 0 < y.sum() < len(y):
         model.weights = logistic(model.inputs(log_p, log_e), y.astype(float))
     else:
@@ -258,6 +268,13 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, lab
     return model
 
 
+def _in_order(rows: pa.Table, *names: str) -> list[np.ndarray]:
+    """Columns sorted by all of them, so that sums of floats don't depend on where rows lay."""
+    columns = [rows[c].to_numpy() for c in names]
+    order = np.lexsort(columns)
+    return [c[order] for c in columns]
+
+
 def _best_scores(docs: DataFrame, model: Model, text_col: str) -> pa.Table:
     p = model.p
 
@@ -288,7 +305,8 @@ def toxicity(
 
     Learns from about params.sample of the labelled rows that `allowed` admits; word shares
     come from all documents. Null and empty texts have no segments and get the score of no
-    evidence. Repeated rows get equal scores. Without labels of both kinds all scores are
+    evidence. Repeated rows get equal scores, and scores are the same however rows are spread over
+    files or partitions. Without labels of both kinds all scores are
     the same."""
     model = train(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, allowed=allowed, p=params)
     return _measured(docs, model, text_col, keep or [id_col])

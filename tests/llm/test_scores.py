@@ -58,6 +58,28 @@ def test_sample_is_bounded_and_stable(labels):
     assert 20 < rows.count() <= 100 and rows.collect() == labelled(labels, "doc_id", "toxic", F.lit(True), 50).collect()
 
 
+def test_toxicity_by_the_counts_at_hand(docs, labels):
+    """With no prior named, at two sizes of the same kind of table: better than a constant."""
+    for n in (150, 600):
+        some = docs.where(f"doc_id < {n}")
+        scored = toxicity.toxicity(some, labels, allowed=remainder("doc_id", 3) != 1)
+        held = scored.where(remainder("doc_id", 3) == 1).select("doc_id", "score").distinct().collect()
+        right = [(r.score >= 0.5) == (r.doc_id % 3 == 0) for r in held]
+        assert len(right) > 30 and np.mean(right) > 0.9
+
+
+def test_toxicity_of_any_layout(spark, docs, labels):
+    """Copies whose witnesses differ by a word: which one is learned from must not depend on layout."""
+    near = [(1000 + i, f"word{i % 7} " * 3 + "vileword and the same long tail of words that every copy has " + f"own{i}", "x", "y") for i in range(60)]
+    rows = docs.unionByName(spark.createDataFrame(near, DDL))
+    marks = labels.unionByName(spark.createDataFrame([(1000 + i, 1, i % 2) for i in range(60)], labels.schema))
+    found = []
+    for layout in (rows.coalesce(1), rows.repartition(7, "text"), rows.orderBy(F.desc("doc_id")).repartition(3)):
+        scored = toxicity.toxicity(layout, marks, allowed=remainder("doc_id", 3) != 1)
+        found.append(sorted(((r.doc_id, r.score, r.n_segments) for r in scored.collect())))
+    assert found[0] == found[1] == found[2] and len({x[1] for x in found[0]}) > 2
+
+
 def best_segments(scores):
     """The best segment, then those of what is left and right of it."""
     if not len(scores):
