@@ -23,6 +23,8 @@ def parser() -> argparse.ArgumentParser:
                    help="user, password, driver and further options of the JDBC source;"
                         " NAME=env:VARIABLE takes the value from the environment")
     p.add_argument("--partitions", type=int, default=64, help="parallel ranges of a JDBC table")
+    p.add_argument("--even-ranges", action="store_true",
+                   help="JDBC ranges of equal row counts instead of equal width; the database sorts its keys for it")
     p.add_argument("--raw-catalog", help="catalog with row-level writes that raw tables are merged in")
     p.add_argument("--buckets", type=int, help="buckets that merged tables are first laid out in")
     p.add_argument("--lake", required=True, help="root folder of the lake, or of the reports")
@@ -47,7 +49,7 @@ def jdbc_options(given: list[str]) -> dict[str, str]:
 
 
 def config(args: argparse.Namespace) -> jobs.JobConfig:
-    source = (JdbcSource(args.source, jdbc_options(args.jdbc_option), args.partitions) if args.source.startswith("jdbc:")
+    source = (JdbcSource(args.source, jdbc_options(args.jdbc_option), args.partitions, even=args.even_ranges) if args.source.startswith("jdbc:")
               else FileSource(args.source))
     refreshed = (args.tables or list(fixed.RAW_TABLES)) if args.full_refresh else []
     return jobs.JobConfig(source, jobs.Lake(args.lake, args.env), tables=args.tables,

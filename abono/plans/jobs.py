@@ -16,6 +16,9 @@ from abono.sources.tables import read_tables, schema_name
 
 RAW, STAGING, SNAPSHOTS, ANALYTICS = "raw", "staging", "snapshots", "analytics"
 
+# The two newest segments of each account version, and the dates of scores they rest on.
+SEGMENTS, SEGMENT_DATES = "ultimos_segmentos", "ultimos_segmentos_fechas"
+
 # Snapshotted staging tables: name -> (source, key).
 SNAPSHOT_SOURCES = {
     "accounts_snapshot": ("stg_accounts", "id_cuenta"),
@@ -179,10 +182,36 @@ def _accounts_base(spark: SparkSession, lake: Lake, anew: bool = False) -> DataF
     return versions.load_replace(base, lake.path(ANALYTICS, "dim_cuentas_base"))
 
 
+def _keep_segments(spark: SparkSession, cfg: JobConfig, date) -> None:
+    """Bring the stored last and previous segments up to date with the scores of one date. The
+    first time, and after a run that failed between the scores and this, all scores are read: the
+    dates that the segments rest on are stored beside them."""
+    lake, path = cfg.lake, cfg.lake.path(ANALYTICS, SEGMENTS)
+    scores_path = lake.path(ANALYTICS, "fact_rfm")
+    dates = set(versions.fact_dates(spark, scores_path))
+    known = lake.maybe(spark, ANALYTICS, SEGMENT_DATES)
+    kept = lake.maybe(spark, ANALYTICS, SEGMENTS)
+    seen = {r.fecha for r in known.collect()} if known is not None else set()
+    if kept is None or dates - {str(date)} - seen:
+        fresh = dimensions.newest_segments(lake.read(spark, ANALYTICS, "fact_rfm"))
+        versions.load_buckets(fresh, path, "id_dim_cuenta", buckets=cfg.buckets)
+    else:
+        scores = versions.read_fact_date(spark, scores_path, date)
+        if scores is not None:
+            versions.load_upsert(dimensions.merged_segments(kept, scores), path, "id_dim_cuenta")
+    done = spark.createDataFrame([(d,) for d in sorted(dates)], "fecha string")
+    versions.load_replace(done.coalesce(1), lake.path(ANALYTICS, SEGMENT_DATES))
+
+
 def refresh_dim_cuentas(spark: SparkSession, cfg: JobConfig) -> None:
-    scores = cfg.lake.read(spark, ANALYTICS, "fact_rfm")
-    dim = dimensions.dim_cuentas(_accounts_base(spark, cfg.lake), scores)
-    versions.load_replace(dim, cfg.lake.path(ANALYTICS, "dim_cuentas"))
+    """dim_cuentas from the stored segments; where a date of scores is missing there, from all scores."""
+    lake = cfg.lake
+    kept, known = lake.maybe(spark, ANALYTICS, SEGMENTS), lake.maybe(spark, ANALYTICS, SEGMENT_DATES)
+    seen = {r.fecha for r in known.collect()} if known is not None else set()
+    if kept is None or set(versions.fact_dates(spark, lake.path(ANALYTICS, "fact_rfm"))) - seen:
+        kept = dimensions.newest_segments(lake.read(spark, ANALYTICS, "fact_rfm"))
+    dim = dimensions.with_segments(_accounts_base(spark, lake), kept)
+    versions.load_replace(dim, lake.path(ANALYTICS, "dim_cuentas"))
 
 
 def run_marts(spark: SparkSession, cfg: JobConfig, as_of) -> None:
@@ -225,7 +254,9 @@ def run_rfm(spark: SparkSession, cfg: JobConfig, as_of) -> DataFrame:
         lake.read(spark, STAGING, "stg_subscription_payments"),
         lake.read(spark, STAGING, "stg_accounts_subscription"),
         lake.read(spark, STAGING, "stg_account_premium_features"), as_of)
-    return versions.write_fact_rfm(fact, lake.path(ANALYTICS, "fact_rfm"))
+    written = versions.write_fact_rfm(fact, lake.path(ANALYTICS, "fact_rfm"))
+    _keep_segments(spark, cfg, str(as_of)[:10])
+    return written
 
 
 def run_full(spark: SparkSession, cfg: JobConfig, as_of, run_ts, refresh_dim: bool = False) -> None:

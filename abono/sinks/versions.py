@@ -249,6 +249,11 @@ def _fact_dates(spark: SparkSession, path: str) -> list[str]:
     return sorted(f"{path}/{n}" for n in names if n.startswith(f"{FACT_DATE}="))
 
 
+def fact_dates(spark: SparkSession, path: str) -> list[str]:
+    """Dates that have scores; one whose first load failed has none."""
+    return [d.rsplit("=", 1)[1] for d in _fact_dates(spark, path) if current_version(spark, d) is not None]
+
+
 def read_fact_rfm(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """The current state of every date."""
     folders = []
@@ -260,6 +265,12 @@ def read_fact_rfm(spark: SparkSession, path: str, schema: StructType | str) -> D
     return spark.read.schema(schema).parquet(*folders)
 
 
+def read_fact_date(spark: SparkSession, path: str, date) -> DataFrame | None:
+    """The scores of one date, no other date's files being read; None if there are none."""
+    found = read_current(spark, f"{path}/{FACT_DATE}={date}")
+    return None if found is None else found.withColumn(FACT_DATE, F.lit(str(date)).cast("date"))
+
+
 def write_fact_rfm(df: DataFrame, path: str) -> DataFrame:
     """Upsert on (date, account). Each date is a table of its own, whose loads never
     overwrite what is being read; only the dates at hand are read and written. Accounts

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import decimal
 import warnings
 from dataclasses import dataclass, field
 
@@ -42,12 +43,16 @@ class FrameSource:
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """Tables of a transactional database, read in parallel key ranges by the executors."""
+    """Tables of a transactional database, read in parallel key ranges by the executors. Ranges
+    are of equal width between the least and the greatest key, or, with `even`, of equal row
+    counts, by cut points that the database finds. Either is asked for once per table."""
 
     url: str
     properties: dict[str, str] = field(default_factory=dict)
     partitions: int = 64
     keys: dict[str, str] = field(default_factory=lambda: dict(RAW_KEYS))
+    even: bool = False
+    asked: dict[str, list] = field(default_factory=dict, compare=False, repr=False)
 
     def options(self, name: str, low=None, high=None) -> dict[str, str]:
         found = {"url": self.url, "dbtable": name, "fetchsize": "10000", **self.properties}
@@ -56,13 +61,36 @@ class JdbcSource:
                       "upperBound": str(high), "numPartitions": str(self.partitions)}
         return found
 
+    def cuts_query(self, name: str) -> str:
+        """The least key of each share of the rows but the first, as a table to read."""
+        key = self.keys[name]
+        shares = f"SELECT {key} AS k, ntile({self.partitions}) OVER (ORDER BY {key}) AS share FROM {name} WHERE {key} IS NOT NULL"
+        return f"(SELECT min(k) AS cut FROM ({shares}) s WHERE share > 1 GROUP BY share) b"
+
+    def ranges(self, name: str, cuts: list) -> list[str]:
+        """Predicates that every row meets exactly one of; null keys go with the lowest."""
+        key, cuts = self.keys[name], sorted(set(cuts))
+        if not cuts:
+            return ["1 = 1"]
+        shown = [f"'{c}'" if not isinstance(c, (int, decimal.Decimal)) else str(c) for c in cuts]
+        inner = [f"{key} >= {low} AND {key} < {high}" for low, high in zip(shown, shown[1:])]
+        return [f"{key} < {shown[0]} OR {key} IS NULL", *inner, f"{key} >= {shown[-1]}"]
+
+    def _ask(self, spark: SparkSession, name: str, query: str) -> list:
+        if name not in self.asked:
+            self.asked[name] = [tuple(r) for r in spark.read.format("jdbc").options(**self.options(query)).load().collect()]
+        return self.asked[name]
+
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         if name not in self.keys:
             return spark.read.format("jdbc").options(**self.options(name)).load()
         key = self.keys[name]
+        if self.even:
+            cuts = [cut for (cut,) in self._ask(spark, name, self.cuts_query(name))]
+            properties = {"fetchsize": "10000", **self.properties}
+            return spark.read.jdbc(self.url, name, predicates=self.ranges(name, cuts), properties=properties)
         bounds = f"(SELECT min({key}) AS low, max({key}) AS high FROM {name}) b"
-        row = spark.read.format("jdbc").options(**self.options(bounds)).load().first()
-        low, high = row[0], row[1]
+        (low, high), = self._ask(spark, name, bounds)
         return spark.read.format("jdbc").options(**self.options(name, low, high)).load()
 
 

@@ -592,6 +592,17 @@ simple("scd3_dim_contenidos", lambda d: d.dim_contenidos, "SELECT * FROM dim_con
 simple("scd4_dim_cuentas", lambda d: d.dim_cuentas, "SELECT * FROM dim_cuentas")
 
 
+@query("scd4_kept_segments", "SELECT * FROM dim_cuentas")
+def _(d):
+    """Segments stored after the earlier date, and brought up to date by the later one alone."""
+    path = scratch(d, "scd4")
+    kept = versions.load_buckets(dimensions.newest_segments(d.fact_rfm(EARLIER)), path, "id_dim_cuenta")
+    kept = versions.load_upsert(dimensions.merged_segments(kept, d.fact_rfm_latest), path, "id_dim_cuenta")
+    return dimensions.with_segments(d.dim_cuentas_base_stored, kept)
+
+
+
+
 # Lifecycle and scoring.
 
 simple("sub1_lifecycle", lambda d: d.fact_suscripciones, "SELECT * FROM fact_suscripciones")

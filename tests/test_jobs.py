@@ -1,8 +1,10 @@
 import pytest
+from pyspark.sql import functions as F
 
 from abono import cli, fixed
-from abono.plans import jobs
+from abono.plans import dimensions, jobs
 from abono.schemas import RAW_SCHEMAS
+from abono.sinks import versions
 from abono.sources.tables import FrameSource
 from tests.conftest import day, rows
 
@@ -61,6 +63,20 @@ def test_two_days(spark, frame, tmp_path):
     # Scoring the same date again is an upsert.
     again = jobs.run_rfm(spark, cfg, "2024-01-01")
     assert again.count() == 3  # the earlier score of account 1's first version stays
+
+    # The stored segments follow each date, and a date that they missed is made up for.
+    def segments():
+        return rows(lake.read(spark, "analytics", jobs.SEGMENTS))
+    assert segments() == rows(dimensions.newest_segments(read("analytics", "fact_rfm")))
+    jobs.run_rfm(spark, cfg, "2024-01-02")
+    assert segments() == rows(dimensions.newest_segments(read("analytics", "fact_rfm")))
+    missed = read("analytics", "fact_rfm").filter("id_dim_fecha_rfm = '2024-01-02'").withColumn(
+        "id_dim_fecha_rfm", F.lit("2024-01-03").cast("date"))
+    versions.write_fact_rfm(missed, lake.path("analytics", "fact_rfm"))
+    jobs.refresh_dim_cuentas(spark, cfg)
+    assert day("2024-01-03") in {r[0] for r in rows(read("analytics", "dim_cuentas"), "fecha_rfm_ultimo")}
+    jobs.run_rfm(spark, cfg, "2024-01-01")
+    assert segments() == rows(dimensions.newest_segments(read("analytics", "fact_rfm")))
     checked = jobs.run_validation(spark, cfg, "2024-01-02")
     assert checked.filter("status = 'ERROR'").isEmpty()
 

@@ -156,6 +156,18 @@ def test_jdbc_options_split_on_the_key():
     assert "partitionColumn" not in source.options("accounts")
 
 
+def test_jdbc_ranges_of_equal_row_counts(spark, frame):
+    """The texts only: cut points and predicates run here over a view, not over JDBC."""
+    source = JdbcSource("jdbc:x", partitions=4, keys={"cuentas_v": "k"}, even=True)
+    keys = [*range(100), *[10**9 + i for i in range(300)], 5, 5, None, None]
+    frame([(k,) for k in keys], "k bigint").createOrReplaceTempView("cuentas_v")
+    cuts = [r.cut for r in spark.sql(f"SELECT cut FROM {source.cuts_query('cuentas_v')}").collect()]
+    sizes = [spark.table("cuentas_v").where(p).count() for p in source.ranges("cuentas_v", cuts)]
+    assert len(sizes) == 4 and sum(sizes) == len(keys) and max(sizes) < 110
+    assert source.ranges("cuentas_v", []) == ["1 = 1"] and len(source.ranges("cuentas_v", [7, 7])) == 2
+    assert source.ranges("cuentas_v", ["b", "a"])[1] == "k >= 'a' AND k < 'b'"
+
+
 def test_numbers_beyond_eight_digits_and_release(spark, frame, tmp_path):
     path = str(tmp_path / "t")
     frame([(1,)], "k int").write.parquet(f"{path}/v99999999")

@@ -130,3 +130,20 @@ def test_dim_cuentas_last_and_previous_segment(frame):
         ("a", 1, "Z", day("2024-01-01"), "Y", day("2023-07-01")),
         ("b", 2, "Q", day("2024-01-01"), none, never),
         ("c", 3, none, never, none, never)]
+
+
+def test_segments_kept_up_by_date_are_those_of_all_scores(frame):
+    ddl = "id_dim_cuenta string, segmento_rfm string, id_dim_fecha_rfm date"
+    runs = [("2024-02-01", {"a": "S1", "b": "S2"}), ("2024-04-01", {"a": "S3", "c": None}),
+            ("2024-03-01", {"a": "S4", "b": "S5", "c": "S6"}), ("2024-01-01", {"a": "S7", "b": "S8"}),
+            ("2024-04-01", {"a": "S9"})]
+    every, kept = {}, dimensions.newest_segments(frame([], ddl))
+    for date, found in runs:
+        every |= {(k, date): v for k, v in found.items()}
+        new = frame([(k, v, date) for k, v in found.items()], ddl)
+        merged = dimensions.merged_segments(kept, new)
+        assert merged.columns == kept.columns
+        kept = frame([tuple(r) for r in kept.join(new, "id_dim_cuenta", "left_anti").unionByName(merged).collect()],
+                     "id_dim_cuenta string, s1 string, f1 date, s2 string, f2 date")
+        want = dimensions.newest_segments(frame([(k, v, d) for (k, d), v in every.items()], ddl))
+        assert rows(kept) == rows(want)
