@@ -88,7 +88,7 @@ def anchored_strings(docs: DataFrame, p: Params) -> DataFrame:
                 ], names=["__id", "__th", "key", "whole", "a", "z"])
 
     kind = docs.schema["__id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"__id {kind}, __th int, key long, whole long, a int, z int")
+    return docs.mapInArrow(run, f"__id {kind}, __th binary, key long, whole long, a int, z int")
 
 
 def window_order(data: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -269,7 +269,7 @@ def split_windows(strings: DataFrame, p: Params, keep_first: bool) -> DataFrame:
                     names=["key", "whole", "id", "th", "a", "h1", "h2", "w"])
 
     kind = strings.schema["id"].dataType.simpleString()
-    rows = strings.select("key", "whole", "id", "th", "a", "body").mapInArrow(windows, f"key long, whole long, id {kind}, th int, a int, h1 long, h2 long, w int")
+    rows = strings.select("key", "whole", "id", "th", "a", "body").mapInArrow(windows, f"key long, whole long, id {kind}, th binary, a int, h1 long, h2 long, w int")
     rows = rows.withColumn("first", F.struct("id", "th", (F.col("a") + F.col("w")).alias("a")))
     same = rows.groupBy("key", "h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("least"))
     hit = rows.join(same.where("n > 1"), ["key", "h1", "h2"])
@@ -349,10 +349,11 @@ def remove_repeats(
     covers it also starts earlier (keep_first) or anywhere else in the documents.
 
     Earlier means a lower id, of equal ids a lower hash of the text, of equal texts a lower
-    place; rows alike in id and text lose and keep the same. Null and empty texts, and those
+    place; rows alike in id and text lose and keep the same. A text is named by its id and 128 bits
+    of hash, so null or repeated ids don't mix texts up. Null and empty texts, and those
     shorter than a window, lose nothing. Null ids come first."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("__id"), F.hash(text).alias("__th"), text.alias("__text"))
+    rows = docs.select(F.col(id_col).alias("__id"), F.unhex(F.md5(text.cast("binary"))).alias("__th"), text.alias("__text"))
     spans = removed_spans(rows, params, keep_first)
     same = rows["__id"].eqNullSafe(spans["__id"]) & (rows["__th"] == spans["__th"])
     joined = rows.join(spans.hint("merge"), same, "left").select(rows["__id"], F.col("__text").cast("binary").alias("t"), "spans")

@@ -6,6 +6,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from abono.llm import jaccard, repeats
 from abono.llm.graph import components
@@ -174,3 +175,17 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 104)}, **{i: 300 for i in range(300, 320)}}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_repeats_of_null_ids_whose_texts_share_a_short_hash(spark):
+    """Two texts without ids and with equal 32-bit hashes: only the one that repeats loses bytes."""
+    texts = spark.range(200_000).select(F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    same = texts.groupBy(F.hash("t").alias("h")).agg(F.sort_array(F.collect_list("t")).alias("t")).where("size(t) > 1")
+    twice, alone = same.orderBy("h").first()["t"][:2]
+    docs = spark.createDataFrame([(None, twice), (None, alone), (1, twice)], "doc_id long, text string")
+    params = repeats.Params(length=24, gram=8)
+    for first, lost in ((False, {(None, twice): 64, (None, alone): 0, (1, twice): 64}),
+                        (True, {(None, twice): 0, (None, alone): 0, (1, twice): 64})):
+        got = repeats.remove_repeats(docs, keep_first=first, params=params).collect()
+        kept = sorted((r.doc_id is None, bytes(r.kept).decode()) for r in got)
+        assert kept == sorted((i is None, "" if n else t) for (i, t), n in lost.items())
