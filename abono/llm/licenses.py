@@ -9,9 +9,11 @@ and punctuation count as no edits."""
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, insort
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
+from heapq import heapify, heappop, heappush
 from itertools import pairwise
 
 import ahocorasick
@@ -54,7 +56,6 @@ class Notice:
     text: str
     label: str
     edits: int
-    pattern: regex.Pattern
 
     @property
     def seeds(self) -> list[tuple[int, str]]:
@@ -62,14 +63,42 @@ class Notice:
         cuts = [len(self.text) * i // (self.edits + 1) for i in range(self.edits + 2)]
         return [(a, self.text[a:b]) for a, b in pairwise(cuts)]
 
+    @cached_property
+    def patterns(self) -> list[regex.Pattern]:
+        """By the edits allowed."""
+        return [regex.compile(f"(?:{regex.escape(self.text)}){{e<={e}}}") for e in range(self.edits + 1)]
+
+    @cached_property
+    def masks(self) -> dict[str, int]:
+        """Bits of the places of each character."""
+        return {c: sum(1 << i for i, x in enumerate(self.text) if x == c) for c in set(self.text)}
+
+    def nearest(self, text: str) -> tuple[int, int]:
+        """(edits, end) of the first substring with the fewest edits, by a column of the edit
+        distances' differences per character, as bits of two integers. More edits than allowed
+        are one more than that."""
+        masks, size = self.masks, len(self.text)
+        full, top = (1 << size) - 1, 1 << (size - 1)
+        up, down, score = full, 0, size
+        best, end = self.edits + 1, 0
+        for i, c in enumerate(text):
+            same = masks.get(c, 0)
+            level = (((same & up) + up) ^ up) | same
+            more, less = (down | ~(level | up)) & full, up & level
+            if more & top:
+                score += 1
+            elif less & top:
+                score -= 1
+            more <<= 1
+            up, down = ((less << 1) | ~(same | down | more)) & full, more & (same | down) & full
+            if score < best:
+                best, end = score, i + 1
+        return best, end
+
 
 def notices(table: dict[str, str], share: float) -> list[Notice]:
     """Edits allowed: `share` of a notice's characters, but parts of at least six."""
-    made = []
-    for text, label in table.items():
-        edits = min(int(len(text) * share), len(text) // 6 - 1)
-        made.append(Notice(text, label, edits, regex.compile(f"(?b)(?:{regex.escape(text)}){{e<={edits}}}")))
-    return made
+    return [Notice(text, label, min(int(len(text) * share), len(text) // 6 - 1)) for text, label in table.items()]
 
 
 def plain(piece: Piece) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -105,25 +134,27 @@ def phrase_places(flat: bytes, phrase: str) -> list[int]:
     return places
 
 
-def occurrences(flat: str, k: int, notice: Notice, begin: int, end: int) -> list[tuple[int, int, int, int]]:
-    """(start, end, k, edits) of the notice in flat[begin:end]: the best match, and again what
-    is before it and after it, until nothing is found."""
-    spans, rest = [], [(begin, end)]
-    while rest:
-        a, b = rest.pop()
-        if b - a < len(notice.text) - notice.edits:
-            continue
-        m = notice.pattern.search(flat, a, b)
-        if m and m.end() > m.start():
-            spans.append((m.start(), m.end(), k, sum(m.fuzzy_counts)))
-            rest += [(a, m.start()), (m.end(), b)]
-    return spans
+#: A match: edits, less its length, start, end, notice, and the range it was sought in.
+Match = tuple[int, int, int, int, int, int, int]
 
 
-def fuzzy_spans(flat: str, found: Sequence[Notice], automaton: ahocorasick.Automaton) -> list[tuple[int, int, int, int]]:
-    """(start, end, notice, edits) of the notices in `flat`, none across a line feed; of
-    overlapping ones the one with the fewest edits, then the longer and the earlier."""
-    around: dict[int, list[tuple[int, int]]] = {}
+def best_match(flat: str, k: int, notice: Notice, begin: int, end: int) -> list[Match]:
+    """The first match of the notice in flat[begin:end] with the fewest edits, if there is one.
+    The pattern is asked for no more edits than that, as its time grows fast with them."""
+    size = len(notice.text)
+    if end - begin < size - notice.edits:
+        return []
+    edits, last = notice.nearest(flat[begin:end])
+    if edits > notice.edits:
+        return []
+    m = notice.patterns[edits].search(flat, max(begin, begin + last - size - edits), begin + last)
+    return [(edits, m.start() - m.end(), m.start(), m.end(), k, begin, end)]
+
+
+def seed_ranges(flat: str, found: Sequence[Notice], automaton: ahocorasick.Automaton) -> set[tuple[int, int, int]]:
+    """(notice, start, end): a notice that a seed belongs to lies in there as a whole, and no
+    line feed does."""
+    out = set()
     for last, hits in automaton.iter(flat):
         for k, offset, size in hits:
             seed = last - size + 1
@@ -133,24 +164,30 @@ def fuzzy_spans(flat: str, found: Sequence[Notice], automaton: ahocorasick.Autom
             low = max(flat.rfind("\n", max(0, first - notice.edits), seed) + 1, first - notice.edits, 0)
             high = min(first + len(notice.text) + notice.edits, len(flat))
             feed = flat.find("\n", last, high)
-            around.setdefault(k, []).append((low, high if feed < 0 else feed))
-    spans = []
-    for k, parts in around.items():
-        parts.sort()
-        merged = [list(parts[0])]
-        for a, b in parts[1:]:
-            # ranges of two documents have the line feed between them
-            if a <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], b)
-            else:
-                merged.append([a, b])
-        for a, b in merged:
-            spans += occurrences(flat, k, found[k], a, b)
+            out.add((k, low, high if feed < 0 else feed))
+    return out
+
+
+def fuzzy_spans(flat: str, found: Sequence[Notice], automaton: ahocorasick.Automaton) -> list[tuple[int, int, int, int]]:
+    """(start, end, notice, edits) of the notices in `flat`, none across a line feed. The match
+    with the fewest edits, then the longer and the earlier, is taken first; every other one has to
+    lie in what is then free, and is sought there again if it does not. A search never leaves the
+    few characters around its seed, so the time grows with the number of seeds."""
+    heap = [m for k, a, b in seed_ranges(flat, found, automaton) for m in best_match(flat, k, found[k], a, b)]
+    heapify(heap)
     taken: list[tuple[int, int, int, int]] = []
-    for span in sorted(spans, key=lambda x: (x[3], x[0] - x[1], x)):
-        at = bisect_left(taken, span)
-        if (at == 0 or taken[at - 1][1] <= span[0]) and (at == len(taken) or span[1] <= taken[at][0]):
-            taken.insert(at, span)
+    while heap:
+        edits, _, start, end, k, a, b = heappop(heap)
+        low = bisect_left(taken, (a,))
+        low -= low > 0 and taken[low - 1][1] > a
+        high = bisect_left(taken, (b,), low)
+        used = [(x[0], x[1]) for x in taken[low:high]]
+        if all(y <= start or end <= x for x, y in used):
+            insort(taken, (start, end, k, edits))
+            used = sorted([*used, (start, end)])
+        for x, y in pairwise([(a, a), *used, (b, b)]):
+            for m in best_match(flat, k, found[k], x[1], y[0]):
+                heappush(heap, m)
     return taken
 
 
@@ -175,10 +212,12 @@ def scanner(table: dict[str, str], phrases: dict[str, str], share: float):
             other: list[list[dict]] = [[] for _ in range(n)]
             text_at = lambda at: int(np.searchsorted(begin, at, side="right")) - 1
             letters = np.frombuffer(flat, dtype=np.uint8)
+            spaces = np.flatnonzero(letters == space)
+            points = np.concatenate([[0], np.cumsum((piece.data & 0xC0) != 0x80)])
             for phrase, label in phrases.items():
                 for at in phrase_places(flat, phrase):
                     i = text_at(at)
-                    word = int(np.count_nonzero(letters[begin[i] + 1:at] == space))
+                    word = int(np.searchsorted(spaces, at) - np.searchsorted(spaces, begin[i] + 1))
                     base[i].append({"label": label, "first_word": word})
             for a, b, k, edits in fuzzy_spans(flat.decode("latin-1"), found, automaton):
                 while a < b and letters[a] <= space:
@@ -189,9 +228,8 @@ def scanner(table: dict[str, str], phrases: dict[str, str], share: float):
                     continue
                 i = text_at(a)
                 first, last = int(place[a]), int(place[b - 1]) + 1
-                head = piece.data[piece.offsets[i]:first]
-                start = int(np.count_nonzero((head & 0xC0) != 0x80))
-                size = int(np.count_nonzero((piece.data[first:last] & 0xC0) != 0x80))
+                start = int(points[first] - points[piece.offsets[i]])
+                size = int(points[last] - points[first])
                 other[i].append({"label": found[k].label, "notice": found[k].text, "start": start, "end": start + size,
                                  "edits": edits, "score": 1 - edits / len(found[k].text)})
             return {"n_words": np.diff(words.cuts), "phrases": base, "notices": other}

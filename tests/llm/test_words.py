@@ -1,6 +1,7 @@
 """Decontamination, licenses, secrets, spot signatures and pieces against plain Python."""
 import hashlib
 import itertools
+import random
 import re
 
 import numpy as np
@@ -102,6 +103,71 @@ def test_neighbouring_notices(spark):
         assert sorted((x["start"], x["end"], x["edits"]) for x in got) == [(size * i, size * i + len(good), int(t == edited)) for i, t in enumerate(order)]
 
 
+def least_edits(text, notice):
+    """Fewest edits with which the notice is a substring of the text, row by row."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(notice, 1):
+        before, row = row, [i]
+        for j, d in enumerate(text, 1):
+            row.append(min(before[j - 1] + (c != d), before[j] + 1, row[j - 1] + 1))
+    return min(row)
+
+
+def test_edited_notices_against_edit_distances():
+    """Spans are apart, hold their notice with the edits they name, and leave nothing out: the
+    free stretches between them have no notice with as many edits as allowed."""
+    rng = random.Random(7)
+    found = licenses.notices({k: v for k, v in licenses.NOTICES.items() if len(k) < 50}, 0.1)
+    scan = licenses.scanner({x.text: x.label for x in found}, licenses.PHRASES, 0.1)()
+    texts = []
+    for _ in range(25):
+        parts = []
+        for _ in range(rng.randrange(6)):
+            t = rng.choice(found).text
+            for _ in range(rng.randrange(6)):
+                i = rng.randrange(len(t))
+                t = t[:i] + rng.choice(["", "e", "xy", t[i] + "n"]) + t[i + 1:]
+            parts.append(t[rng.randrange(3):])
+            parts.append(rng.choice(["", "and the license of", "b"]))
+        texts.append(" ".join(" ".join(parts).split()))
+    spans = scan(piece_of(texts))["notices"]
+    assert sum(map(len, spans)) > 20
+    for text, own in zip(texts, spans):
+        own = sorted(own, key=lambda x: x["start"])
+        edges = [(0, 0), *[(x["start"], x["end"]) for x in own], (len(text), len(text))]
+        assert all(a[1] <= b[0] for a, b in itertools.pairwise(edges))
+        by = {x.text: x for x in found}
+        for x in own:
+            # spaces at the ends of a match are no part of its span
+            around = f" {text} "[x["start"]:x["end"] + 2]
+            assert least_edits(around, x["notice"]) <= x["edits"] <= by[x["notice"]].edits
+        for a, b in itertools.pairwise(edges):
+            free = text[a[1]:b[0]]
+            assert all(least_edits(free, x.text) > x.edits for x in found), free
+    for notice in found:
+        for text in texts[:8]:
+            least = least_edits(text, notice.text)
+            assert notice.nearest(text)[0] == min(least, notice.edits + 1)
+
+
+def test_very_many_notices_in_one_text():
+    """Work grows with the text: each notice is compared with a bounded number of characters."""
+    scan = licenses.scanner(licenses.NOTICES, licenses.PHRASES, 0.1)()
+    edited = "licensed under the apache licence version 2 0 "
+    asked = []
+    for n in (200, 400):
+        seen, nearest = [], licenses.Notice.nearest
+        licenses.Notice.nearest = lambda self, text: seen.append(len(text)) or nearest(self, text)
+        try:
+            made = scan(piece_of([edited * n]))
+        finally:
+            licenses.Notice.nearest = nearest
+        assert [len(x) for x in made["notices"]] == [n]
+        asked.append(sum(seen))
+    assert asked[1] < 2.1 * asked[0]
+    assert [x["first_word"] for x in scan(piece_of(["mit license " * 50_000]))["phrases"][0]] == list(range(0, 100_000, 2))
+
+
 def base(text):
     found = [(m.start(), 0, m.end()) for m in re.finditer(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 12]
     found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
