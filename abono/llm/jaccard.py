@@ -99,18 +99,19 @@ def _nodes(grams: np.ndarray, cuts: np.ndarray) -> np.ndarray:
 
 def fragment_keys(grams: np.ndarray, cuts: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
     """(text, key) of the non-empty fragments of each set, for the classes in which it can be
-    linked: its own, and the next one if a linked set may be that large. Sets that fill no
-    more fragments than may differ add a key for the class alone: two of those might have no
-    equal fragment that is not empty."""
+    linked: its own, and the next ones if a linked set may be that large. A set that fills more
+    fragments than it may differ in from any linked set has one of those in common with each of
+    them. The few others, which might only have empty ones in common, add their least n-grams, as
+    many as hold one of every linked set's: two such sets have one of these in common."""
     tops, fragments = p.classes()
     n = np.diff(cuts)
     own = np.searchsorted(tops, n)
     largest = np.array([int(x / p.least) for x in n.tolist()], dtype=np.int64)
     texts, keys = [], []
-    for plus in (0, 1):
-        there = np.flatnonzero((n > 0) & ((plus == 0) | (largest > tops[own])))
+    for plus in range(len(tops)):
+        there = np.flatnonzero((n > 0) & ((plus == 0) | (largest > tops[np.maximum(own + plus - 1, 0)])))
         if not len(there):
-            continue
+            break
         kind = own[there] + plus
         at = ranges(cuts[there], n[there])
         text = np.repeat(there, n[there])
@@ -119,13 +120,16 @@ def fragment_keys(grams: np.ndarray, cuts: np.ndarray, p: Params) -> tuple[np.nd
         new = np.ones(len(at), dtype=bool)
         new[1:] = (fragment[1:] != fragment[:-1]) | (text[1:] != text[:-1])
         first = np.flatnonzero(new)
-        content = np.add.reduceat(mixed(grams[at]), first) if len(first) else np.zeros(0, np.uint64)
+        content = np.add.reduceat(mixed(grams[at]), first)
         texts.append(text[first])
         keys.append(mixed(content + mixed(fragment[first] + (kinds[first].astype(np.uint64) << np.uint64(40)))))
         filled = np.bincount(text[first], minlength=len(n))[there]
-        few = filled <= [p.differ(2 * int(t)) for t in tops[kind]]
-        texts.append(there[few])
-        keys.append(mixed(mixed(kind[few].astype(np.uint64) + np.uint64(1 << 60))))
+        total = n[there] + np.minimum(largest[there], tops[kind])
+        few = filled <= [p.differ(x) for x in total.tolist()]
+        bare, kind = there[few], kind[few]
+        least = n[bare] + 1 + (-n[bare] * p.least.numerator) // p.least.denominator
+        texts.append(np.repeat(bare, least))
+        keys.append(mixed(mixed(grams[ranges(cuts[bare], least)]) + mixed(np.repeat(kind, least).astype(np.uint64) + np.uint64(1 << 60))))
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *texts]), np.concatenate([none.view(np.uint64), *keys])
 

@@ -154,15 +154,15 @@ def test_jaccard_pivot_has_the_nodes_set(spark, monkeypatch):
 def test_fragments_meet():
     """Any two linked sets have a key in common."""
     rng = np.random.default_rng(6)
-    for least in (Fraction(9, 10), Fraction(8, 10)):
+    for least, lost, more in ((Fraction(9, 10), 0.1, 0.05), (Fraction(8, 10), 0.1, 0.05), (Fraction(8, 10), 0.2, 0.02), (Fraction(1, 2), 0.4, 0.1)):
         p = jaccard.Params(least=least)
-        for _ in range(300):
+        for _ in range(1_000):
             a = set(rng.integers(0, 1 << 62, int(rng.integers(1, 60))).tolist())
             b = set(a)
             for x in list(a):
-                if rng.random() < 0.1:
+                if rng.random() < lost:
                     b.discard(x)
-                if rng.random() < 0.05:
+                if rng.random() < more:
                     b.add(int(rng.integers(0, 1 << 62)))
             if b and len(a & b) * least.denominator >= len(a | b) * least.numerator:
                 grams = [np.array(sorted(x), dtype=np.uint64) * np.uint64(4) for x in (a, b)]
@@ -170,6 +170,30 @@ def test_fragments_meet():
                 assert set(key[text == 0].tolist()) & set(key[text == 1].tolist())
 
 
+@pytest.mark.parametrize("size", [4, 9, 19, 62, 94])
+def test_unlike_sets_have_no_key_in_common(size):
+    """Also those that fill few fragments: no key stands for a whole size class."""
+    rng = np.random.default_rng(size)
+    grams = np.sort(rng.integers(0, 1 << 62, (5_000, size)).astype(np.uint64) * np.uint64(4), axis=1).ravel()
+    p = jaccard.Params(words=5, least=Fraction(8, 10))
+    text, key = jaccard.fragment_keys(grams, np.arange(5_001) * size, p)
+    assert len(np.unique(key)) == len(key) and len(np.unique(text)) == 5_000
+
+
+def test_very_many_unlike_documents(spark):
+    """100,000 documents of 19 five-word runs, and two near copies: nothing else is connected."""
+    word = lambda i: F.concat(F.lit("w"), F.pmod(F.xxhash64("id", F.lit(i)), F.lit(50_000)))
+    docs = spark.range(100_000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[word(i) for i in range(23)]).alias("text"))
+    near = docs.where("doc_id = 70000").select((F.col("doc_id") + 100_000).alias("doc_id"), F.concat("text", F.lit(" end")).alias("text"))
+    docs = docs.unionByName(near)
+    p = jaccard.Params(words=5, least=Fraction(8, 10))
+    marks = jaccard.nodes_of(docs, ["doc_id", "text"], params=p)
+    assert jaccard._keyed(docs, "text", p).groupBy("key").agg(F.countDistinct("node").alias("n")).agg(F.max("n")).first()[0] == 2
+    got = jaccard.jaccard_classes(docs, params=p).where("component_id != doc_id").collect()
+    assert [(r.doc_id, r.component_id, r.n_shingles) for r in got] == [(170_000, 70_000, 20)]
+    assert marks.where("n_shingles != 19").count() == 1
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (102, 103), (200, 200)] + [(300 + i, 300) for i in range(1, 20)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
