@@ -269,6 +269,19 @@ def check_loaded(source: DataFrame, target: DataFrame, column: str, now, table:
     both = source.agg(F.count("*").alias("s"), none.alias("t"), never.alias("newest")).unionByName(
         target.agg(none.alias("s"), F.count("*").alias("t"), F.max(as_ts(column)).alias("newest"))
     ).agg(F.sum("s").alias("s"), F.sum("t").alias("t"), F.max("newest").alias("newest"))
+    return _loaded(both, column, now, table, hours)
+
+
+def check_observed(source: DataFrame, rows: int, newest: str | None, column: str, now, table: str,
+                   hours: int = fixed.FRESHNESS_HOURS) -> DataFrame:
+    """check_loaded where the target's row count and newest moment are known from its load."""
+    both = source.agg(F.count("*").alias("s")).select(
+        "s", F.lit(rows).cast("bigint").alias("t"), F.lit(newest).cast("timestamp_ntz").alias("newest"))
+    return _loaded(both, column, now, table, hours)
+
+
+def _loaded(both: DataFrame, column: str, now, table: str, hours: int) -> DataFrame:
+    """Results of one row: s and t rows on either side, and the target's newest moment."""
     age, status, detail = _freshness(F.col("newest"), now, hours)
     counts = F.struct(
         F.lit("row_count").alias("check_name"), F.lit(None).cast("string").alias("column_name"),

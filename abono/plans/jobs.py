@@ -12,6 +12,7 @@ from abono.operators.history import new_versions
 from abono.plans import dimensions, lifecycle, quality, rfm, staging
 from abono.schemas import MONEY, RAW_KEYS
 from abono.sinks import versions
+from abono.sinks.facts import Facts
 from abono.sources.tables import read_tables, schema_name
 
 RAW, STAGING, SNAPSHOTS, ANALYTICS = "raw", "staging", "snapshots", "analytics"
@@ -113,6 +114,10 @@ class RawSource:
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         return self.cfg.raw(spark, name)
 
+    def facts(self, spark: SparkSession, name: str, cursor: str) -> Facts | None:
+        """What the loads observed; a catalog's tables have nothing of the kind."""
+        return None if self.cfg.raw_catalog else versions.loaded_facts(spark, self.cfg.lake.path(RAW, name), cursor)
+
 
 def run_load(spark: SparkSession, cfg: JobConfig) -> None:
     for name, df in read_tables(spark, cfg.source, cfg.tables).items():

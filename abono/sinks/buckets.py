@@ -14,6 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from abono.sinks.facts import write_observed
+
 BUCKET = "cubeta"
 #: Buckets of a table unless its first load names another number. A bucket should hold what a task
 #: rewrites with ease, so a very large table needs thousands.
@@ -40,11 +42,19 @@ def bucket_of(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def write_buckets(df: DataFrame, folder: str, keys: list[str], buckets: int) -> None:
+def write_buckets(df: DataFrame, folder: str, keys: list[str], buckets: int, cursor: str | None = None,
+                  hit: set[int] | None = None) -> None:
     """One subfolder per bucket that df has rows of. Rows go to the tasks by bucket, so that a
-    bucket is one file."""
+    bucket is one file. Where `hit`, the buckets that df may have rows of, is given, their facts are
+    kept."""
+    def write(rows: DataFrame) -> None:
+        rows.write.mode("errorifexists").partitionBy(BUCKET).parquet(folder)
+
     dealt = df.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(BUCKET)
-    dealt.write.mode("errorifexists").partitionBy(BUCKET).parquet(folder)
+    if hit is None:
+        write(dealt)
+    else:
+        write_observed(dealt, folder, cursor, write, BUCKET, hit)
 
 
 def list_buckets(spark: SparkSession, path: str, folder: str) -> dict[int, str]:

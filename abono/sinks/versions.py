@@ -27,6 +27,7 @@ from abono.operators.merge import above, merge_into_table, merge_upsert, one_per
 from abono.operators.shared import materialize
 from abono.sinks import buckets as b
 from abono.sinks.buckets import BUCKETS, Manifest
+from abono.sinks.facts import Facts, read_facts, together, write_observed
 
 RUN, OPEN = "run", "abierta"
 
@@ -89,27 +90,46 @@ def read_current(spark: SparkSession, path: str) -> DataFrame | None:
     return None if number is None else _read(spark, path, manifest, loose)
 
 
-def load_replace(df: DataFrame, path: str) -> DataFrame:
+def _write(df: DataFrame, folder: str, cursor: str | None) -> None:
+    write_observed(df, folder, cursor, lambda rows: rows.write.mode("errorifexists").parquet(folder))
+
+
+def load_replace(df: DataFrame, path: str, cursor: str | None = None) -> DataFrame:
     """Full replace; returns the table."""
     spark = df.sparkSession
-    df.write.mode("errorifexists").parquet(_next(spark, path, "v"))
+    _write(df, _next(spark, path, "v"), cursor)
     return read_current(spark, path)
 
 
-def load_append(df: DataFrame, path: str) -> DataFrame:
+def load_append(df: DataFrame, path: str, cursor: str | None = None) -> DataFrame:
     spark = df.sparkSession
     if current_version(spark, path) is None:
-        return load_replace(df, path)
-    df.write.mode("errorifexists").parquet(_next(spark, path, "a"))
+        return load_replace(df, path, cursor)
+    _write(df, _next(spark, path, "a"), cursor)
     return read_current(spark, path)
 
 
-def _write_buckets(rows: DataFrame, path: str, kept: dict[int, str], keys: list[str], buckets: int) -> DataFrame:
+def loaded_facts(spark: SparkSession, path: str, cursor: str) -> Facts | None:
+    """Row count and newest cursor of the table as it stands, from what its loads observed: no row
+    is read. None if some part of it was written without that."""
+    number, manifest, loose = _state(spark, path)
+    if number is None:
+        return None
+    parts = [read_facts(spark, folder).get("") for folder in loose]
+    if manifest is not None:
+        at = [place.rsplit("/", 1) for place in manifest.folders.values()]
+        held = {folder: read_facts(spark, f"{path}/{folder}") for folder in {folder for folder, _ in at}}
+        parts += [held[folder].get(bucket.split("=")[1]) for folder, bucket in at]
+    return together(parts, cursor)
+
+
+def _write_buckets(rows: DataFrame, path: str, kept: dict[int, str], keys: list[str], buckets: int,
+                   cursor: str | None = None) -> DataFrame:
     """Write rows as buckets, and a manifest of them and the kept ones; returns the table."""
     spark = rows.sparkSession
     number = _next_number(spark, path)
     folder = f"u{number:08d}"
-    b.write_buckets(rows, f"{path}/{folder}", keys, buckets)
+    b.write_buckets(rows, f"{path}/{folder}", keys, buckets, cursor, set(range(buckets)) - set(kept))
     found = kept | b.list_buckets(spark, path, folder)
     b.write_manifest(spark, path, f"m{number:08d}", Manifest(keys, buckets, rows.schema, found))
     return read_current(spark, path)
@@ -119,7 +139,7 @@ def load_buckets(df: DataFrame, path: str, keys, cursor: str | None = None, buck
     """Full replace by rows in buckets of their key, one per key: what an upsert can follow
     without moving anything."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return _write_buckets(one_per_key(df, keys, cursor), path, {}, keys, buckets or BUCKETS)
+    return _write_buckets(one_per_key(df, keys, cursor), path, {}, keys, buckets or BUCKETS, cursor)
 
 
 def load_upsert(updates: DataFrame, path: str, keys, cursor: str | None = None,
@@ -151,7 +171,7 @@ def load_upsert(updates: DataFrame, path: str, keys, cursor: str | None = None,
     if extra is not None:
         old = old.unionByName(extra)
     kept = {k: f for k, f in held.items() if k not in hit}
-    return _write_buckets(merge_upsert(old, batch, keys, cursor), path, kept, keys, total)
+    return _write_buckets(merge_upsert(old, batch, keys, cursor), path, kept, keys, total, cursor)
 
 
 def load_incremental(source: DataFrame, path: str, keys, cursor: str,
@@ -168,7 +188,7 @@ def load_table(source: DataFrame, path: str, key: str, incremental: bool,
     """Replace when asked to or when the table has no cursor, else merge. A table that is merged
     later is replaced in buckets, one row per key."""
     if not incremental:
-        return load_replace(source, path)
+        return load_replace(source, path, cursor)
     if full_refresh:
         return load_buckets(source, path, key, cursor, buckets)
     return load_incremental(source, path, key, cursor, buckets=buckets)

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from abono import cli, fixed
-from abono.plans import dimensions, jobs
+from abono.operators import checks
+from abono.plans import dimensions, jobs, quality
 from abono.schemas import RAW_SCHEMAS
 from abono.sinks import versions
 from abono.sources.tables import FrameSource
@@ -36,7 +37,7 @@ def source(frame, day_two=False):
     return FrameSource({n: frame(r, RAW_SCHEMAS[n]) for n, r in data.items()})
 
 
-def test_two_days(spark, frame, tmp_path):
+def test_two_days(spark, frame, tmp_path, monkeypatch):
     lake = jobs.Lake(str(tmp_path), "dev")
     jobs.run_full(spark, jobs.JobConfig(source(frame), lake), "2024-01-01", DAY1)
     read = lambda layer, name: lake.read(spark, layer, name)
@@ -79,6 +80,15 @@ def test_two_days(spark, frame, tmp_path):
     assert segments() == rows(dimensions.newest_segments(read("analytics", "fact_rfm")))
     checked = jobs.run_validation(spark, cfg, "2024-01-02")
     assert checked.filter("status = 'ERROR'").isEmpty()
+    # the same results whether tables are counted by their loads or read; loads count them all
+    read_again = quality.run_checks(spark, cfg.source, jobs.LayerSource(lake, "raw"), "2024-01-02", cfg.tables, cfg.keys)
+    assert rows(checked) == rows(read_again)
+    with monkeypatch.context() as patch:
+        patch.setattr(checks, "check_loaded", None)
+        known = [n for n in fixed.RAW_TABLES if "updated_at" in read("raw", n).columns]
+        observed = quality.run_checks(spark, cfg.source, jobs.RawSource(cfg), "2024-01-02", known, cfg.keys)
+    names = checked.filter(F.col("table_name").isin(known))
+    assert known and rows(observed) == rows(names)
 
 
 def test_stops_at_failing_checks(spark, frame, tmp_path):

@@ -285,3 +285,44 @@ def test_credentials_of_the_command_line(monkeypatch):
     assert cfg.buckets == 5 and cfg.raw_table("accounts") == "ice.raw_local.accounts"
     with pytest.raises(ValueError):
         cli.jdbc_options(["user"])
+
+
+def test_facts_are_observed_while_loading(spark, frame, tmp_path):
+    """Counts and newest moments of every kind of load equal those of the rows, which are not read."""
+    def holds(path, known=True):
+        got = versions.loaded_facts(spark, path, "at")
+        now = versions.read_current(spark, path).agg(F.count("*"), F.max("at").cast("string")).first()
+        assert (got is not None) == known and (not known or (got.rows, got.newest) == tuple(now))
+
+    merged, plain = str(tmp_path / "merged"), str(tmp_path / "plain")
+    assert versions.loaded_facts(spark, merged, "at") is None
+    many = frame([(i, "a", f"2024-01-01 00:00:{i % 60:02d}.25") for i in range(100)] + [(None, "n", None)], ROW)
+    versions.load_table(many, merged, "id", True, cursor="at", buckets=8)
+    holds(merged)
+    versions.load_table(frame([(7, "b", "2024-02-01"), (500, "c", "2024-01-05")], ROW), merged, "id", True, cursor="at")
+    holds(merged)
+    assert versions.loaded_facts(spark, merged, "at").rows == 102
+    versions.load_append(frame([(501, "d", "2024-03-01")], ROW), merged, "at")
+    holds(merged)
+    versions.load_upsert(frame([(502, "e", "2024-01-01")], ROW), merged, "id", "at")
+    holds(merged)
+    versions.load_table(many.limit(3), merged, "id", True, True, "at")
+    holds(merged)
+    assert versions.loaded_facts(spark, merged, "id") is None
+    for df in (many, many.limit(0), many.filter("id is null")):
+        versions.load_table(df, plain, "id", False, cursor="at")
+        holds(plain)
+    versions.load_append(many, plain)
+    holds(plain, known=False)
+    assert versions.loaded_facts(spark, plain, "at") is None
+
+
+def test_a_load_without_facts_is_read(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    df = frame([(1, "a", "2024-01-01"), (2, "b", "2024-01-02")], ROW)
+    versions.load_replace(df, path, "at")
+    os.remove(f"{path}/v00000001/_facts")
+    assert versions.loaded_facts(spark, path, "at") is None
+    versions.load_buckets(df, path, "id", "at", buckets=400)
+    assert versions.loaded_facts(spark, path, "at") is None
+    assert versions.read_current(spark, path).count() == 2
