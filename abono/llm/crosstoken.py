@@ -40,12 +40,16 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
 
 from abono.llm.store import stored
-from abono.llm.text import Piece, _quoted, ranges, sliced
+from abono.llm.text import Piece, _quoted, ranges, sliced, sums_by
 
 BLANK = "▁"
-#: Characters of units that are encoded together, and bytes of text that are cut into units at once.
+#: Characters of units that are encoded together, bytes of units whose tokens are aligned at once,
+#: and bytes of text that are cut into units at once.
 RUN = 1 << 14
+SHARE = 1 << 18
 PIECE = 1 << 22
+#: Links that are counted at once.
+MANY = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -184,11 +188,22 @@ def group_texts(links: pa.Table) -> tuple[pa.Array, pa.Array]:
     return _joined_runs(links["parent"].filter(links["ends"]), pa.chunked_array([text]), ";")
 
 
+def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a.astype(np.int64) << 32) | b
+
+
 def counted(links: pa.Table, weight: pa.Array) -> pa.Table:
     """(a, b, n): the links of each pair of ids, each counted as often as its parent's weight."""
-    n = pc.take(weight, links["parent"])
-    rows = pa.table({"a": links["a"], "b": links["b"], "n": n}).filter(pc.greater(n, 0))
-    return rows.group_by(["a", "b"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["a", "b", "n"])
+    def added(rows: pa.Table) -> pa.Table:
+        return rows.group_by(["a", "b"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["a", "b", "n"])
+
+    total = pa.schema([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())]).empty_table()
+    for first in range(0, links.num_rows, MANY):
+        part = links.slice(first, MANY)
+        n = pc.take(weight, part["parent"])
+        rows = pa.table({"a": part["a"], "b": part["b"], "n": n}).filter(pc.greater(n, 0))
+        total = added(pa.concat_tables([total, added(rows)]))
+    return total
 
 
 def unit_starts(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -229,38 +244,53 @@ class Units:
     def clear(self) -> None:
         self.index: dict[bytes, int] = {}
         self.bytes = 0
-        whole = pa.schema([("parent", pa.int64()), ("end", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
-        self.links = whole.empty_table()
-        self.sizes = pa.schema([(c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links", "valid")]).empty_table()
+        self.links = pa.schema([("parent", pa.int32()), ("a", pa.int32()), ("b", pa.int32())]).empty_table()
+        self.sizes = pa.schema([(c, pa.int32()) for c in ("n_a", "n_b", "n_groups", "n_links", "valid")]).empty_table()
         self.texts = pa.array([], pa.large_string())
 
     def add(self, units: list[bytes]) -> None:
+        """Adds units that are not there yet, a share of about SHARE bytes at a time, as tokens and
+        joined rows take many times the bytes of their units."""
         base = len(self.index)
+        size = np.cumsum([len(u) for u in units], dtype=np.int64)
         for i, u in enumerate(units):
             self.index[u] = base + i
-            self.bytes += len(u)
+        self.bytes += int(size[-1])
+        made, first = [], 0
+        while first < len(units):
+            last = max(first + 1, int(np.searchsorted(size, (size[first - 1] if first else 0) + SHARE, side="right")))
+            made.append(self._aligned(units[first:last], base + first))
+            first = last
+        links, sizes, texts = zip(*made)
+        self.links = pa.concat_tables([self.links, *links]).combine_chunks()
+        self.sizes = pa.concat_tables([self.sizes, *sizes]).combine_chunks()
+        self.texts = pa.concat_arrays([self.texts, *texts])
+        del made, links, sizes, texts
+        pa.default_memory_pool().release_unused()
+
+    def _aligned(self, units: list[bytes], base: int) -> tuple[pa.Table, pa.Table, pa.Array]:
+        """Links, sizes and groups of units that are numbered from `base` on."""
         a, b = self.pair.encode(units)
         own = pa.array(units, pa.binary())
         same = pc.and_(pc.equal(spelled(a, self.pair.names_a), own), pc.equal(spelled(b, self.pair.names_b), own))
         valid = np.asarray(same)
         places = pa.array(np.flatnonzero(valid))
         a, b = a.take(places), b.take(places)
-        n_groups, n_links = (np.zeros(len(units), np.int64) for _ in range(2))
+        n_groups, n_links = (np.zeros(len(units), np.int32) for _ in range(2))
         n_a, n_b = n_groups.copy(), n_groups.copy()
         texts = pa.array([""] * len(units), pa.large_string())
+        new = self.links.schema.empty_table()
         if len(places):
             links = link_rows(a, b, self.pair.names_a, self.pair.names_b)
             parent = np.asarray(places)[links["parent"].to_numpy()]
-            n_groups += np.bincount(parent[links["ends"].to_numpy()], minlength=len(units))
-            n_links += np.bincount(parent, minlength=len(units))
+            n_groups[:] = np.bincount(parent[links["ends"].to_numpy()], minlength=len(units))
+            n_links[:] = np.bincount(parent, minlength=len(units))
             n_a[valid], n_b[valid] = pc.list_value_length(a).to_numpy(), pc.list_value_length(b).to_numpy()
             text, _ = group_texts(links)
             texts = pc.replace_with_mask(texts, same, text)
-            new = pa.table({"parent": parent + base, "end": links["end"], "a": links["a"], "b": links["b"]})
-            self.links = pa.concat_tables([self.links, new]).combine_chunks()
-        sizes = pa.table({"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links, "valid": valid.astype(np.int64)})
-        self.sizes = pa.concat_tables([self.sizes, sizes]).combine_chunks()
-        self.texts = pa.concat_arrays([self.texts, texts])
+            new = pa.table({"parent": (parent + base).astype(np.int32), "a": links["a"], "b": links["b"]})
+        sizes = pa.table({"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links, "valid": valid.astype(np.int32)})
+        return new, sizes, texts
 
     def find(self, data: np.ndarray, starts: np.ndarray) -> pa.Array:
         """The number of every unit; new ones are added."""
@@ -298,15 +328,8 @@ class Texts:
     def sums(self, table: pa.Table) -> dict[str, np.ndarray]:
         """Sums over each text's units of all columns of a table with a row per unit; 0 for texts
         without tokens."""
-        names = table.column_names
-        rows = table.take(self.unit).append_column("text", pa.array(self.parent))
-        total = rows.group_by("text", use_threads=False).aggregate([(c, "sum") for c in names])
-        out = {c: np.zeros(len(self.valid), np.int64) for c in names}
-        at = total["text"].to_numpy()
-        for c in names:
-            out[c][at] = total[f"{c}_sum"].to_numpy()
-            out[c][~self.valid] = 0
-        return out
+        unit = np.asarray(self.unit)
+        return {c: np.where(self.valid, sums_by(table[c].to_numpy()[unit], self.cuts), 0) for c in table.column_names}
 
 
 def read_texts(units: Units, piece: Piece) -> Texts:
@@ -394,8 +417,15 @@ def _per_text(docs: DataFrame, text_col: str, keep: Sequence[str], fields: str,
 
 
 def _looked_up(docs: DataFrame, text_col: str, keep: Sequence[str], models: Models, counts: DataFrame, params: Params) -> DataFrame:
-    """With counts sent to every task: Params.most_pairs at most."""
+    """With counts sent to every task, by pair: Params.most_pairs at most. A worker
+    may remember units of other texts, whose pairs have none."""
     table = counts.toArrow()
+    pair = pair_keys(table["a"].to_numpy(), table["b"].to_numpy())
+    order = np.argsort(pair)
+    # last a row for pairs without counts, beyond all keys
+    table = pa.table({
+        "pair": np.append(pair[order], np.iinfo(np.int64).max), "n": np.append(table["n"].to_numpy()[order], 0),
+        "best": np.append(table["best"].to_numpy()[order].astype(np.int8), np.int8(0))})
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema) as writer:
         writer.write_table(table)
@@ -403,20 +433,21 @@ def _looked_up(docs: DataFrame, text_col: str, keep: Sequence[str], models: Mode
 
     def begin(units: Units) -> Callable[[Units, Texts], dict[str, object]]:
         known = pa.ipc.open_stream(sent.value).read_all()
-        known = known.set_column(3, "best", known["best"].cast(pa.int64()))
+        pairs, counts, best = (known[c].to_numpy() for c in ("pair", "n", "best"))
         scores = pa.schema([("n_best", pa.int64()), ("count_sum", pa.int64())]).empty_table()
 
         def more(units: Units, texts: Texts) -> dict[str, object]:
             nonlocal scores
             done, n = scores.num_rows, len(units.index)
             if done < n:
-                links = units.links.filter(pc.greater_equal(units.links["parent"], done))
-                found = links.join(known, keys=["a", "b"], join_type="inner", use_threads=False)
-                total = found.group_by("parent", use_threads=False).aggregate([("best", "sum"), ("n", "sum")])
-                at = total["parent"].to_numpy() - done
-                new = {c: np.zeros(n - done, np.int64) for c in scores.column_names}
-                new["n_best"][at], new["count_sum"][at] = total["best_sum"].to_numpy(), total["n_sum"].to_numpy()
-                scores = pa.concat_tables([scores, pa.table(new)]).combine_chunks()
+                of = units.links["parent"].to_numpy()
+                links = units.links.slice(int(np.searchsorted(of, done)))
+                key = pair_keys(links["a"].to_numpy(), links["b"].to_numpy())
+                at = np.searchsorted(pairs[:-1], key)
+                at[pairs[at] != key] = len(pairs) - 1
+                cuts = np.searchsorted(links["parent"].to_numpy(), np.arange(done, n + 1))
+                new = pa.table({"n_best": sums_by(best[at], cuts), "count_sum": sums_by(counts[at], cuts)})
+                scores = pa.concat_tables([scores, new]).combine_chunks()
             return texts.sums(scores)
 
         return more

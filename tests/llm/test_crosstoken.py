@@ -2,6 +2,8 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from abono.llm import crosstoken
@@ -83,3 +85,33 @@ def test_no_texts(spark, models):
     assert crosstoken.aligned(none, models).collect() == []
     null = spark.createDataFrame([(1, None)], "doc_id long, text string")
     assert [tuple(r) for r in crosstoken.aligned(null, models).collect()] == [(1, 0, 0, 0, 0, "", 0, 0)]
+
+
+def test_units_by_shares(models, monkeypatch):
+    units = [f" w{i}x{i * 7919 % 1009}".encode() for i in range(60_000)] + [b" " + b"ab" * crosstoken.SHARE, b" \xe2\x96\x81z", b" last"]
+    pair, taken = crosstoken.Pair(models), []
+    encode = pair.encode
+    monkeypatch.setattr(pair, "encode", lambda part: taken.append(part) or encode(part))
+    cut = crosstoken.Units(pair)
+    cut.add(units[:30_000])
+    cut.add(units[30_000:])
+    assert [u for part in taken for u in part] == units == list(cut.index)
+    assert max(sum(map(len, part)) for part in taken if len(part) > 1) <= crosstoken.SHARE
+    weight = pa.array(np.arange(len(units)) % 3)
+    got = crosstoken.counted(cut.links, weight)
+    monkeypatch.setattr(crosstoken, "SHARE", 1 << 40)
+    monkeypatch.setattr(crosstoken, "MANY", 1 << 40)
+    whole = crosstoken.Units(pair)
+    whole.add(units)
+    assert cut.links == whole.links and cut.sizes == whole.sizes and cut.texts == whole.texts and cut.bytes == whole.bytes
+    order = [("a", "ascending"), ("b", "ascending")]
+    assert got.sort_by(order) == crosstoken.counted(whole.links, weight).sort_by(order)
+    assert whole.links.nbytes == 12 * whole.links.num_rows
+
+
+def test_units_of_other_texts(spark, models, walked):
+    # one worker for both tables: it still knows the first one's units when it reads the second
+    for texts in (["zebra quartz 7 xylophone", "many other words \U0001f600"], ["the same", "a the"]):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+        got = sorted(crosstoken.aligned(docs, models).collect())
+        assert [tuple(r)[1:] for r in got] == brute(texts, walked)
