@@ -10,7 +10,7 @@ stretches first, which changes no result."""
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abono.llm.text import LOWER, Piece, Words, per_document, ranges, running_hash, sliced, span_hash, words_of
+from abono.llm.text import LOWER, Piece, Words, per_document, ranges, running_hash, sliced, span_hash, sums_by, words_of
 
 #: The patterns, and the least length of what they find.
 ASSIGN = re.compile(rb"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -69,6 +69,18 @@ class Params:
         return (32, 6, 6, 8, 8, 5, 5, 8, words, words, words)
 
 
+#: Features that are looked up and counted together, as they have few joint values; then the words.
+GROUPS = ((0, 1, 2, 3), (4, 5, 6, 7), (8,), (9,), (10,))
+
+
+def joint(rows: np.ndarray, sizes: Sequence[int]) -> np.ndarray:
+    """One number for several features of each token, given by the last axis."""
+    number = rows[..., 0]
+    for k in range(1, len(sizes)):
+        number = number * sizes[k] + rows[..., k]
+    return number
+
+
 def base_spans(piece: Piece) -> list[list[tuple[int, int, int, int]]]:
     """(start, kind, end, start of the secret itself) in bytes of each text, in order."""
     found: list[list[tuple[int, int, int, int]]] = [[] for _ in range(len(piece))]
@@ -91,23 +103,39 @@ def base_spans(piece: Piece) -> list[list[tuple[int, int, int, int]]]:
     return [sorted(f) for f in found]
 
 
-def _share(marked: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(marked[data])])
-    return total[end] - total[start]
+#: Bits of a byte's share in each count of a token's bytes; longer tokens are counted one by one.
+FIELD = 12
+COUNTED = (DIGIT, UPPER, LETTER, HEX, SIGN)
+PACKED = sum(marked.astype(np.uint64) << np.uint64(FIELD * i) for i, marked in enumerate(COUNTED))
+
+
+def byte_counts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """Of each token, how many of its bytes are in each of COUNTED, all from one running sum: it
+    may overflow, its differences don't."""
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(PACKED[data], out=total[1:])
+    packed = total[end] - total[start]
+    low = np.uint64((1 << FIELD) - 1)
+    counts = [((packed >> np.uint64(FIELD * i)) & low).astype(np.int64) for i in range(len(COUNTED))]
+    for k in np.flatnonzero(end - start >= 1 << FIELD).tolist():
+        for count, marked in zip(counts, COUNTED):
+            count[k] = np.count_nonzero(marked[data[start[k]:end[k]]])
+    return counts
 
 
 def token_features(piece: Piece, p: Params) -> tuple[Words, np.ndarray]:
-    """Tokens, and a row of small numbers for each, as many as p.sizes."""
+    """Tokens, and a row of small numbers for each, as many as p.sizes; columns are contiguous."""
     tokens = words_of(piece, TOKEN)
     start, end, cuts, data = tokens.start, tokens.end, tokens.cuts, piece.data
     n = len(start)
     if not n:
-        return tokens, np.zeros((0, len(p.sizes)), np.int64)
+        return tokens, np.zeros((0, len(p.sizes)), np.int32)
     size = end - start
     text = tokens.text_of()
-    digits, uppers, letters, hexes, signs = (_share(x, data, start, end) for x in (DIGIT, UPPER, LETTER, HEX, SIGN))
+    digits, uppers, letters, hexes, signs = byte_counts(data, start, end)
     kind = DIGIT[data].astype(np.int8) + 2 * LETTER[data]
-    turns = np.concatenate([[0, 0], np.cumsum(kind[1:] != kind[:-1])])
+    turns = np.zeros(len(data) + 1, dtype=np.int64)
+    np.cumsum(kind[1:] != kind[:-1], out=turns[2:])
     changes = turns[end] - turns[start + 1]
     shape = np.select(
         [digits == size, hexes == size, letters + digits + signs < size, uppers == size, (uppers == 1) & UPPER[data[start]] & (letters == size),
@@ -115,7 +143,7 @@ def token_features(piece: Piece, p: Params) -> tuple[Words, np.ndarray]:
         [0, 1, 2, 3, 4, 5, 6], 7)
     before = np.where(start > piece.offsets[text], AROUND[data[np.maximum(start - 1, 0)]], 0)
     after = np.where(end < piece.offsets[text + 1], AROUND[data[np.minimum(end, len(data) - 1)]], 0)
-    dense = _share(DIGIT, data, piece.offsets[:-1], piece.offsets[1:]) * 200 // np.maximum(np.diff(piece.offsets), 1)
+    dense = sums_by(digits, cuts) * 200 // np.maximum(np.diff(piece.offsets), 1)  # all digits are in tokens
     word = (span_hash(running_hash(LOWER[data]), start, end) >> np.uint64(64 - p.words_log2)).astype(np.int64)
 
     def near(by: int) -> np.ndarray:
@@ -124,9 +152,12 @@ def token_features(piece: Piece, p: Params) -> tuple[Words, np.ndarray]:
         return np.where(inside, word[np.clip(at, 0, n - 1)], 0)
 
     log_size = np.minimum(np.where(size < 20, size, 16 + np.log2(size).astype(np.int64)), 31)
-    return tokens, np.stack([
-        log_size, digits * 5 // size, uppers * 5 // size, np.minimum(changes, 7), shape, before, after,
-        np.minimum(dense, 7)[text], near(-1), near(1), near(-2)], axis=1)
+    rows = np.empty((len(p.sizes), n), np.int32)
+    for row, feature in zip(rows, (
+            log_size, digits * 5 // size, uppers * 5 // size, np.minimum(changes, 7), shape, before, after,
+            np.minimum(dense, 7)[text], near(-1), near(1), near(-2))):
+        row[:] = feature
+    return tokens, rows.T
 
 
 def true_tags(piece: Piece, tokens: Words) -> np.ndarray:
@@ -171,7 +202,7 @@ def windows(piece: Piece, p: Params) -> Windows:
     real = at < last[:, None]
     at = np.where(real, at, 0)
     own = np.where(real, tags[at], -1)
-    rows = np.where(real[..., None], rows[at], 0)
+    rows = np.moveaxis(np.stack([np.where(real, column[at], 0) for column in rows.T]), 0, -1)
     left = np.where(first > begin, tags[np.maximum(first - 1, 0)], OUTSIDE)
     right = np.where(last < end, tags[np.minimum(last, len(tags) - 1)], OUTSIDE)
     return Windows(rows, own, left, right, np.where((own > 0).any(axis=1), FOUND, PLAIN))
@@ -184,9 +215,13 @@ class Model:
     p: Params
 
     def emissions(self, rows: np.ndarray) -> np.ndarray:
-        total = np.zeros((len(rows), 3), dtype=np.float64)
-        for k, table in enumerate(self.tables):
-            total += table[rows[:, k]]
+        """Scores of each tag; the last axis of rows holds the features."""
+        total = np.zeros((*rows.shape[:-1], 3), dtype=np.float64)
+        for own in GROUPS:
+            table = self.tables[own[0]]
+            for k in own[1:]:
+                table = (table[:, None] + self.tables[k]).reshape(-1, 3)
+            total += table.take(joint(rows[..., own[0]:own[-1] + 1], [self.p.sizes[k] for k in own]), axis=0)
         return total
 
 
@@ -201,7 +236,7 @@ def gradient(w: Windows, model: Model) -> np.ndarray:
     out = np.zeros((2, 3 * sum(p.sizes) + 10), dtype=np.int64)
     real = w.tags >= 0
     length = real.sum(axis=1)
-    score = model.emissions(w.rows.reshape(n * t, -1)).reshape(n, t, 3)
+    score = model.emissions(w.rows)
     # probabilities up to a factor for each token, so that nothing over- or underflows; each is
     # rounded to GRAINs below, so single precision is enough
     score = np.exp(np.maximum(score - score.max(axis=2, keepdims=True), -30)).astype(np.float32)
@@ -217,14 +252,17 @@ def gradient(w: Windows, model: Model) -> np.ndarray:
     true = w.tags[..., None] == np.arange(3)
     prob = forward * backward
     prob *= (real / prob.sum(axis=2))[..., None]
-    apart = np.rint((prob - true) * GRAIN)[real]
-    kind, rows, at = np.broadcast_to(w.kind[:, None], (n, t))[real], w.rows[real], 0
-    for k, size in enumerate(p.sizes):
-        slot = kind * size + rows[:, k]
-        for y in range(3):
-            got = np.bincount(slot, weights=apart[:, y], minlength=2 * size)
-            out[:, at + y:at + 3 * size:3] = got.reshape(2, size)
-        at += 3 * size
+    apart = np.ascontiguousarray(np.rint((prob - true) * GRAIN)[real].T, dtype=np.float64)
+    kind, at = np.broadcast_to(w.kind[:, None], (n, t))[real], 0
+    for own in GROUPS:
+        sizes = [p.sizes[k] for k in own]
+        many = int(np.prod(sizes))
+        slot = kind * many + joint(w.rows[..., own[0]:own[-1] + 1], sizes)[real]
+        got = np.stack([np.bincount(slot, weights=x, minlength=2 * many) for x in apart], axis=1).reshape(2, *sizes, 3)
+        for i, size in enumerate(sizes, 1):
+            others = tuple(j for j in range(1, len(sizes) + 1) if j != i)
+            out[:, at:at + 3 * size] = got.sum(axis=others).reshape(2, -1)
+            at += 3 * size
     pair = forward[:, :-1, :, None] * step * (score[:, 1:] * backward[:, 1:])[:, :, None]
     pair /= pair.sum(axis=(2, 3), keepdims=True)
     pair -= true[:, :-1, :, None] & true[:, 1:, None, :]
@@ -242,9 +280,10 @@ def _summed(docs: DataFrame, model: Model, step: int) -> np.ndarray:
     """The gradient of all windows of the texts docs.t, summed in each task, then over tasks.
     Which windows do without words goes by their first token's features, and by the step."""
     wide = 3 * sum(model.p.sizes) + 10
+    padded = wide + -wide % 3  # three numbers, those of one feature's value, are a row
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, wide), dtype=np.int64)
+        total = np.zeros((2, padded), dtype=np.int64)
         for batch in batches:
             for _, piece in sliced(batch, 0):
                 w = windows(piece, model.p)
@@ -252,15 +291,16 @@ def _summed(docs: DataFrame, model: Model, step: int) -> np.ndarray:
                     # every other window without its words, so that shape alone counts as well
                     bare = (w.rows[:, 0].sum(axis=1) + w.tags[:, 0] + step) % 2 == 0
                     w.rows[bare, :, len(model.p.sizes) - 3:] = 0
-                    total += gradient(w, model)
-        flat = total.reshape(-1)
-        at = np.flatnonzero(flat)
-        yield pa.RecordBatch.from_pydict({"slot": at.astype(np.int64), "n": flat[at]})
-
-    found = docs.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(2 * wide, dtype=np.int64)
-    out[found["slot"].to_numpy()] = found["n"].to_numpy()
-    return out.reshape(2, wide)
+                    total[:, :wide] += gradient(w, model)
+        flat = total.reshape(-1, 3)
+        at = np.flatnonzero(flat.any(axis=1))
+        yield pa.RecordBatch.from_pydict({"slot": at.astype(np.int64), "x": flat[at, 0], "y": flat[at, 1], "z": flat[at, 2]})
+
+    found = docs.mapInArrow(run, "slot long, x long, y long, z long").groupBy("slot").agg(*[F.sum(c).alias(c) for c in "xyz"]).toArrow()
+    out = np.zeros((2 * padded // 3, 3), dtype=np.int64)
+    for y, c in enumerate("xyz"):
+        out[found["slot"].to_numpy(), y] = found[c].to_numpy()
+    return out.reshape(2, padded)[:, :wide]
 
 
 def train(docs: DataFrame, id_col: str, text_col: str, p: Params) -> Model:

@@ -345,3 +345,22 @@ def test_url_counts_are_exact(spark):
     assert got.tolist() == [want[x] for x in some]
     unseen = [x for x in ("".join(letters[rng.integers(0, 36, 6)]) for _ in range(500)) if x not in want]
     assert not np.any(model.tables[11].of(hashes(unseen)))
+
+
+def test_byte_counts_of_tokens():
+    """One running sum for all kinds of bytes, tokens of any length, sums beyond a field's bits."""
+    long = "aB9f" * 1024  # as long as a field can't count
+    piece = piece_of([f"Ab1+ {long} é{long}x", "0123456789" * 700 + " f", "", " ".join(["9" * 4095] * 40)])
+    tokens = words_of(piece, secrets.TOKEN)
+    for got, marked in zip(secrets.byte_counts(piece.data, tokens.start, tokens.end), secrets.COUNTED, strict=True):
+        assert got.tolist() == [int(marked[piece.data[a:b]].sum()) for a, b in zip(tokens.start, tokens.end)]
+
+
+def test_joint_features_are_few():
+    """A task's gradient takes a lookup and a count for each group of features, not for each feature."""
+    p = secrets.Params()
+    assert [k for own in secrets.GROUPS for k in own] == list(range(len(p.sizes))) and len(secrets.GROUPS) == 5
+    _, rows = secrets.token_features(piece_of(['a token = "abcdefghij123456" b', "", "passwd=0123456789abcdef z"]), p)
+    rng = np.random.default_rng(2)
+    model = secrets.Model([rng.normal(0, 1, (size, 3)) for size in p.sizes], np.zeros((3, 3)), p)
+    assert np.allclose(model.emissions(rows), sum(table[rows[:, k]] for k, table in enumerate(model.tables)), rtol=0, atol=1e-12)
